@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -96,12 +94,9 @@ def repair_utf8(text: Column) -> Column:
 
 def site_of_wiki(code: Column) -> Column:
     """Dump wiki code to site id."""
+    legacy = F.create_map(*[F.lit(x) for pair in LEGACY_SITES.items() for x in pair])
     regular = F.concat(swap(code, "-", "_"), F.lit("wiki"))
-    return reduce(
-        lambda rest, item: F.when(code == item[0], F.lit(item[1])).otherwise(rest),
-        LEGACY_SITES.items(),
-        regular,
-    )
+    return F.coalesce(F.try_element_at(legacy, code), regular)
 
 
 def is_language_site(site: Column) -> Column:

@@ -54,15 +54,23 @@ def read_sql_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    """Split at single spaces; drop lines with too few fields or a count that is no integer."""
-    parts = F.split("value", " ", -1)
+    """Split at single spaces; drop lines without an integer in the fifth field.
+
+    Taking the parts out of a generator splits each line once. A plain column
+    would be copied into every filter and join condition pushed below it.
+    """
+    parts = F.split(repair_utf8(F.col("value")), " ", -1)
+    keep = [c for c in lines.columns if c != "value"]
     return (
-        lines.withColumn("value", repair_utf8(F.col("value")))
-        .withColumn("_parts", parts)
-        .where(F.size("_parts") >= 5)
+        lines.select(*keep, F.explode(F.array(parts)).alias("_parts"))
         .withColumn("views", F.get("_parts", F.lit(4)).try_cast("bigint"))
         .where(F.col("views").isNotNull())
-        .withColumn("title", unquote_dump_title(F.get("_parts", F.lit(1))))
+        .select(
+            *keep,
+            F.substring_index(F.get("_parts", F.lit(0)), ".", 1).alias("lang"),
+            unquote_dump_title(F.get("_parts", F.lit(1))).alias("title"),
+            "views",
+        )
     )
 
 
@@ -75,10 +83,8 @@ def home_views(lines: DataFrame, keys: tuple[str, ...] = ("month",), wiki: str =
 def all_site_views(lines: DataFrame, keys: tuple[str, ...] = ("month",)) -> DataFrame:
     """Views per (site, title) of every language edition, summed before any join."""
     kept = lines.where(F.col("value").rlike(ANY_WIKI))
-    lang = F.substring_index(F.get("_parts", F.lit(0)), ".", 1)
     return (
         _fields(kept)
-        .withColumn("lang", lang)
         .groupBy(*keys, "lang", "title")
         .agg(F.sum("views").alias("views"))
         .withColumn("site", site_of_wiki(F.col("lang")))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import attention
+from workload import attention, cutoffs, facets
 
-MODULES = [attention]
+MODULES = [attention, cutoffs, facets]
 
 
 def queries() -> dict:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.functions.titles import escape_sql, quote_dump_title, underscored
+from renown.session import scratch_path
 
 MONTHS = [f"{m:02d}" for m in range(1, 13)]
 WIKI_OF_REGION = {
@@ -128,6 +129,13 @@ EDITIONS = f"""editions AS (
 
 
 def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived view dumps, written as text files per month and scanned as such."""
+    path = scratch_path(spark, "dumps")
+    derived_lines(spark, sf_dir).write.partitionBy("month").text(path)
+    return spark.read.schema("value string, month string").text(path)
+
+
+def derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw dump line per lineitem row, with bad lines and both spellings of quoted titles."""
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), underscored(part_title()).alias("slug")
@@ -155,8 +163,7 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "lineitem")
         .join(part, "l_partkey")
         .join(editions(spark, sf_dir), "l_suppkey")
-        # the generator keeps the parser's filters from repeating the text of the line
-        .select(ship_month().alias("month"), F.explode(F.array(line)).alias("value"))
+        .select(ship_month().alias("month"), line.alias("value"))
     )
 
 
