@@ -311,8 +311,8 @@ def _top(field: str, n: int) -> str:
 
 
 _NAME = """'<a href="x">' || ' ' || c_name || ' ' || '& it''s ~ + * /' || ' ' || c_mktsegment"""
-_URL = f"""replace(replace(replace(replace(replace(replace(replace(replace(replace(replace({_NAME},
-    ' ', '_'), '%', '%25'), '<', '%3C'), '>', '%3E'), '"', '%22'), '&', '%26'), '''', '%27'), '#', '%23'), '+', '%2B'), '*', '%2A')"""
+_URL = f"""replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace({_NAME},
+    ' ', '_'), '%', '%25'), '=', '%3D'), '<', '%3C'), '>', '%3E'), '"', '%22'), '&', '%26'), '''', '%27'), '#', '%23'), '+', '%2B'), '*', '%2A')"""
 _STRIP = r"regexp_replace(regexp_replace({0}, '^\s+', ''), '\s+$', '')"
 _LEAD = _STRIP.format("coalesce(lead, '')")
 _DESCRIPTION = _STRIP.format("coalesce(description, '')")

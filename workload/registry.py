@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import attention, cutoffs, facets
+from workload import attention, cutoffs, facets, vectors
 
-MODULES = [attention, cutoffs, facets]
+MODULES = [attention, cutoffs, facets, vectors]
 
 
 def queries() -> dict:
