@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def _path_and_fs(spark: SparkSession, path: str):
@@ -60,12 +61,11 @@ def missing_months(spark: SparkSession, root: str, months: list[str], month: str
 
 
 def read_months(spark: SparkSession, root: str, months: list[str], month: str = "month") -> DataFrame:
-    """The available months of the window; partition pruning skips all others.
-
-    Month names must stay text: type inference would turn ``2025`` into a number.
-    """
-    table = spark.read.option("basePath", root).parquet(root)
-    return table.withColumn(month, F.col(month).cast("string")).where(F.col(month).isin(months))
+    """The available months of the window; partition pruning skips all others."""
+    stored = spark.read.parquet(root).schema
+    # month names stay text: type inference would turn "01" or "2025" into numbers
+    fields = [StructField(month, StringType()) if f.name == month else f for f in stored.fields]
+    return spark.read.schema(StructType(fields)).parquet(root).where(F.col(month).isin(months))
 
 
 def hash60(column: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import attention, cutoffs, facets, vectors
+from workload import attention, cutoffs, facets, ingestion, vectors
 
-MODULES = [attention, cutoffs, facets, vectors]
+MODULES = [attention, cutoffs, facets, vectors, ingestion]
 
 
 def queries() -> dict:

@@ -107,18 +107,17 @@ TITLE_VIEWS = f"""title_views AS (
   FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1, 2)"""
 
 
-def editions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(l_suppkey, wiki): the edition of each supplier."""
-    code = F.lit(None).cast("string")
-    for region, wiki in WIKI_OF_REGION.items():
-        code = F.when(F.col("r_name") == region, F.lit(wiki)).otherwise(code)
-    nation = table(spark, sf_dir, "nation").join(
-        table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
+def with_edition(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
+    """Add the wiki of each line's supplier, one small table at a time."""
+    wikis = F.create_map(*[F.lit(x) for pair in WIKI_OF_REGION.items() for x in pair])
+    supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_regionkey")
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     return (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(F.col("s_suppkey").alias("l_suppkey"), code.alias("wiki"))
+        items.join(supplier, "l_suppkey")
+        .join(nation, "s_nationkey")
+        .join(region, "n_regionkey")
+        .withColumn("wiki", F.try_element_at(wikis, F.col("r_name")))
     )
 
 
@@ -135,10 +134,14 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value string, month string").text(path)
 
 
-def derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw dump line per lineitem row, with bad lines and both spellings of quoted titles."""
+def derived_lines(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+    """One raw dump line per lineitem row, with bad lines and both spellings of quoted titles.
+
+    ``status`` picks the lines of one status, to let them arrive in two parts.
+    """
+    slug = underscored(part_title())
     part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("l_partkey"), underscored(part_title()).alias("slug")
+        F.col("p_partkey").alias("l_partkey"), slug.alias("slug"), quote_dump_title(slug).alias("quoted")
     )
     tax, discount = F.col("l_tax"), F.col("l_discount")
     domain = (
@@ -146,23 +149,27 @@ def derived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when((tax == 0.01) & (discount == 0.0), ".wikibooks")
         .otherwise(".wikipedia")
     )
-    title = F.when(F.col("l_linestatus") == "F", quote_dump_title(F.col("slug"))).otherwise(F.col("slug"))
+    title = F.when(F.col("l_linestatus") == "F", F.col("quoted")).otherwise(F.col("slug"))
     access = (
         F.when(F.col("l_returnflag") == "A", "desktop")
         .when(F.col("l_returnflag") == "N", "mobile-web")
         .otherwise("mobile-app")
     )
-    count = F.when((tax == 0.08) & (discount == 0.1), F.lit("x")).otherwise(
-        F.col("l_quantity").cast("bigint").cast("string")
+    # concat_ws() skips nulls, which makes the lines that are too short
+    count = (
+        F.when((tax == 0.08) & (discount == 0.1), "x")
+        .when((tax == 0.07) & (discount == 0.1), None)
+        .otherwise(F.col("l_quantity").cast("bigint").cast("string"))
     )
-    head = F.concat_ws(" ", F.concat("wiki", domain), title, F.col("l_partkey").cast("string"), access)
-    line = F.when((tax == 0.07) & (discount == 0.1), head).otherwise(
-        F.concat_ws(" ", head, count, F.lit("A1"))
+    tail = F.when(count.isNotNull(), "A1")
+    line = F.concat_ws(
+        " ", F.concat("wiki", domain), title, F.col("l_partkey").cast("string"), access, count, tail
     )
+    items = table(spark, sf_dir, "lineitem")
+    if status is not None:
+        items = items.where(F.col("l_linestatus") == status)
     return (
-        table(spark, sf_dir, "lineitem")
-        .join(part, "l_partkey")
-        .join(editions(spark, sf_dir), "l_suppkey")
+        with_edition(spark, sf_dir, items.join(part, "l_partkey"))
         .select(ship_month().alias("month"), line.alias("value"))
     )
 
