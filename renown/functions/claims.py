@@ -59,9 +59,12 @@ def parse_claims(document: Column) -> Column:
 def best_claims(claims: Column) -> Column:
     """Drop deprecated claims; if preferred ones remain keep only those. Order is kept."""
     claims = F.coalesce(claims, F.array().cast(CLAIMS))
+
+    def preferred(claim: Column) -> Column:
+        return claim["rank"].eqNullSafe(F.lit("preferred"))
+
     kept = F.filter(claims, lambda c: ~c["rank"].eqNullSafe(F.lit("deprecated")))
-    preferred = F.filter(kept, lambda c: c["rank"].eqNullSafe(F.lit("preferred")))
-    return F.when(F.size(preferred) > 0, preferred).otherwise(kept)
+    return F.when(F.exists(claims, preferred), F.filter(claims, preferred)).otherwise(kept)
 
 
 def item_ids(claims: Column) -> Column:

@@ -36,7 +36,12 @@ LANGUAGE_SITE = "^[a-z][a-z0-9_]*wiki$"
 
 # Unicode white space plus the four ASCII separators that str.split() also takes.
 BLANK = r"(?U)[\s\x1c-\x1f]+"
-BLANK_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+BLANK_CHARACTERS = "".join(
+    chr(c)
+    for start, end in [(0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+                       (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+    for c in range(start, end + 1)
+)
 
 
 def swap(column: Column, old: str, new: str) -> Column:
@@ -54,7 +59,7 @@ def spaced(title: Column) -> Column:
 
 def strip_blanks(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, BLANK_EDGES, "")
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
 def unquote_dump_title(raw: Column) -> Column:

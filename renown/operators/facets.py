@@ -16,8 +16,11 @@ ID_FIELDS = ["occupation_qids", "citizenship_qids", "gender_qids"]
 
 
 def claim_records(documents: DataFrame, key: str = "qid", claims: str = "claims") -> DataFrame:
-    """Checkpoint form of raw claims: the stated birth year and ids per property."""
-    parsed = documents.select(key, C.parse_claims(F.col(claims)).alias("c"))
+    """Checkpoint form of raw claims: the stated birth year and ids per property.
+
+    The generator makes each document be parsed once for all properties.
+    """
+    parsed = documents.select(key, F.explode(F.array(C.parse_claims(F.col(claims)))).alias("c"))
     return parsed.select(
         key,
         C.birth_year(F.col(f"c.{C.BIRTH}")).alias("birth_year"),

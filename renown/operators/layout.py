@@ -6,13 +6,13 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.functions.texts import words
+from renown.session import stage
 
 # Vector size and texts per encoder call.
 DIMENSIONS, BATCH = 1024, 96
@@ -37,13 +37,12 @@ def encode_with(df: DataFrame, key: str, text: str, encoder: Encoder, batch: int
 def encode_hashed(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS) -> DataFrame:
     """(key, embedding) of hashed, frequency-weighted words with unit length; needs no model."""
     tokens = df.select(key, words(F.col(text)).alias("_words"))
-    stages = [
-        HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf"),
-        IDF(inputCol="_tf", outputCol="_weighted"),
-        Normalizer(inputCol="_weighted", outputCol="_unit"),
-    ]
-    vectors = Pipeline(stages=stages).fit(tokens).transform(tokens)
-    return vectors.select(key, vector_to_array("_unit", "float32").alias("embedding"))
+    counts = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf").transform(tokens)
+    # written once: the document frequencies and the weighting both read it
+    counts = stage(counts.select(key, "_tf"), "hashed")
+    weighted = IDF(inputCol="_tf", outputCol="_weighted").fit(counts).transform(counts)
+    unit = Normalizer(inputCol="_weighted", outputCol="_unit").transform(weighted)
+    return unit.select(key, vector_to_array("_unit", "float32").alias("embedding"))
 
 
 def layout(df: DataFrame, key: str, vector: str) -> DataFrame:

@@ -57,9 +57,16 @@ def probe_auc(
     all rows, its class gap would be zero over both parts together, hence
     opposite in them, and the held-out area would fall below chance.
     """
-    rows = stage(
-        stratified_split(df.select(key, vector, concept), key, concept, seed=seed), "probe"
-    )
+    return probe_split(split_vectors(df, key, vector, concept, seed), key, vector, concept, method)
+
+
+def split_vectors(df: DataFrame, key: str, vector: str, concept: str, seed: int = SEED) -> DataFrame:
+    """The labelled rows with ``is_test``, written once for all probes."""
+    return stage(stratified_split(df.select(key, vector, concept), key, concept, seed=seed), "probe")
+
+
+def probe_split(rows: DataFrame, key: str, vector: str, concept: str, method: str) -> DataFrame:
+    """(variant, auc) of a probe on rows that are split already."""
     train = rows.where(~F.col("is_test"))
     if method == "raw":
         cleaned = rows
@@ -67,16 +74,15 @@ def probe_auc(
         fit = {"centroid": erasure.fit_centroid, "leace": erasure.fit_leace}[method]
         cleaned = erasure.erase(rows, vector, fit(train, vector, concept), as_float=False)
     cleaned = cleaned.select(
-        key, "is_test", F.col(concept).cast("double").alias("y"),
+        "is_test", F.col(concept).cast("double").alias("y"),
         array_to_vector(F.col(vector).cast("array<double>")).alias("features"),
     )
-    training = cleaned.where(~F.col("is_test")).persist()
-    n = training.count()
+    training = cleaned.where(~F.col("is_test"))
+    n = train.count()
     model = LogisticRegression(
         labelCol="y", maxIter=MAX_ITERATIONS, regParam=1.0 / (INVERSE_PENALTY * n),
         elasticNetParam=0.0, standardization=False, tol=1e-6,
     ).fit(training)
-    training.unpersist()
     scored = model.transform(cleaned.where(F.col("is_test")))
     score = vector_to_array("probability")[1]
     return roc_auc(scored.select(score.alias("score"), (F.col("y") == 1).alias("hit")), "score", "hit").select(

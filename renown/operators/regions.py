@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from renown.functions.texts import words
 from renown.operators.facets import wide_labels
+from renown.session import stage
 
 # Clusters per layer from coarse to fine, the fewest allowed, seed,
 # and the distance quantile beyond which a point belongs to no region.
@@ -23,8 +24,10 @@ def cluster_layers(coords: DataFrame, key: str, layers: list[int] = LAYERS, edge
     """(key, layer, cluster, distance): null cluster for points far from their centre."""
     if not layers or min(layers) < FEWEST:
         raise ValueError(f"at least one layer, and at least {FEWEST} clusters in each")
-    points = coords.select(key, F.array(F.col("x").cast("double"), F.col("y").cast("double")).alias("_xy"))
-    features = points.withColumn("_v", array_to_vector("_xy")).persist()
+    points = stage(
+        coords.select(key, F.array(F.col("x").cast("double"), F.col("y").cast("double")).alias("_xy")), "coords"
+    )
+    features = points.withColumn("_v", array_to_vector("_xy"))
     found = []
     for layer, k in enumerate(layers):
         model = KMeans(k=k, seed=SEED, featuresCol="_v", predictionCol="cluster").fit(features)
@@ -42,7 +45,7 @@ def cluster_layers(coords: DataFrame, key: str, layers: list[int] = LAYERS, edge
             .withColumn("cluster", F.when(F.col("distance") <= F.col("_limit"), F.col("cluster")))
             .select(key, "layer", "cluster", "distance")
         )
-    return reduce(DataFrame.unionByName, found)
+    return stage(reduce(DataFrame.unionByName, found), "clusters")
 
 
 def region_terms(documents: DataFrame, region: str, text: str, top: int = NAME_TERMS) -> DataFrame:
@@ -57,6 +60,12 @@ def region_terms(documents: DataFrame, region: str, text: str, top: int = NAME_T
         .groupBy("region", "term")
         .agg(F.count("*").alias("uses"))
     )
+    return weigh_terms(uses, top)
+
+
+def weigh_terms(uses: DataFrame, top: int = NAME_TERMS) -> DataFrame:
+    """The best terms from (region, term, uses); the counts are written once for three passes."""
+    uses = stage(uses, "terms")
     per_region = uses.groupBy("region").agg(F.sum("uses").alias("words"))
     overall = uses.groupBy("term").agg(F.sum("uses").alias("all_uses"))
     mean_words = per_region.agg(F.avg("words")).scalar()
@@ -94,11 +103,24 @@ def exemplars(placed: DataFrame, region: str, key: str, top: int = 5) -> DataFra
 
 
 def label_regions(clusters: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, layer, label) with named regions; gaps are Unlabelled."""
-    texts = documents.select(key, text)
+    """(key, layer, label) with named regions; gaps are Unlabelled.
+
+    Each text is split into words once; its word counts then go to its region in
+    every layer.
+    """
     region = F.when(F.col("cluster").isNotNull(), F.concat_ws("-", "layer", "cluster"))
     placed = clusters.withColumn("region", region)
-    named = region_names(region_terms(placed.join(texts, key), "region", text))
+    counted = (
+        documents.select(key, F.explode(words(F.col(text))).alias("term"))
+        .groupBy(key, "term")
+        .agg(F.count("*").alias("n"))
+    )
+    uses = (
+        counted.join(placed.where(F.col("region").isNotNull()).select(key, "region"), key)
+        .groupBy("region", "term")
+        .agg(F.sum("n").alias("uses"))
+    )
+    named = region_names(weigh_terms(uses))
     return placed.join(named, "region", "left").select(
         key, "layer", F.coalesce("label", F.lit(UNLABELLED)).alias("label")
     )

@@ -36,8 +36,9 @@ def purity(df: DataFrame, key: str, vector: str, concept: str, variant: str, k:
 
 def report(df: DataFrame, key: str, vector: str, concept: str, k: int = 15) -> DataFrame:
     """One row per variant: held-out area, purity, chance."""
+    rows = probe.split_vectors(df, key, vector, concept)
     areas = reduce(
-        DataFrame.unionByName, [probe.probe_auc(df, key, vector, concept, v) for v in VARIANTS]
+        DataFrame.unionByName, [probe.probe_split(rows, key, vector, concept, v) for v in VARIANTS]
     )
     purities = reduce(
         DataFrame.unionByName, [purity(df, key, vector, concept, v, k) for v in VARIANTS]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.operators import erasure, layout, neighbours, probe, regions
-from renown.plans import erasure_report
+from renown.plans import erasure_report, region_map
 from workload import roles
 from workload.roles import with_
 
@@ -124,9 +124,7 @@ def region_exemplars(spark: SparkSession, sf: str) -> DataFrame:
 def region_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Documents to vectors, layout, clusters, names and one label column per layer."""
     docs = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("pageid"), "text")
-    coords = layout.layout(layout.encode_hashed(docs, "pageid", "text", 256), "pageid", "embedding")
-    clusters = regions.cluster_layers(coords, "pageid")
-    return regions.layer_table(regions.label_regions(clusters, docs, "pageid", "text"), "pageid")
+    return regions.layer_table(region_map.label_layers(docs, "pageid", "text", 256), "pageid")
 
 
 QUERIES = {
