@@ -29,8 +29,11 @@ def monthly_matrix(views: DataFrame, months: list[str], keys: tuple[str, ...] =
 
 
 def middle(values: Column) -> Column:
-    """Median of a short array: the middle value, or the mean of the middle two."""
-    ordered = F.array_sort(values)
+    """Median of a short array without nulls: the middle value, or the mean of the middle two.
+
+    Only array functions that take part in code generation are used here.
+    """
+    ordered = F.sort_array(values)
     n = F.size(ordered)
     low = F.get(ordered, F.floor((n - 1) / 2).cast("int"))
     high = F.get(ordered, F.floor(n / 2).cast("int"))
@@ -48,8 +51,7 @@ def fame_metrics(matrix: DataFrame, months: list[str], present: bool = True) ->
         "n_months": reduce(Column.__add__, [(c > 0).cast("bigint") for c in columns]),
     }
     if present:
-        seen = F.filter(row, lambda v: v != 0)
-        metrics["median_present"] = F.coalesce(middle(seen), F.lit(0.0))
+        metrics["median_present"] = F.coalesce(middle(F.array_remove(row, 0)), F.lit(0.0))
     return matrix.withColumns(metrics)
 
 
