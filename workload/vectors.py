@@ -39,7 +39,7 @@ def leace_erase(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def leace_class_gap(spark: SparkSession, sf: str) -> DataFrame:
-    """Largest difference of the class means after the erasure, per class pair: zero."""
+    """Difference of the class means per dimension after the erasure: zero."""
     df = concept_vectors(spark, sf)
     fitted = erasure.fit_leace(df, "embedding", "concept")
     cells = erasure.erase(df, "embedding", fitted, as_float=False).select(
@@ -55,7 +55,7 @@ def knn_cosine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def plane(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers and suppliers in the plane of balance and key; many share a point's surroundings."""
+    """Customers in the plane of rounded balance and nation; many share a point."""
     return roles.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("id"),
         F.array(F.floor(F.col("c_acctbal") / 100).cast("double"), F.col("c_nationkey").cast("double")).alias("xy"),
