@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import mixing, sharding
+from renown.llm import mixing, sharding, token_prefix
+
+TOKEN_LIMIT = 2048
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +37,17 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, read off the last prefix."""
+    import public_tokenizers
+
+    docs = _documents(spark, sf_dir)
+    counted = token_prefix.count_tokens(docs, str(public_tokenizers.path("word_bpe_49k.json")), carry=("doc_id",))
+    return counted.select(
+        F.col("record.doc_id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
 OP8_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -63,7 +76,7 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM r
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op8_mixing": op8_mixing}
+QUERIES = {"op1_sharding": op1_sharding, "op8_mixing": op8_mixing, "op10_token_counts": op10_token_counts}
 ORACLES = {"op8_mixing": OP8_SQL}
 
 
