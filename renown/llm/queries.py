@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import mixing, sharding, token_prefix
+from renown.llm import mixing, sharding, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -29,6 +29,25 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(key: str = "doc_id") -> Column:
+    """Rows whose labels are never learnt from."""
+    return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document under a model of the labelled rows that are not held out."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held_out())
+    scored = toxicity.score(docs, toxicity.fit(docs, labels), carry=("doc_id",))
+    return scored.select(
+        F.col("record.doc_id").alias("doc_id"),
+        F.coalesce(held_out("record.doc_id"), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of the sources at weights 3, 1, 2."""
     mixed = mixing.mix(_documents(spark, sf_dir), carry=("doc_id",))
@@ -76,7 +95,7 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM r
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op8_mixing": op8_mixing, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op8_mixing": op8_mixing, "op10_token_counts": op10_token_counts}
 ORACLES = {"op8_mixing": OP8_SQL}
 
 
