@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -37,6 +38,7 @@ _RUN = re.compile(r"(.)\1\1")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
 _PREFIXES = (4, 5, 6)
+_CLEAN_COST = 3
 _KNOWN_TOKENS = 300_000
 _ROWS = 512
 
@@ -158,28 +160,40 @@ class ToxicityModel:
     base: float = 0.5  # share of toxic documents without any entry
 
 
-def _cover(toxic: list[set[str]], seen: dict[str, tuple[int, int]], least: int) -> list[str]:
+def _signature(words: list[str]) -> int:
+    """Near copies mostly share their smallest word hash; it tells independent documents apart."""
+    return min((zlib.crc32(w.encode()) for w in words), default=0)
+
+
+def _cover(toxic: list[tuple[int, set[str]]], seen: dict[str, tuple[int, int]], least: int) -> list[str]:
     """Entries that explain most of the toxic documents not explained before.
 
-    A word that only rides along in copies of a toxic document explains nothing new once
-    the entry behind them is chosen.
+    Support counts signatures, not documents, and each clean document with the entry costs
+    ``_CLEAN_COST``. A word that only rides along in a toxic document explains nothing new once
+    the entry behind it is chosen. Whole words that are never clean and widely spread follow.
     """
     holds = defaultdict(set)
-    for k, entries in enumerate(toxic):
+    for k, (_, entries) in enumerate(toxic):
         for entry in entries:
             holds[entry].add(k)
+    spread = {e: len({toxic[k][0] for k in at}) for e, at in holds.items()}
     chosen: list[str] = []
-    while holds:
-        entry = max(holds, key=lambda e: (len(holds[e]), seen[e][1] / seen[e][0], not e.endswith("*"), e))
-        covered = set(holds[entry])
-        if len(covered) < least:
+    left = {e: set(at) for e, at in holds.items()}
+
+    def value(entry: str) -> tuple:
+        new = len({toxic[k][0] for k in left[entry]})
+        n, bad = seen[entry]
+        return new - _CLEAN_COST * (n - bad), not entry.endswith("*"), entry
+
+    while left:
+        entry = max(left, key=value)
+        if value(entry)[0] < least:
             break
         chosen.append(entry)
-        for other in [*holds]:
-            holds[other] -= covered
-            if not holds[other]:
-                del holds[other]
-    return chosen
+        covered = set(left[entry])
+        left = {e: at - covered for e, at in left.items() if at - covered}
+    sure = [e for e in holds if not e.endswith("*") and spread[e] >= 4 * least and seen[e][1] >= 0.98 * seen[e][0]]
+    return chosen + sorted(set(sure) - set(chosen))
 
 
 def fit(
@@ -243,12 +257,12 @@ def fit(
     )
     seen = {r["entry"]: (r["n"], r["bad"]) for r in strong.collect()}
     toxic = [
-        {entry for word in r["words"] for entry in features(word) if entry in seen}
+        (_signature(r["words"]), {entry for word in r["words"] for entry in features(word) if entry in seen})
         for r in once.where("toxic > 0").select("words").toLocalIterator()
     ]
     chosen = _cover(toxic, seen, least)
     documents, bad = once.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    explained = sum(1 for entries in toxic if entries & set(chosen))
+    explained = sum(1 for _, entries in toxic if entries & set(chosen))
     base = (bad - explained + 1) / (documents - explained + 2)
     return ToxicityModel(logs, {e: (seen[e][1] + 1) / (seen[e][0] + 2) for e in chosen}, min(base, 0.49) if chosen else base)
 
