@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import mixing, sharding, token_prefix, toxicity
+from renown.llm import mixing, sharding, spaced_seeds, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -56,6 +56,13 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and where it lies."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = spaced_seeds.contamination(_documents(spark, sf_dir), benchmark, carry=("doc_id",))
+    return found.select(F.col("record.doc_id").alias("doc_id"), F.explode("hits").alias("hit")).select("doc_id", "hit.*")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, read off the last prefix."""
     import public_tokenizers
@@ -95,8 +102,33 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
 FROM r
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op8_mixing": op8_mixing, "op10_token_counts": op10_token_counts}
-ORACLES = {"op8_mixing": OP8_SQL}
+# Two substitutions leave one of three blocks of four words intact, so the windows are found by joining those.
+OP9_SQL = r"""
+WITH dw AS (
+  SELECT doc_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7f])+') AS w FROM documents
+), iw AS (
+  SELECT item_id AS id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '(?:[0-9a-z]|[^\x00-\x7f])+') AS w FROM benchmark
+), db AS (SELECT id, w, unnest(range(1, len(w) - 2)) AS p FROM dw),
+ib AS (SELECT id, w, unnest(range(1, len(w) - 2)) AS p FROM iw),
+cand AS (
+  SELECT DISTINCT d.id AS doc_id, i.id AS item_id, d.p - o AS dp, i.p - o AS ip
+  FROM (SELECT id, p, array_to_string(w[p:p + 3], ' ') AS g FROM db) d
+  JOIN (SELECT id, p, array_to_string(w[p:p + 3], ' ') AS g FROM ib) i USING (g)
+  CROSS JOIN (VALUES (0), (4), (8)) AS t(o)
+  WHERE d.p - o >= 1 AND i.p - o >= 1
+), win AS (
+  SELECT c.doc_id, c.item_id, c.dp, c.ip FROM cand c JOIN dw d ON c.doc_id = d.id JOIN iw i ON c.item_id = i.id
+  WHERE c.dp + 11 <= len(d.w) AND c.ip + 11 <= len(i.w)
+    AND len(list_filter(range(0, 12), lambda k: d.w[c.dp + k] = i.w[c.ip + k])) >= 10
+), covered AS (SELECT doc_id, item_id, unnest(range(dp - 1, dp + 11)) AS word FROM win)
+SELECT doc_id, item_id, n_windows, n_words, first_word, last_word
+FROM (SELECT doc_id, item_id, count(*)::INT AS n_windows FROM win GROUP BY ALL)
+JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::INT AS first_word, max(word)::INT AS last_word
+      FROM covered GROUP BY ALL) USING (doc_id, item_id)
+"""
+
+QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+ORACLES = {"op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 
 def queries() -> dict:
