@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import mixing, sharding, spaced_seeds, token_prefix, toxicity
+from renown.llm import dimension_scan, mixing, sharding, spaced_seeds, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -48,6 +48,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors by cosine of every fiftieth one."""
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return dimension_scan.search(vectors, F.col("vec_id") % 50 == 0)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words each document gives to a mix of the sources at weights 3, 1, 2."""
     mixed = mixing.mix(_documents(spark, sf_dir), carry=("doc_id",))
@@ -127,7 +133,7 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
 ORACLES = {"op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 
