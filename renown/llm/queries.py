@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import dimension_scan, mixing, sharding, spaced_seeds, token_prefix, toxicity
+from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -29,6 +29,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose three-word shingles agree to 85 percent."""
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return setsketch.near_duplicates(docs, n=3, percent=85).drop("tie")
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows whose labels are never learnt from."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
@@ -80,6 +86,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), g AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * shared >= 85 * (nx.n + ny.n - shared)),
+r AS (SELECT doc_id AS x, doc_id AS c FROM d UNION SELECT l.y, r.c FROM r JOIN l ON r.x = l.x),
+m AS (SELECT x, min(c) AS c FROM r GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id, doc_id = c AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.x = doc_id
+"""
+
 OP8_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents
@@ -133,8 +154,8 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
-ORACLES = {"op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+QUERIES = {"op1_sharding": op1_sharding, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+ORACLES = {"op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 
 def queries() -> dict:
