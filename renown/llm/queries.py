@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, token_prefix, toxicity
+from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -29,6 +29,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 13-word windows that an earlier document has."""
+    kept = substring_dedup.remove_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles agree to 85 percent."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -86,6 +92,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP2_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), g AS (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d),
+h AS (SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS s FROM g),
+f AS (SELECT s, min(doc_id) AS least FROM h GROUP BY s),
+c AS (SELECT DISTINCT doc_id, unnest(range(p, p + 13)) AS k FROM h JOIN f USING (s) WHERE least < doc_id),
+r AS (SELECT doc_id, list(k) AS ks, count(*) AS n FROM c GROUP BY doc_id),
+v AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS k FROM d),
+t AS (
+  SELECT v.doc_id, string_agg(word, ' ' ORDER BY v.k) AS kept FROM v LEFT JOIN c ON c.doc_id = v.doc_id AND c.k = v.k
+  WHERE c.k IS NULL GROUP BY v.doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
+
 OP4_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -154,8 +177,8 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
-ORACLES = {"op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 
 def queries() -> dict:
