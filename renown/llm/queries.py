@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, token_prefix, toxicity
+from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -35,6 +35,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the 200-byte strings that occur more than once."""
+    kept = suffix_dedup.remove_repeats(_documents(spark, sf_dir))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose three-word shingles agree to 85 percent."""
     docs = _documents(spark, sf_dir).select("doc_id", "text")
@@ -177,7 +185,7 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 

@@ -108,6 +108,7 @@ class Runs:
     start: np.ndarray  # bytes start..end hold all its windows
     end: np.ndarray
     minimiser: np.ndarray
+    lead: np.ndarray | None = None  # from the first window to the place of the minimiser
 
     def hashes(self) -> np.ndarray:
         return self.buffer.hashes(self.start, self.end)
@@ -177,7 +178,8 @@ def byte_runs(texts: list[bytes], k: int, m: int) -> Runs:
     count = np.diff(np.append(head, len(inside)))
     first = inside[head]
     text = np.searchsorted(buffer.starts, first, side="right") - 1
-    return Runs(buffer, text, first, count, first, first + count - 1 + k, lowest[first] >> np.uint64(20))
+    lead = ((lowest[first] - first.astype(np.uint64)) & np.uint64((1 << 20) - 1)).astype(np.int64)
+    return Runs(buffer, text, first, count, first, first + count - 1 + k, lowest[first] >> np.uint64(20), lead)
 
 
 def gather(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.BinaryArray:
