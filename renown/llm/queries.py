@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
+from renown.llm import attention_lm, dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -49,6 +49,13 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(docs, n=3, percent=85).drop("tie")
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text under the attention model and under unigram counts."""
+    import public_tokenizers
+
+    return attention_lm.score_texts(_documents(spark, sf_dir), str(public_tokenizers.path("word_bpe_49k.json")))
+
+
 def held_out(key: str = "doc_id") -> Column:
     """Rows whose labels are never learnt from."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0
@@ -185,7 +192,7 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
 ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
 
 
