@@ -110,4 +110,4 @@ def is_language_site(site: Column) -> Column:
 
 def item_number(qid: Column) -> Column:
     """``Q123`` to 123."""
-    return F.substring(qid, 2, 20).try_cast("bigint")
+    return F.substr(qid, F.lit(2)).try_cast("bigint")

@@ -16,10 +16,10 @@ HISTOGRAM_BINS = 80
 
 
 def cumulative_share(ranked: DataFrame, value: str = "total_views") -> DataFrame:
-    """Add the share of all views captured by ranks 1..rank."""
+    """Add the share of all views captured by ranks 1..rank; null where nobody has views."""
     total = ranked.agg(F.sum(value)).scalar()
     summed = running_total(ranked, value, "_running")
-    return summed.withColumn("share", F.col("_running") / total).drop("_running")
+    return summed.withColumn("share", F.try_divide(F.col("_running"), total)).drop("_running")
 
 
 def candidate_cutoffs(ranked: DataFrame, candidates: list[int] = CANDIDATES) -> DataFrame:

@@ -45,7 +45,10 @@ def fit_centroid(df: DataFrame, vector: str, concept: str) -> Erasure:
     """Project out the unit direction between the two class means."""
     means = _class_means(df, vector, concept)
     gap = means[1][1] - means[0][1]
-    unit = gap / np.linalg.norm(gap)
+    length = np.linalg.norm(gap)
+    if length == 0:  # equal means: no direction to project out
+        return Erasure(np.zeros_like(gap), np.zeros_like(gap), 0.0)
+    unit = gap / length
     return Erasure(unit, unit, 0.0)
 
 
@@ -64,7 +67,10 @@ def fit_leace(df: DataFrame, vector: str, concept: str) -> Erasure:
         array_to_vector(F.col(vector).cast("array<double>")).alias("v")
     )
     spread = labelled.agg(Summarizer.std(F.col("v")).alias("std")).first()["std"].toArray()
-    correlation = np.nan_to_num(Correlation.corr(labelled, "v").first()[0].toArray())
+    correlation = Correlation.corr(labelled, "v").first()[0].toArray()
+    # a constant column correlates with nothing; NaN from anywhere else stays and shows
+    constant = spread == 0
+    correlation[constant, :] = correlation[:, constant] = 0.0
     np.fill_diagonal(correlation, 1.0)
     covariance = correlation * np.outer(spread, spread)
     shared = (n0 * n1 / n**2) * (m1 - m0)

@@ -183,11 +183,13 @@ def nearest(
 
 
 def label_purity(neighbours: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """One row: the mean share of neighbours with the row's own label, over labelled pairs."""
+    """One row: each row's share of labelled neighbours with its own label, averaged over the rows."""
     own = labels.where(F.col(label).isNotNull()).select(F.col(key), F.col(label).alias("_own"))
     other = own.select(F.col(key).alias("neighbour"), F.col("_own").alias("_other"))
     return (
         neighbours.join(own, key)
         .join(other, "neighbour")
-        .agg(F.avg((F.col("_own") == F.col("_other")).cast("double")).alias("purity"))
+        .groupBy(key)
+        .agg(F.avg((F.col("_own") == F.col("_other")).cast("double")).alias("share"))
+        .agg(F.avg("share").alias("purity"))
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from renown.operators.ordering import number_rows
@@ -62,18 +62,25 @@ def rank_by_fame(metrics: DataFrame, *tie_break: str, name: str = "rank") -> Dat
 
 
 def home_ranking(
-    views: DataFrame, lookup: DataFrame, roster: DataFrame, months: list[str], tie_break: str = "pageid"
+    views: DataFrame, lookup: DataFrame, roster: DataFrame, months: list[str], tie_break: tuple[str, ...] = ("pageid",)
 ) -> DataFrame:
     """Rank the roster by one wiki's monthly views (month, title, views).
 
+    Equal fame keeps the order of ``tie_break``, for a crawled roster its crawl order.
+
     Views are summed per title before the lookup join, so a hot title is one
     row per month there.
     """
+    return rank_by_fame(home_metrics(views, lookup, roster, months), *tie_break)
+
+
+def home_metrics(views: DataFrame, lookup: DataFrame, roster: DataFrame, months: list[str]) -> DataFrame:
+    """The roster with its monthly views and metrics, unranked."""
     credited = views.join(lookup, "title").select("pageid", "month", "views")
     matrix = monthly_matrix(credited, months, ("pageid",))
     columns = [month_column(m) for m in months]
     filled = roster.join(matrix, "pageid", "left").na.fill(0, columns)
-    return rank_by_fame(fame_metrics(filled, months), tie_break)
+    return fame_metrics(filled, months)
 
 
 def item_language_views(site_views: DataFrame, lookup: DataFrame) -> DataFrame:
@@ -122,5 +129,12 @@ def global_ranking(metrics: DataFrame, home_ranked: DataFrame) -> DataFrame:
 
 
 def top(ranked: DataFrame, k: int) -> DataFrame:
-    """The first k ranks."""
+    """The first k ranks of a ranking that is at hand."""
     return ranked.where(F.col("rank") <= k)
+
+
+def top_by_fame(metrics: DataFrame, k: int, *tie_break: str) -> DataFrame:
+    """The first k ranks straight from the metrics: every task keeps k rows, nothing else is sorted."""
+    order = [F.col("median_views").desc(), F.col("total_views").desc(), *[F.col(c).asc() for c in tie_break]]
+    first = metrics.orderBy(*order).limit(k)
+    return first.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))  # k rows

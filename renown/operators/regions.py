@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from renown.functions.texts import words
 from renown.operators.facets import wide_labels
+from renown.operators.ordering import number_rows
 from renown.session import stage
 
 # Clusters per layer from coarse to fine, the fewest allowed, seed,
@@ -38,16 +39,30 @@ def cluster_layers(coords: DataFrame, key: str, layers: list[int] = LAYERS, edge
             F.pow(F.col("_xy")[0] - centre[0], 2) + F.pow(F.col("_xy")[1] - centre[1], 2)
         )
         placed = model.transform(features).select(key, F.lit(layer).alias("layer"), "cluster", gap.alias("distance"))
-        # a mergeable sketch: a crowded cluster isn't gathered anywhere
-        limits = placed.groupBy("cluster").agg(F.percentile_approx("distance", edge, 10_000).alias("_limit"))
-        found.append(
-            placed.join(F.broadcast(limits), "cluster")  # k rows
-            .withColumn("cluster", F.when(F.col("distance") <= F.col("_limit"), F.col("cluster")))
-            .select(key, "layer", "cluster", "distance")
-        )
+        found.append(within_edge(placed, key, edge))
     return stage(reduce(DataFrame.unionByName, found), "clusters")
 
 
+def within_edge(placed: DataFrame, key: str, edge: float = EDGE) -> DataFrame:
+    """Rows (key, layer, cluster, distance) with a null cluster beyond the cluster's ``edge`` quantile.
+
+    The limit is the exact quantile, interpolated between the two nearest places. Rows are numbered
+    by distance in range partitions, so a crowded cluster is gathered nowhere. Clusters must not be
+    null and one layer is given at a time.
+    """
+    placed = number_rows(placed, [F.col("distance").asc(), F.col(key).asc()], "_place", within=("cluster",))
+    sizes = placed.groupBy("cluster").agg(F.count("*").alias("_n"))
+    at = (F.col("_n") - 1) * F.lit(float(edge))
+    ends = placed.join(sizes, "cluster").where(F.col("_place") - 1 <= F.ceil(at)).where(F.col("_place") - 1 >= F.floor(at))
+    low = F.min("distance")
+    limits = ends.groupBy("cluster").agg(
+        (low + (F.max("distance") - low) * F.max(at - F.floor(at))).alias("_limit")
+    )
+    return placed.join(limits, "cluster").select(
+        key, "layer", F.when(F.col("distance") <= F.col("_limit"), F.col("cluster")).alias("cluster"), "distance"
+    )
+
+
 def region_terms(documents: DataFrame, region: str, text: str, top: int = NAME_TERMS) -> DataFrame:
     """(region, place, term, weight): terms that are frequent in a region and rare elsewhere.
 

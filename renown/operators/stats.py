@@ -26,7 +26,8 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
         df.where(F.col(label).isNotNull())
         .groupBy(label)
         .agg(F.count("*").alias("n"))
-        .agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n")).cast("double")).alias("chance"))
+        .select(F.col("n").cast("double").alias("n"))  # squares of large counts leave the range of bigint
+        .agg((F.sum(F.col("n") * F.col("n")) / (F.sum("n") * F.sum("n"))).alias("chance"))
     )
 
 

@@ -42,6 +42,10 @@ CLAIMS_RECORD = T.StructType(
 )
 
 
+# a broken line is an error: parsed leniently it would vanish
+_STRICT = {"mode": "FAILFAST"}
+
+
 def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines with an ordinal that grows along each file.
 
@@ -61,7 +65,7 @@ def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def crawl_pages(lines: DataFrame) -> DataFrame:
     """One row per page of each crawl batch with its crawl order (line_no, pos)."""
-    batch = F.from_json("value", CRAWL_BATCH)
+    batch = F.from_json("value", CRAWL_BATCH, _STRICT)
     return (
         lines.select("line_no", F.posexplode(batch["pages"]).alias("pos", "page"))
         .select("line_no", "pos", "page.title", "page.pageid", "page.qid")
@@ -70,7 +74,7 @@ def crawl_pages(lines: DataFrame) -> DataFrame:
 
 def crawl_finished(lines: DataFrame) -> DataFrame:
     """One row: number of batches, and whether the last one has no continuation."""
-    batch = F.from_json("value", CRAWL_BATCH)
+    batch = F.from_json("value", CRAWL_BATCH, _STRICT)
     return lines.agg(
         F.count("*").alias("batches"),
         F.max_by(batch["continue"].isNull(), "line_no").alias("finished"),
@@ -78,8 +82,8 @@ def crawl_finished(lines: DataFrame) -> DataFrame:
 
 
 def first_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key in the given order; a partial aggregate, no sort per key."""
-    rest = [c for c in rows.columns if c != key and c not in order]
+    """The first row of each key in the given order, with its order columns; summed up before the shuffle."""
+    rest = [c for c in rows.columns if c != key]
     best = F.min_by(F.struct(*rest), F.struct(*order))
     return rows.groupBy(key).agg(best.alias("_row")).select(key, "_row.*")
 
@@ -92,13 +96,16 @@ def last_per_key(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def roster_from_crawl(lines: DataFrame) -> DataFrame:
-    """Roster of a crawl: overlapping batches repeat pages, the first occurrence stays."""
+    """Roster of a crawl: overlapping batches repeat pages, the first occurrence stays.
+
+    ``line_no`` and ``pos`` keep the crawl order, which breaks ties of the rankings.
+    """
     return first_per_key(crawl_pages(lines), "pageid", ["line_no", "pos"])
 
 
 def latest_records(lines: DataFrame, schema: T.StructType, key: str) -> DataFrame:
     """Checkpoint records; the last record of a key wins."""
-    records = lines.select("line_no", F.from_json("value", schema).alias("record")).select(
+    records = lines.select("line_no", F.from_json("value", schema, _STRICT).alias("record")).select(
         "line_no", "record.*"
     )
     return last_per_key(records.where(F.col(key).isNotNull()), key, ["line_no"])

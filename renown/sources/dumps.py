@@ -33,12 +33,14 @@ SITELINK_TUPLE = r"(?d)\((\d+),(\d+)," + _SQL_TEXT + "," + _SQL_TEXT + r"\)"
 
 
 def dump_month(file_name: Column) -> Column:
-    """``YYYY-MM`` from a dump's file name."""
-    return F.concat_ws(
+    """``YYYY-MM`` from a dump's file name; any other name is an error, as its views would be lost."""
+    month = F.concat_ws(
         "-",
         F.regexp_extract(file_name, DUMP_MONTH, 1),
         F.regexp_extract(file_name, DUMP_MONTH, 2),
     )
+    unknown = F.raise_error(F.concat(F.lit("no month in the file name "), file_name))
+    return F.when(file_name.rlike(DUMP_MONTH), month).otherwise(unknown)
 
 
 def read_view_lines(spark: SparkSession, path: str) -> DataFrame:

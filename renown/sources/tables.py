@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,31 +19,52 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def write_verified(df: DataFrame, path: str) -> int:
-    """Write beside ``path``, compare row counts, then rename; returns the count.
+def _content(key: str | None) -> list[Column]:
+    keys = F.lit(0) if key is None else F.coalesce(F.bit_xor(hash60(F.col(key))), F.lit(0))
+    return [F.count(F.lit(1)).alias("rows"), keys.cast("bigint").alias("key_hash")]
 
-    A reader sees the old table or the new one, and a failed write leaves
-    nothing behind. The expected count is a query of its own over ``df``, which
-    reads no columns where ``df`` is a stored table; pass a staged table if
-    ``df`` is costly.
+
+def write_verified(df: DataFrame, path: str, key: str | None = None) -> int:
+    """Write beside ``path``, compare with what was sent, then swap; returns the row count.
+
+    The row count, and with ``key`` a hash of the key set, are observed while ``df`` is
+    written, so its plan runs once. A repeated task can count twice, so a difference is
+    settled by evaluating ``df`` before it is called an error. The old table is moved
+    aside, the new one takes its place, and only then is the old one deleted; if the
+    move fails the old table is moved back. A failed write leaves nothing behind.
     """
     spark = df.sparkSession
     staging = f"{path}.staging-{uuid.uuid4().hex}"
     new, fs = _path_and_fs(spark, staging)
     target, _ = _path_and_fs(spark, path)
+    aside, _ = _path_and_fs(spark, f"{path}.previous-{uuid.uuid4().hex}")
     try:
-        df.write.parquet(staging)
-        expected, found = df.count(), spark.read.parquet(staging).count()
-        if found != expected:
-            raise RuntimeError(f"{path}: wrote {found} of {expected} rows")
-        if fs.exists(target):
-            fs.delete(target, True)
-        if not fs.rename(new, target):
+        sent = Observation()
+        df.observe(sent, *_content(key)).write.parquet(staging)
+        found = spark.read.parquet(staging).agg(*_content(key)).first().asDict()
+        if sent.get != found and df.agg(*_content(key)).first().asDict() != found:
+            raise RuntimeError(f"{path}: what was written is not what was sent")
+        replaced = fs.exists(target)
+        if replaced and not fs.rename(target, aside):
+            raise RuntimeError(f"could not move {path} aside")
+        if not _moved(fs, new, target):
+            if replaced:
+                fs.rename(aside, target)
             raise RuntimeError(f"could not move {staging} to {path}")
     except Exception:
         fs.delete(new, True)
         raise
-    return found
+    if replaced:
+        fs.delete(aside, True)
+    return found["rows"]
+
+
+def _moved(fs, source, target) -> bool:
+    """Rename; an error counts as a failure, so that the caller can undo its own step."""
+    try:
+        return fs.rename(source, target)
+    except Exception:
+        return False
 
 
 def write_months(df: DataFrame, root: str, month: str = "month") -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.sources.dumps import dump_month, home_views
+from renown.sources.tables import path_exists
 
 
 def ingest_arrivals(
@@ -18,6 +19,9 @@ def ingest_arrivals(
     month in different batches both count, so every line counts exactly once.
     ``arrivals`` is a glob of files named after their month.
     """
+    if path_exists(spark, target) and not path_exists(spark, checkpoint):
+        # batch numbers would start again and replace sums that are there
+        raise ValueError(f"{target} holds views, but their checkpoint {checkpoint} is gone")
     reader = spark.readStream.option("lineSep", "\n")
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

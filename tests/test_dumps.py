@@ -1,18 +1,19 @@
 import bz2
 import gzip
 
+import pytest
 from pyspark.sql import functions as F
 
 from renown.operators.redirects import redirect_map
 from renown.sources import dumps
 
-PAGE_LINE = (
-    "INSERT INTO `page` VALUES (10,0,'AccessibleComputing',1,0,0.33,'x'),(12,0,'Anarchism',0,0,0.78,'x'),"
-    "(13,1,'Talk_page',0,0,0.12,'x'),(14,0,'O\\'Brien_(surname)',0,0,0.5,'x');"
+PAGES = (
+    "INSERT INTO `page` VALUES (501,0,'Old_harbour',1,0,0.7,'w'),(502,0,'River_delta',0,0,0.2,'w'),"
+    r"(503,3,'Side_note',0,0,0.4,'w'),(504,0,'Land\'s_End',0,0,0.9,'w');"
 )
-REDIRECT_LINE = (
-    "INSERT INTO `redirect` VALUES (10,0,'Computer_accessibility','',''),(99,4,'Project_page','',''),"
-    "(15,0,'O\\'Brien','','');"
+TARGETS = (
+    "INSERT INTO `redirect` VALUES (501,0,'New_harbour','',''),(777,12,'Help_desk','',''),"
+    r"(505,0,'Land\'s_End','','');"
 )
 
 
@@ -21,26 +22,24 @@ def lines(spark, *values):
 
 
 def test_pages(spark):
-    got = {tuple(r) for r in dumps.parse_pages(lines(spark, PAGE_LINE, "-- comment")).collect()}
+    got = {tuple(r) for r in dumps.parse_pages(lines(spark, PAGES, "-- comment")).collect()}
     assert got == {
-        (10, 0, "AccessibleComputing", True),
-        (12, 0, "Anarchism", False),
-        (13, 1, "Talk_page", False),
-        (14, 0, "O'Brien_(surname)", False),
+        (501, 0, "Old_harbour", True),
+        (502, 0, "River_delta", False),
+        (503, 3, "Side_note", False),
+        (504, 0, "Land's_End", False),
     }
 
 
 def test_redirects(spark):
-    got = {tuple(r) for r in dumps.parse_redirects(lines(spark, REDIRECT_LINE)).collect()}
-    assert got == {(10, 0, "Computer_accessibility"), (99, 4, "Project_page"), (15, 0, "O'Brien")}
+    got = {tuple(r) for r in dumps.parse_redirects(lines(spark, TARGETS)).collect()}
+    assert got == {(501, 0, "New_harbour"), (777, 12, "Help_desk"), (505, 0, "Land's_End")}
 
 
 def test_redirect_map_keeps_article_namespace(spark):
-    pages = dumps.parse_pages(lines(spark, PAGE_LINE))
-    targets = dumps.parse_redirects(lines(spark, REDIRECT_LINE))
-    assert [tuple(r) for r in redirect_map(pages, targets).collect()] == [
-        ("AccessibleComputing", "Computer_accessibility")
-    ]
+    pages = dumps.parse_pages(lines(spark, PAGES))
+    targets = dumps.parse_redirects(lines(spark, TARGETS))
+    assert [tuple(r) for r in redirect_map(pages, targets).collect()] == [("Old_harbour", "New_harbour")]
 
 
 def test_redirect_map_drops_empty_and_self(spark):
@@ -64,30 +63,30 @@ def test_very_long_titles_do_not_overflow(spark):
 
 def test_sitelinks(spark):
     line = (
-        "INSERT INTO `wb_items_per_site` VALUES (1,42,'enwiki','Douglas Adams'),(2,42,'commonswiki','Douglas Adams'),"
-        "(3,43,'dewiki','L\\'Autre'),(4,44,'enwiki','Not on the roster');"
+        "INSERT INTO `wb_items_per_site` VALUES (1,811,'enwiki','River delta'),(2,811,'commonswiki','River delta'),"
+        r"(3,812,'dewiki','Land\'s End'),(4,813,'enwiki','Elsewhere');"
     )
     links = dumps.parse_sitelinks(lines(spark, line))
-    roster = spark.createDataFrame([(1, "Q42"), (2, "Q43"), (3, None)], "pageid long, qid string")
+    roster = spark.createDataFrame([(1, "Q811"), (2, "Q812"), (3, None)], "pageid long, qid string")
     got = {tuple(r) for r in dumps.roster_sitelinks(links, roster).select("qid", "site", "title").collect()}
-    assert got == {("Q42", "enwiki", "Douglas_Adams"), ("Q43", "dewiki", "L'Autre")}
-
-
-RAW = b"""en.wikipedia LeBron_James 240940 desktop 120 A5
-en.wikipedia LeBron_James 240940 mobile-web 30 A5
-en.wikipedia "\\"Weird_Al\\"_Yankovic" 1 desktop 7 A1
-en.wikipedia "Weird_Al"_Yankovic 1 desktop 5 A1
-en.wikipedia Short 240940 120
-en.wikipedia Bad 1 desktop x A5
-en.m.wikipedia LeBron_James 240940 desktop 1000 A5
-en.wikibooks LeBron_James 240940 desktop 1000 A5
-en.wikipediax LeBron_James 240940 desktop 1000 A5
-en.wikipedia Inv\xff\xe2\x82alid 9 desktop 4 A1
-zh-yue.wikipedia LeBron_James 1 desktop 2 A1
-EN.wikipedia LeBron_James 1 desktop 900 A1
-en.wikipedia Zero 1 desktop 0 A1
-en.wikipedia Next\xc2\x85line 1 desktop 3 A1
-"""
+    assert got == {("Q811", "enwiki", "River_delta"), ("Q812", "dewiki", "Land's_End")}
+
+
+RAW = rb"""en.wikipedia River_delta 502 desktop 40 B2
+en.wikipedia River_delta 502 mobile-app 15 B2
+en.wikipedia "The_\"Blue\"_Hour" 7 desktop 6 B1
+en.wikipedia The_"Blue"_Hour 7 desktop 3 B1
+en.wikipedia Too_short 502 40
+en.wikipedia No_number 7 desktop many B2
+en.m.wikipedia River_delta 502 desktop 800 B2
+en.wikivoyage River_delta 502 desktop 800 B2
+en.wikipediaold River_delta 502 desktop 800 B2
+en.wikipedia Bro?ken 9 desktop 8 B1
+zh-yue.wikipedia River_delta 7 desktop 5 B1
+EN.wikipedia River_delta 7 desktop 700 B1
+en.wikipedia Nobody 7 desktop 0 B1
+en.wikipedia Next~line 7 desktop 2 B1
+""".replace(b"?", b"\xff\xe2\x82").replace(b"~", "\x85".encode())
 
 
 def write_dump(folder, month="202507", raw=RAW):
@@ -99,25 +98,32 @@ def write_dump(folder, month="202507", raw=RAW):
 def test_home_views_from_bz2(spark, tmp_path):
     got = dumps.home_views(dumps.read_view_lines(spark, write_dump(tmp_path)))
     assert {tuple(r) for r in got.select("month", "title", "views").collect()} == {
-        ("2025-07", "LeBron_James", 150),
-        ("2025-07", '"Weird_Al"_Yankovic', 12),
-        ("2025-07", b"Inv\xff\xe2\x82alid".decode("utf-8", errors="replace"), 4),
-        ("2025-07", "Zero", 0),
-        ("2025-07", "Next\x85line", 3),
+        ("2025-07", "River_delta", 55),
+        ("2025-07", 'The_"Blue"_Hour', 9),
+        ("2025-07", b"Bro\xff\xe2\x82ken".decode("utf-8", errors="replace"), 8),
+        ("2025-07", "Nobody", 0),
+        ("2025-07", "Next\x85line", 2),
     }
 
 
+def test_a_dump_without_a_month_is_an_error(spark, tmp_path):
+    path = tmp_path / "views-july.txt"
+    path.write_bytes(RAW)
+    with pytest.raises(Exception, match="no month in the file name"):
+        dumps.home_views(dumps.read_view_lines(spark, str(path))).collect()
+
+
 def test_all_site_views(spark, tmp_path):
     got = dumps.all_site_views(dumps.read_view_lines(spark, write_dump(tmp_path)))
     by_site = {(r["lang"], r["site"], r["title"]): r["views"] for r in got.collect()}
-    assert by_site[("en", "enwiki", "LeBron_James")] == 150
-    assert by_site[("zh-yue", "zh_yuewiki", "LeBron_James")] == 2
+    assert by_site[("en", "enwiki", "River_delta")] == 55
+    assert by_site[("zh-yue", "zh_yuewiki", "River_delta")] == 5
     assert {k[0] for k in by_site} == {"en", "zh-yue"}
 
 
 def test_sql_lines_from_gz(spark, tmp_path):
     path = tmp_path / "enwiki-latest-page.sql.gz"
-    path.write_bytes(gzip.compress(f"-- head\n{PAGE_LINE}\nUNLOCK TABLES;\n".encode()))
+    path.write_bytes(gzip.compress(f"-- head\n{PAGES}\nUNLOCK TABLES;\n".encode()))
     read = dumps.read_sql_lines(spark, str(path))
     assert dumps.parse_pages(read).count() == 4
 

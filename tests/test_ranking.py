@@ -48,6 +48,23 @@ def test_never_seen_and_ties(spark):
     assert got == {"c": (1, 0.0, 1.0, 3), "a": (2, 0.0, 0.0, 0), "b": (3, 0.0, 0.0, 0)}
 
 
+def test_ties_keep_the_crawl_order(spark):
+    roster = spark.createDataFrame([(9, "first", None, 0, 0), (3, "second", None, 0, 1), (5, "third", None, 1, 0)],
+                                   f"{ROSTER}, line_no int, pos int")
+    views = spark.createDataFrame([(m, t, 7) for m in MONTHS for t in ("first", "second", "third")], VIEWS)
+    hops = spark.createDataFrame([], REDIRECTS)
+    ranked = attention.rank_home(views, roster, hops, MONTHS, ("line_no", "pos"))
+    assert [r["title"] for r in ranked.orderBy("rank").collect()] == ["first", "second", "third"]
+    top = attention.top_home(views, roster, hops, MONTHS, 2, ("line_no", "pos"))
+    assert [(r["rank"], r["title"]) for r in top.orderBy("rank").collect()] == [(1, "first"), (2, "second")]
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_repeated_title_is_an_error(spark):
+    with pytest.raises(ValueError, match="roster titles are unique"):
+        rank(spark, [(1, "a", None), (2, "a", None)], [(MONTHS[0], "a", 5)])
+
+
 def test_only_available_months_count(spark):
     views = spark.createDataFrame([(1, "2025-01", 4), (1, "2025-02", 8)], "entity long, month string, views long")
     for months, median in [(["2025-01", "2025-02"], 6.0), (["2025-01", "2025-02", "2025-03"], 4.0), (["2025-02"], 8.0)]:

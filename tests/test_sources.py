@@ -16,7 +16,9 @@ def test_crawl_keeps_the_first_occurrence(spark, tmp_path):
     ]
     (tmp_path / "roster.jsonl").write_text("".join(json.dumps(b) + "\n" for b in batches))
     lines = crawl.read_json_lines(spark, str(tmp_path))
-    got = {r["pageid"]: (r["title"], r["qid"]) for r in crawl.roster_from_crawl(lines).collect()}
+    roster = crawl.roster_from_crawl(lines)
+    got = {r["pageid"]: (r["title"], r["qid"]) for r in roster.collect()}
+    assert [r["pageid"] for r in roster.orderBy("line_no", "pos").collect()] == [1, 2, 3]
     assert got == {1: ("A", "Q1"), 2: ("B", None), 3: ("C", "Q3")}
     assert tuple(crawl.crawl_finished(lines).first()) == (2, True)
 
@@ -68,6 +70,62 @@ def test_failed_write_keeps_the_old_table(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out"]
 
 
+class FailingMoves:
+    """A file system that renames a number of times and then no more, but for the way back."""
+
+    def __init__(self, fs, allowed):
+        self.fs, self.allowed = fs, allowed
+
+    def rename(self, source, target):
+        if source.getName().startswith("out.previous"):
+            return self.fs.rename(source, target)
+        self.allowed -= 1
+        return self.allowed >= 0 and self.fs.rename(source, target)
+
+    def __getattr__(self, name):
+        return getattr(self.fs, name)
+
+
+@pytest.mark.parametrize("allowed", [0, 1])
+def test_failed_move_keeps_the_old_table(spark, tmp_path, monkeypatch, allowed):
+    path = str(tmp_path / "out")
+    tables.write_verified(spark.range(3), path, "id")
+    plain, failing = tables._path_and_fs, []
+
+    def broken(session, at):
+        location, fs = plain(session, at)
+        failing.append(failing[0] if failing else FailingMoves(fs, allowed))
+        return location, failing[0]
+
+    monkeypatch.setattr(tables, "_path_and_fs", broken)
+    with pytest.raises(RuntimeError, match="could not move"):
+        tables.write_verified(spark.range(9), path, "id")
+    monkeypatch.undo()
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out"]
+
+
+def test_verified_write_runs_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(50).mapInArrow(count, "id long")
+    assert tables.write_verified(df, str(tmp_path / "out"), "id") == 50
+    assert seen.value == 50
+
+
+def test_broken_json_is_an_error(spark):
+    lines = spark.createDataFrame([(1, '{"pageid": 1, "extract": "cut o')], "line_no int, value string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        crawl.latest_records(lines, crawl.TEXT_RECORD, "pageid").collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        crawl.roster_from_crawl(lines).collect()
+
+
 def test_months_are_written_once_each(spark, tmp_path):
     root, months = str(tmp_path / "months"), ["01", "02", "03"]
     rows = spark.createDataFrame([("01", "a", 1), ("02", "a", 2)], "month string, title string, views long")
@@ -134,3 +192,6 @@ def test_incremental_equals_batch(spark, tmp_path):
     batch = dumps.home_views(dumps.read_view_lines(spark, glob)).select("month", "title", "views")
     assert got == sorted(map(tuple, batch.collect())) == [("2025-07", "A", 12), ("2025-07", "B", 1), ("2025-08", "A", 2)]
     assert ingest.ingested_views(spark, target, ["2025-08"]).count() == 1
+    # without its checkpoint the batches would be numbered anew and replace what is there
+    with pytest.raises(ValueError, match="checkpoint"):
+        ingest.ingest_arrivals(spark, glob, target, str(tmp_path / "lost"))

@@ -90,3 +90,15 @@ def test_roster_comparison(spark):
     assert [(r["qid"], r["home_rank"], r["rank"]) for r in rosters.leavers(home, world, 2).collect()] == [
         ("Q0", 1, 4), ("Q1", 2, 3),
     ]
+
+
+def test_balance_of_very_large_classes(spark):
+    """Counts beyond the root of the largest bigint."""
+    n = F.lit(4_000_000_000).cast("double")
+    assert spark.range(1).select(n * n).first()[0] == 1.6e19
+    assert stats.class_balance(spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string"), "k").first()[0] == 5 / 9
+
+
+def test_shares_without_any_views(spark):
+    ranked = spark.createDataFrame([(1, 0), (2, 0)], "rank long, total_views long")
+    assert [r["share"] for r in cutoffs.cumulative_share(ranked).collect()] == [None, None]

@@ -64,7 +64,7 @@ def test_plane_search_prunes(spark):
 def test_purity(spark):
     near = spark.createDataFrame([(1, 2), (1, 3), (2, 1), (3, 9)], "id long, neighbour long")
     labels = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (9, None)], "id long, label string")
-    assert neighbours.label_purity(near, labels, "id", "label").first()[0] == pytest.approx(2 / 3)
+    assert neighbours.label_purity(near, labels, "id", "label").first()[0] == pytest.approx(3 / 4)
 
 
 @pytest.fixture(scope="module")
@@ -208,3 +208,17 @@ def test_regions(spark):
     assert best.count() == 8
     with pytest.raises(ValueError):
         regions.cluster_layers(coords, "id", [3])
+
+
+def test_equal_class_means_erase_nothing(spark):
+    df = spark.createDataFrame([([1.0, 2.0], c) for c in (True, False, True, False)], "v array<double>, c boolean")
+    erased = erasure.erase(df, "v", erasure.fit_centroid(df, "v", "c"), as_float=False)
+    assert {tuple(r["v"]) for r in erased.collect()} == {(1.0, 2.0)}
+
+
+def test_region_edge_is_the_exact_quantile(spark):
+    rng = np.random.default_rng(5)
+    frame = pd.DataFrame({"id": range(500), "layer": 0, "cluster": rng.integers(0, 3, 500), "distance": np.round(rng.exponential(size=500), 2)})
+    got = {r["id"]: r["cluster"] for r in regions.within_edge(spark.createDataFrame(frame), "id").collect()}
+    edge = frame.groupby("cluster")["distance"].transform(lambda d: np.quantile(d, 0.9))
+    assert {i for i, c in got.items() if c is None} == set(frame["id"][frame["distance"] > edge + 1e-12])

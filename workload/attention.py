@@ -8,10 +8,14 @@ from pyspark.sql import functions as F
 from renown.operators import ranking
 from renown.operators import redirects as redirect_ops
 from renown.plans import attention
-from renown.sources import dumps
+from renown.session import scratch_path
+from renown.sources import dumps, tables
 from workload import roles
 from workload.roles import MONTHS, with_
 
+TOP_N = 100
+ABSENT = "03"
+
 
 def dump_parse(spark: SparkSession, sf: str) -> DataFrame:
     return dumps.home_views(roles.dump_lines(spark, sf))
@@ -85,6 +89,30 @@ def rank_median(spark: SparkSession, sf: str) -> DataFrame:
     return home_ranked(spark, sf).select(HOME_COLUMNS)
 
 
+def rank_top(spark: SparkSession, sf: str) -> DataFrame:
+    """The first hundred of the roster without ranking the rest."""
+    first = attention.top_home(
+        roles.title_views(spark, sf), roles.crawled(spark, sf), roles.redirects(spark, sf), MONTHS, TOP_N
+    )
+    return first.select(HOME_COLUMNS)
+
+
+def rank_crawl_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Ties in an order of crawling that differs from the order of keys; views count once per month, so ties abound."""
+    crawled = roles.crawled(spark, sf).withColumn("crawl_no", F.col("pageid") * 7919 % 1_000_003)
+    views = roles.title_views(spark, sf).withColumn("views", F.lit(1).cast("bigint"))
+    ranked = attention.rank_home(views, crawled, roles.redirects(spark, sf), MONTHS, ("crawl_no", "pageid"))
+    return ranked.select("rank", "pageid", "median_views", "total_views")
+
+
+def rank_available_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A window with a month that isn't stored: the others decide."""
+    root = scratch_path(spark, "stored-months")
+    tables.write_months(roles.title_views(spark, sf).where(F.col("month") != ABSENT), root)
+    ranked = attention.rank_stored(spark, root, roles.crawled(spark, sf), roles.redirects(spark, sf), MONTHS)
+    return ranked.select("rank", "pageid", "median_views", "total_views", "n_months")
+
+
 def global_ranked(spark: SparkSession, sf: str) -> DataFrame:
     return attention.rank_global(item_views(spark, sf), home_ranked(spark, sf), MONTHS)
 
@@ -116,6 +144,9 @@ QUERIES = {
     "monthly_matrix": monthly_matrix,
     "rank_median": rank_median,
     "rank_global": rank_global,
+    "rank_top": rank_top,
+    "rank_crawl_order": rank_crawl_order,
+    "rank_available_months": rank_available_months,
 }
 
 ORACLES = {
@@ -148,6 +179,17 @@ ORACLES = {
     ),
     "monthly_matrix": with_(*roles.HOME, select=f"SELECT pageid, {_MATRIX} FROM grid GROUP BY pageid"),
     "rank_median": with_(*roles.HOME, select=f"SELECT {_LIST(HOME_COLUMNS)} FROM home_ranked"),
+    "rank_top": with_(*roles.HOME, select=f"SELECT {_LIST(HOME_COLUMNS)} FROM home_ranked WHERE rank <= {TOP_N}"),
+    "rank_crawl_order": with_(
+        roles.CRAWLED, roles.REDIRECTS, roles.ROSTER, roles.TITLE_VIEWS.replace("title_views AS", "all_views AS", 1),
+        "title_views AS (SELECT title, month, 1::BIGINT AS views FROM all_views)", roles.HOME_GRID, roles.HOME_RANKED,
+        select="""SELECT row_number() OVER (ORDER BY median_views DESC, total_views DESC, pageid * 7919 % 1000003, pageid) AS rank,
+        pageid, median_views, total_views FROM home_metrics""",
+    ),
+    "rank_available_months": with_(
+        *[part.replace(f"('{ABSENT}'), ", "") for part in roles.HOME],
+        select="SELECT rank, pageid, median_views, total_views, n_months FROM home_ranked",
+    ),
     "rank_global": with_(
         *roles.GLOBAL,
         select=f"SELECT {_LIST(GLOBAL_COLUMNS)}, round(english_share::DOUBLE, 6) AS english_share FROM global_ranked",

@@ -159,7 +159,7 @@ def crawl_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def roster_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return crawl.roster_from_crawl(crawl_lines(spark, sf))
+    return crawl.roster_from_crawl(crawl_lines(spark, sf)).drop("line_no", "pos")
 
 
 def text_checkpoint(spark: SparkSession, sf: str) -> DataFrame:

@@ -9,7 +9,7 @@ from renown.functions import claims as C
 from renown.functions import display as D
 from renown.functions import texts as X
 from renown.functions.titles import fuzzy_title_key
-from renown.operators import expect, facets
+from renown.operators import expect, facets, regions
 from workload import attention, roles
 from workload.roles import with_
 
@@ -261,11 +261,8 @@ def legend_order(spark: SparkSession, sf: str) -> DataFrame:
 
 def label_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Names and unlabelled share per layer."""
-    labels = region_labels(spark, sf).withColumn("label", F.coalesce("label", F.lit("Unlabelled")))
-    return labels.groupBy("layer").agg(
-        F.countDistinct("label").alias("names"),
-        F.round(F.avg((F.col("label") == "Unlabelled").cast("double")), 6).alias("unlabelled"),
-    )
+    labels = region_labels(spark, sf).withColumn("label", F.coalesce("label", F.lit(regions.UNLABELLED)))
+    return regions.layer_summary(labels).withColumn("unlabelled", F.round("unlabelled", 6))
 
 
 def layer_expectation(spark: SparkSession, sf: str) -> DataFrame:

@@ -12,10 +12,10 @@ from workload import roles
 from workload.roles import MONTHS, with_
 
 
-def arrival_files(spark: SparkSession, sf: str, root: str, half: str) -> None:
-    """Write the dump lines of one half (by line status) as files named after 2001 months."""
+def arrival_files(spark: SparkSession, sf: str, root: str, finished: bool) -> None:
+    """Write the dump lines of finished or of all other orders as files named after 2001 months."""
     lines = (
-        roles.derived_lines(spark, sf, half)
+        roles.derived_lines(spark, sf, finished)
         .select("value", F.concat(F.lit("pageviews-2001"), "month", F.lit("-user")).alias("dump"))
     )
     lines.write.mode("append").partitionBy("dump").text(root)
@@ -25,8 +25,8 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two arrivals that share months, ingested by two runs."""
     root = scratch_path(spark, "arrivals")
     target, checkpoint = scratch_path(spark, "ingested"), scratch_path(spark, "ingest-state")
-    for half in ("F", "O"):
-        arrival_files(spark, sf, root, half)
+    for finished in (True, False):
+        arrival_files(spark, sf, root, finished)
         ingest.ingest_arrivals(spark, f"{root}/*/*.txt", target, checkpoint)
     return ingest.ingested_views(spark, target).withColumn("month", F.substring("month", 6, 2))
 
@@ -42,13 +42,11 @@ def month_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def verified_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors written with a check of the row count, then read back."""
+    """Vectors written with a check of rows and keys, then read back value by value."""
     path = scratch_path(spark, "verified")
-    tables.write_verified(roles.table(spark, sf, "embeddings").select("vec_id", "embedding"), path)
-    stored = spark.read.parquet(path)
-    return stored.select(
-        "vec_id", F.size("embedding").alias("dims"), F.round(F.col("embedding")[0].cast("double"), 6).alias("first")
-    )
+    tables.write_verified(roles.table(spark, sf, "embeddings").select("vec_id", "embedding"), path, "vec_id")
+    cells = spark.read.parquet(path).select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+    return cells.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 QUERIES = {
@@ -62,5 +60,6 @@ ORACLES = {
         select="SELECT month, title, sum(views)::BIGINT AS views FROM good_lines WHERE lang = 'en' GROUP BY 1, 2",
     ),
     "month_table": with_(roles.TITLE_VIEWS, select="SELECT month, title, views FROM title_views"),
-    "verified_table": "SELECT vec_id, len(embedding)::INT AS dims, round(embedding[1]::DOUBLE, 6) AS first FROM embeddings",
+    "verified_table": """SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INT AS pos,
+        round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings""",
 }

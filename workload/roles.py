@@ -134,10 +134,10 @@ def dump_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("value string, month string").text(path)
 
 
-def derived_lines(spark: SparkSession, sf_dir: str, status: str | None = None) -> DataFrame:
+def derived_lines(spark: SparkSession, sf_dir: str, finished: bool | None = None) -> DataFrame:
     """One raw dump line per lineitem row, with bad lines and both spellings of quoted titles.
 
-    ``status`` picks the lines of one status, to let them arrive in two parts.
+    ``finished`` picks the lines of status F or all others, to let them arrive in two parts.
     """
     slug = underscored(part_title())
     part = table(spark, sf_dir, "part").select(
@@ -166,8 +166,8 @@ def derived_lines(spark: SparkSession, sf_dir: str, status: str | None = None) -
         " ", F.concat("wiki", domain), title, F.col("l_partkey").cast("string"), access, count, tail
     )
     items = table(spark, sf_dir, "lineitem")
-    if status is not None:
-        items = items.where(F.col("l_linestatus") == status)
+    if finished is not None:
+        items = items.where(F.col("l_linestatus").eqNullSafe(F.lit("F")) == F.lit(finished))
     return (
         with_edition(spark, sf_dir, items.join(part, "l_partkey"))
         .select(ship_month().alias("month"), line.alias("value"))

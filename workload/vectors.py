@@ -49,6 +49,17 @@ def leace_class_gap(spark: SparkSession, sf: str) -> DataFrame:
     return cells.groupBy("pos").agg((F.round(F.abs(gap), 9) + 0.0).alias("gap"))
 
 
+def leace_plane(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in the plane of balance and nation, without what tells one market segment from the rest."""
+    df = roles.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.array(F.col("c_acctbal").cast("double"), F.col("c_nationkey").cast("double")).alias("xy"),
+        (F.col("c_mktsegment") == "BUILDING").alias("concept"),
+    )
+    erased = erasure.erase(df, "xy", erasure.fit_leace(df, "xy", "concept"), as_float=False)
+    return erased.select("id", F.round(F.col("xy")[0], 4).alias("x"), F.round(F.col("xy")[1], 4).alias("y"))
+
+
 def knn_cosine(spark: SparkSession, sf: str) -> DataFrame:
     near = neighbours.nearest(concept_vectors(spark, sf), "vec_id", "embedding", K, "cosine")
     return near.select("vec_id", "neighbour", "place", F.round("score", 6).alias("score"))
@@ -121,6 +132,17 @@ def region_exemplars(spark: SparkSession, sf: str) -> DataFrame:
     return regions.exemplars(placed, "c_nationkey", "c_custkey")
 
 
+def region_edge(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers beyond nine tenths of their nation's distances from its mean balance lose their nation."""
+    customer = roles.table(spark, sf, "customer")
+    mean = customer.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("mean"))
+    placed = customer.join(mean, "c_nationkey").select(
+        "c_custkey", F.lit(0).alias("layer"), F.col("c_nationkey").alias("cluster"),
+        F.round(F.abs(F.col("c_acctbal") - F.col("mean")), 6).alias("distance"),
+    )
+    return regions.within_edge(placed, "c_custkey").select("c_custkey", "cluster", "distance")
+
+
 def region_layers(spark: SparkSession, sf: str) -> DataFrame:
     """Documents to vectors, layout, clusters, names and one label column per layer."""
     docs = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("pageid"), "text")
@@ -131,6 +153,7 @@ QUERIES = {
     "centroid_erase": centroid_erase,
     "leace_erase": leace_erase,
     "leace_class_gap": leace_class_gap,
+    "leace_plane": leace_plane,
     "knn_cosine": knn_cosine,
     "knn_plane": knn_plane,
     "knn_purity": knn_purity,
@@ -143,6 +166,7 @@ QUERIES = {
     "region_names": region_names,
     "region_exemplars": region_exemplars,
     "region_layers": region_layers,
+    "region_edge": region_edge,
 }
 
 VECTORS = """vectors AS (
@@ -170,6 +194,17 @@ ORACLES = {
         FROM cells JOIN unit USING (pos) JOIN along USING (vec_id)"""),
     "leace_class_gap": """SELECT (pos - 1)::INT AS pos, 0.0::DOUBLE AS gap
         FROM (SELECT DISTINCT generate_subscripts(embedding, 1) AS pos FROM embeddings)""",
+    "leace_plane": """WITH p AS (
+          SELECT c_custkey AS id, c_acctbal::DOUBLE AS x, c_nationkey::DOUBLE AS y, c_mktsegment = 'BUILDING' AS t FROM customer),
+        m AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS xx, var_samp(y) AS yy, covar_samp(x, y) AS xy,
+                     avg(x) FILTER (t) - avg(x) FILTER (NOT t) AS cx, avg(y) FILTER (t) - avg(y) FILTER (NOT t) AS cy FROM p),
+        w AS (SELECT *, yy * cx - xy * cy AS wx, xx * cy - xy * cx AS wy FROM m),
+        f AS (SELECT id, x, y, cx, cy, (wx * (x - mx) + wy * (y - my)) / (wx * cx + wy * cy) AS s FROM p, w)
+        SELECT id, round(x - s * cx, 4) AS x, round(y - s * cy, 4) AS y FROM f""",
+    "region_edge": """WITH d AS (
+          SELECT c_custkey, c_nationkey, round(abs(c_acctbal - avg(c_acctbal) OVER (PARTITION BY c_nationkey)), 6) AS distance FROM customer),
+        l AS (SELECT c_nationkey, quantile_cont(distance, 0.9) AS edge FROM d GROUP BY 1)
+        SELECT c_custkey, CASE WHEN distance <= edge THEN c_nationkey END AS cluster, distance FROM d JOIN l USING (c_nationkey)""",
     "knn_cosine": with_(VECTORS, select=f"""SELECT a.vec_id, b.vec_id AS neighbour,
         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_cosine_similarity(a.v, b.v) DESC, b.vec_id)::INT AS place,
         round(list_cosine_similarity(a.v, b.v), 6) AS score
