@@ -49,35 +49,40 @@ def _packed(chunk: int, blob: bytes, k: int, m: int, buckets: int) -> Iterator[p
     _, first = np.unique(name, return_index=True)
     own = np.zeros(len(name), bool)
     own[first] = True
-    columns: list[list] = [[], [], [], []]
+    columns: list[list] = [[], [], []]
     base = 0
     for _, _, runs, *_ in cut:
         at = np.flatnonzero(own[base : base + len(runs.first)])
-        columns[0].append(pa.array(name[base + at]))
-        columns[1].append(pa.array(lowest[base + at]))
-        columns[2].append(gather(runs.buffer.raw, runs.start[at], runs.end[at]))
-        columns[3].append((runs.minimiser[at] % np.uint64(buckets)).astype(np.int64))
+        columns[0].append(lowest[base + at])
+        columns[1].append(gather(runs.buffer.raw, runs.start[at], runs.end[at]))
+        columns[2].append((runs.minimiser[at] % np.uint64(buckets)).astype(np.int64))
         base += len(runs.first)
     if not len(first):
         return
-    bucket = np.concatenate(columns[3])
+    bucket = np.concatenate(columns[2])
     order = np.argsort(bucket, kind="stable")
-    table = pa.table([pa.chunked_array(c) for c in columns[:3]], ["name", "key", "text"]).take(pa.array(order))
+    # keys travel as differences, which compress; names are hashed again on arrival
+    steps = np.diff(np.concatenate(columns[0])[order], prepend=0)
+    table = pa.table([pa.array(steps), pa.chunked_array(columns[1]).take(pa.array(order))], ["step", "text"])
     goes, starts = np.unique(bucket[order], return_index=True)
     ends = np.append(starts[1:], len(order))
     blobs = [to_blob(table.slice(a, b - a)) for a, b in zip(starts, ends)]
+    before = np.concatenate([[0], np.cumsum(steps)])[starts]
     yield pa.RecordBatch.from_arrays(
-        [pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(blobs, pa.binary())], ["bucket", "chunk", "blob"]
+        [pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(before), pa.array(blobs, pa.binary())], ["bucket", "chunk", "before", "blob"]
     )
 
 
-def _windows(strings: list[bytes], k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of packed strings: the joined bytes; hash, string, place in it, start and end."""
+def _windows(strings: list[bytes], k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of packed strings: the joined bytes and the hash of each string; of the
+    windows the hash, string, place in it, start and end."""
     joined = b"\n".join([*strings, b""])
     found: list[tuple] = []
+    names: list[np.ndarray] = []
     base = 0
     for first, part in pieces(strings):
         buffer = Buffer(part)
+        names.append(buffer.hashes(buffer.starts, buffer.ends))
         start, end, text = buffer.words()
         n = max(len(start) - k + 1, 0)
         at = np.flatnonzero(text[:n] == text[k - 1 :]) if n else np.empty(0, np.int64)
@@ -85,7 +90,7 @@ def _windows(strings: list[bytes], k: int) -> tuple[bytes, np.ndarray, np.ndarra
         head = np.searchsorted(text, np.arange(len(part)))
         found.append((buffer.hashes(a, b), first + text[at], at - head[text[at]], base + a, base + b))
         base += len(buffer.raw)
-    return joined, *(np.concatenate(c) for c in zip(*found))
+    return joined, np.concatenate(names), *(np.concatenate(c) for c in zip(*found))
 
 
 def equal_ranges(raw: bytes, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -125,9 +130,8 @@ def _matched(k: int):
     def run(table: pa.Table) -> pa.Table:
         parts = [from_blob(b) for b in table.column("blob").to_pylist()]
         chunk = np.repeat(table.column("chunk").to_numpy(), [p.num_rows for p in parts])
-        every = pa.concat_tables(parts)
-        key, name = every.column("key").to_numpy(), every.column("name").to_numpy()
-        raw, value, string, place, start, end = _windows(every.column("text").to_pylist(), k)
+        key = np.concatenate([b + np.cumsum(p.column("step").to_numpy()) for b, p in zip(table.column("before").to_pylist(), parts)])
+        raw, name, value, string, place, start, end = _windows(pa.concat_tables(parts).column("text").to_pylist(), k)
         order, heads = _grouped(raw, value, start, end)
         lowest = np.minimum.reduceat(key[string[order]], heads)
         lowest = np.repeat(lowest, np.diff(np.append(heads, len(order))))
@@ -207,7 +211,7 @@ def _texts(keys: pa.Array, buffer: Buffer, start: np.ndarray, end: np.ndarray, t
     )
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 13, m: int = 3, chunk_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = 13, m: int = 2, chunk_bytes: int = 4 << 20) -> DataFrame:
     """Remove every word covered by a window of ``k`` words that also starts in a document with a smaller key.
 
     Columns: the key (as a long), ``n_words``, ``n_removed`` and ``text``, the kept words
@@ -221,7 +225,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     """
     chunks = pack(docs, key, text, chunk_bytes)
     buckets = max(1, chunks.count())
-    travelling = chunks.mapInArrow(_emit(k, m, buckets), "bucket long, chunk long, blob binary")
+    travelling = chunks.mapInArrow(_emit(k, m, buckets), "bucket long, chunk long, before long, blob binary")
     replies = travelling.groupBy("bucket").applyInArrow(_matched(k), "chunk long, blob binary")
     gathered = replies.groupBy("chunk").agg(F.collect_list("blob").alias("replies"))
     kept = chunks.join(gathered, "chunk", "left").select("blob", "replies").mapInArrow(_cut(k, m), "key long, n_words long, n_removed long, text string")

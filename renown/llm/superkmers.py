@@ -54,7 +54,7 @@ def _row(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def to_blob(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as writer:
         writer.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
