@@ -118,11 +118,12 @@ class Restorer:
     def restore(self, token: str) -> str:
         """The plain word; a token with one reading only needs no search."""
         core = token.strip(_EDGE)
-        if core.isalpha() and not _RUN.search(core):
+        # a mark in front of a letter can be a letter in disguise
+        front = token[0] in LOOKALIKES and token[1:2].isalpha() and not token[0].isalnum()
+        if core.isalpha() and not front and not _RUN.search(core):
             return core
-        # marks at the edge can be letters in disguise, so the lattice gets the whole token
-        if any(c.isalpha() for c in token):
-            return self.decode(token)
+        if any(c.isalpha() for c in core):
+            return self.decode(token.rstrip(_EDGE) if front else core)
         return core
 
     def words(self, text: str | None, known: dict[str, str]) -> set[str]:
