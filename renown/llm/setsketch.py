@@ -176,17 +176,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return rows.mapInArrow(run, "a binary, b binary")
 
 
-def _leftover(members: DataFrame, least: float, percent: int, block_rows: int = 256) -> DataFrame:
-    """Likely pairs across components among the members (band, value, class, component, sketch, n) of the bands.
-
-    Members of a band, in order of their component, form blocks; blocks meet unless all
-    their members belong together already. A pair is tried in its first common band only.
+def _leftover(members: DataFrame, details: DataFrame, n: int, least: float, percent: int, block_rows: int = 256) -> DataFrame:
+    """Verified links across components among the members (band, value, class, component) of the bands.
+
+    ``details`` holds (class, sketch, n, text). The members of a band form blocks, large
+    components in blocks of their own; blocks meet unless all their members belong
+    together already. A pair is tried in its first common band only, the most similar ones
+    first, and not at all once links found in the same two blocks connect it. So two blocks
+    return at most one link for each component they connect.
     """
-    sizes = members.groupBy("band", "value").agg(
-        F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
-    ).where(F.col("low") != F.col("high")).drop("low", "high")
-    # components are hashed to blocks, large ones over several
+    sizes = members.groupBy("band", "value").agg(F.count(F.lit(1)).alias("size"))
     shares = members.groupBy("band", "value", "component").agg(F.count(F.lit(1)).alias("own"))
+    # slim rows are dealt to blocks before sketches and texts join them
     dealt = (
         members.join(sizes, ["band", "value"]).join(shares, ["band", "value", "component"])
         .withColumn(
@@ -194,39 +195,79 @@ def _leftover(members: DataFrame, least: float, percent: int, block_rows: int =
             F.when(F.col("own") >= block_rows, F.struct(F.col("component").alias("c"), F.pmod(F.xxhash64("class"), F.ceil(F.col("own") / block_rows)).alias("k")))
             .otherwise(F.struct(F.lit(b"").alias("c"), F.pmod(F.xxhash64("component"), F.ceil(F.col("size") / block_rows)).alias("k"))),
         )
+        .join(details, "class")
         .groupBy("band", "value", "block")
-        .agg(F.collect_list(F.struct("class", "component", "sketch", "n")).alias("rows"), F.min("component").alias("low"), F.max("component").alias("high"))
-    )
+        .agg(
+            F.collect_list(F.struct("class", "component", "sketch", "n", "text")).alias("rows"),
+            F.min("component").alias("low"), F.max("component").alias("high"), F.first("size").alias("size"),
+        )
+    )
     blocks = stage(dealt, "sketch-blocks")
-    other = blocks.select("band", "value", *[F.col(c).alias(f"{c}2") for c in ("block", "rows", "low", "high")])
-    met = blocks.join(other, ["band", "value"]).where(
+    alone = blocks.where(F.col("size") <= block_rows)
+    many = blocks.where(F.col("size") > block_rows)
+    other = many.select("band", "value", *[F.col(c).alias(f"{c}2") for c in ("block", "rows", "low", "high")])
+    met = many.join(other, ["band", "value"]).where(
         (F.col("block") <= F.col("block2")) & ((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2")) | (F.col("low") != F.col("low2")))
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for band, left, right, same in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).to_pylist()):
-                x, y = left.values, right.values
-                cx, cy = (np.array(v.field("component").to_pylist(), "S16") for v in (x, y))
-                sx, sy = _registers_of(x.field("sketch")), _registers_of(y.field("sketch"))
-                nx, ny = (v.field("n").to_numpy().astype(float) for v in (x, y))
-                close = 100 * np.minimum(nx[:, None], ny[None]) >= percent * np.maximum(nx[:, None], ny[None])
-                close &= cx[:, None] != cy[None]
-                if same:
-                    close = np.triu(close, 1)
-                i, j = np.nonzero(close)
-                picked: list[np.ndarray] = []
-                for start in range(0, len(i), 8192):
-                    a, b = i[start : start + 8192], j[start : start + 8192]
-                    equal = sx[a] == sy[b]
-                    first = equal.reshape(-1, BANDS, PER_BAND).all(2).argmax(1) == band
-                    a, b = a[first], b[first]
-                    good = _estimates(sx[a], sy[b], nx[a], ny[b]) >= least
-                    picked.append(np.stack([a[good], b[good]]))
-                i, j = np.concatenate([np.empty((2, 0), np.int64), *picked], 1)
-                yield pa.RecordBatch.from_arrays([x.field("class").take(pa.array(i)), y.field("class").take(pa.array(j))], ["a", "b"])
-
-    return met.select("band", "rows", "rows2", (F.col("block") == F.col("block2")).alias("same")).mapInArrow(run, "a binary, b binary")
+                links = _links(band, left.values, right.values, same, n, least, percent)
+                yield pa.RecordBatch.from_arrays([pa.array([link[k] for link in links], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    pairs = alone.select("band", "rows", F.col("rows").alias("rows2"), F.lit(True).alias("same"))
+    pairs = pairs.unionByName(met.select("band", "rows", "rows2", (F.col("block") == F.col("block2")).alias("same")))
+    return pairs.mapInArrow(run, "a binary, b binary")
+
+
+def _links(band: int, x: pa.StructArray, y: pa.StructArray, same: bool, n: int, least: float, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links between two blocks that connect components, by union and find over the likely pairs."""
+    cx, cy = (np.array(v.field("component").to_pylist(), "S16") for v in (x, y))
+    sx, sy = _registers_of(x.field("sketch")), _registers_of(y.field("sketch"))
+    nx, ny = (v.field("n").to_numpy().astype(float) for v in (x, y))
+    close = 100 * np.minimum(nx[:, None], ny[None]) >= percent * np.maximum(nx[:, None], ny[None])
+    close &= cx[:, None] != cy[None]
+    if same:
+        close = np.triu(close, 1)
+    i, j = np.nonzero(close)
+    picked, likely = [np.empty((2, 0), np.int64)], [np.empty(0)]
+    for start in range(0, len(i), 8192):
+        a, b = i[start : start + 8192], j[start : start + 8192]
+        equal = sx[a] == sy[b]
+        # the share of equal registers nearly is the estimate; what is far off needs no likelihood
+        open_ = equal.mean(1) >= least - 0.06
+        a, b, equal = a[open_], b[open_], equal[open_]
+        first = equal.reshape(-1, BANDS, PER_BAND).all(2).argmax(1) == band
+        a, b = a[first], b[first]
+        value = _estimates(sx[a], sy[b], nx[a], ny[b])
+        picked.append(np.stack([a, b])[:, value >= least])
+        likely.append(value[value >= least])
+    i, j = np.concatenate(picked, 1)
+    if not len(i):
+        return []
+    order = np.argsort(-np.concatenate(likely), kind="stable")
+    sets = [_shingles(v.field("text").to_pylist(), n) for v in ((x,) if same else (x, y))]
+    left, right = sets[0], sets[-1]
+    parent: dict[bytes, bytes] = {}
+
+    def root(c: bytes) -> bytes:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = parent.get(up, up)
+            c = up
+        return c
+
+    links, names_x, names_y = [], x.field("class"), y.field("class")
+    for at in order.tolist():
+        p, q = int(i[at]), int(j[at])
+        one, two = root(cx[p]), root(cy[q])
+        if one == two:
+            continue
+        both = len(np.intersect1d(left[p], right[q], assume_unique=True))
+        if 100 * both >= percent * (len(left[p]) + len(right[q]) - both):
+            parent[one] = two
+            links.append((names_x[p].as_py(), names_y[q].as_py()))
+    return links
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
@@ -269,20 +310,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", n:
     )
     links = stage(_verified(pairs, texts, n, percent), "sketch-links")
     label = components(links)
+    # the head of a band has been tried with all of it; what is left are pairs of the others
     members = (
-        grouped.select("band", "value", "class")
+        grouped.where(F.col("a") != F.col("class")).select("band", "value", "class")
         .join(label.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("component", F.coalesce("component", "class"))
     )
     # bands where more than one component meets
     mixed = members.groupBy("band", "value").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    open_ = stage(
-        members.join(mixed.select("band", "value"), ["band", "value"], "left_semi").join(classes.select("class", "sketch", "n"), "class"),
-        "sketch-open",
-    )
-    tried = pairs.select("a", "b").union(pairs.select("b", "a"))
-    more = _leftover(open_, least, percent).join(tried, ["a", "b"], "left_anti")
-    found = links.union(_verified(stage(more, "sketch-more"), texts, n, percent))
+    open_ = stage(members.join(mixed.select("band", "value"), ["band", "value"], "left_semi"), "sketch-open")
+    details = classes.select("class", "sketch", "n").join(texts, "class")
+    found = links.union(stage(_leftover(open_, details, n, least, percent), "sketch-more"))
     final = components(found).withColumnRenamed("node", "class")
     owner = (
         classes.join(final, "class", "left").withColumn("component", F.coalesce("component", "class"))
