@@ -115,8 +115,8 @@ def global_metrics(item_views: DataFrame, months: list[str], home: str = "en") -
     return metrics.withColumn("english_share", share.cast("float")).drop("_home")
 
 
-def global_ranking(metrics: DataFrame, home_ranked: DataFrame) -> DataFrame:
-    """Rank all items with views and carry the one-wiki rank along."""
+def global_ranking(metrics: DataFrame, home_ranked: DataFrame, k: int | None = None) -> DataFrame:
+    """Rank all items with views and carry the one-wiki rank along; with ``k`` the first k only."""
     home = home_ranked.where(F.col("qid").isNotNull()).select(
         "qid",
         "pageid",
@@ -125,7 +125,8 @@ def global_ranking(metrics: DataFrame, home_ranked: DataFrame) -> DataFrame:
         F.col("median_views").alias("enwiki_median"),
     )
     named = metrics.withColumn("qid", F.concat(F.lit("Q"), F.col("item").cast("string")))
-    return rank_by_fame(named.join(home, "qid"), "item", "enwiki_rank")
+    rows, ties = named.join(home, "qid"), ("item", "enwiki_rank")
+    return rank_by_fame(rows, *ties) if k is None else top_by_fame(rows, k, *ties)
 
 
 def top(ranked: DataFrame, k: int) -> DataFrame:

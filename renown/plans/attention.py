@@ -63,8 +63,8 @@ def item_views(
 
 
 def rank_global(
-    item_language_views: DataFrame, home_ranked: DataFrame, months: list[str]
+    item_language_views: DataFrame, home_ranked: DataFrame, months: list[str], k: int | None = None
 ) -> DataFrame:
-    """Rank by the views of all editions together."""
+    """Rank by the views of all editions together; with ``k`` the first k only."""
     metrics = ranking.global_metrics(item_language_views, months)
-    return ranking.global_ranking(metrics, home_ranked)
+    return ranking.global_ranking(metrics, home_ranked, k)

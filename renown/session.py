@@ -4,11 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
+_scope: ContextVar[str] = ContextVar("scope", default="")
+
 
 def local_session(cores: str = "*", app: str = "renown", **conf: str) -> SparkSession:
     """A session for tests and the bench; clusters bring their own."""
@@ -46,8 +51,22 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the scratch folder."""
-    app = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/renown-{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/renown-{spark.sparkContext.applicationId}{_scope.get()}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Staged tables of the block are deleted at its end; results have to be written before."""
+    token = _scope.set(f"{_scope.get()}/scope-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        _delete(spark, _folder(spark))
+        _scope.reset(token)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -63,6 +82,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete everything this application has staged."""
-    app = spark.sparkContext.applicationId
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/renown-{app}")
+    _delete(spark, f"{scratch_root(spark)}/renown-{spark.sparkContext.applicationId}")
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

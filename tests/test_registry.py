@@ -1,6 +1,7 @@
 import pytest
 
 import __spark_entry__ as contract
+from renown import session
 from workload.check import compare
 
 QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
@@ -12,11 +13,12 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, tables, name):
-    df = QUERIES[name](spark, tables)
-    if name in ORACLES:
-        assert compare(df, tables, ORACLES[name]) == ""
-    else:
-        assert df.count() > 0
+    with session.scratch_scope(spark):
+        df = QUERIES[name](spark, tables)
+        if name in ORACLES:
+            assert compare(df, tables, ORACLES[name]) == ""
+        else:
+            assert df.count() > 0
 
 
 def test_erasure_report(spark, tables):

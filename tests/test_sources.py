@@ -174,6 +174,18 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         session.scratch_root(Session())
 
 
+def test_staged_tables_end_with_their_scope(spark):
+    with session.scratch_scope(spark):
+        outer = session.stage(spark.range(3), "outer")
+        with session.scratch_scope(spark):
+            path = session.stage(spark.range(4), "inner").inputFiles()[0]
+            assert tables.path_exists(spark, path)
+        assert not tables.path_exists(spark, path)
+        assert outer.count() == 3
+        kept = outer.inputFiles()[0]
+    assert not tables.path_exists(spark, kept)
+
+
 LINE = "en.wikipedia {} 1 desktop {} A1\n"
 
 

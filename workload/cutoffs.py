@@ -91,6 +91,22 @@ def describe_share(spark: SparkSession, sf: str) -> DataFrame:
     return described.withColumn("value", F.round("value", 6))
 
 
+def top_world(spark: SparkSession, sf: str) -> DataFrame:
+    home = attention.home_ranked(spark, sf)
+    return attention.attention.rank_global(attention.item_views(spark, sf), home, MONTHS, TOP_N)
+
+
+def top_language_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Leading languages of the first hundred."""
+    return stats.value_counts(top_world(spark, sf), "top_lang", 20)
+
+
+def top_describe_share(spark: SparkSession, sf: str) -> DataFrame:
+    """Home shares of the first hundred."""
+    described = stats.describe(stage(top_world(spark, sf), "top-world"), "english_share", QUANTILES)
+    return described.withColumn("value", F.round("value", 6))
+
+
 def document_counts(spark: SparkSession, sf: str) -> DataFrame:
     return stats.value_counts(roles.table(spark, sf, "documents"), "source", 15)
 
@@ -194,6 +210,8 @@ QUERIES = {
     "roster_leavers": roster_leavers,
     "language_counts": language_counts,
     "describe_share": describe_share,
+    "top_language_counts": top_language_counts,
+    "top_describe_share": top_describe_share,
     "document_counts": document_counts,
     "length_bounds": length_bounds,
     "class_balance": class_balance,
@@ -260,6 +278,15 @@ ORACLES = {
         UNION ALL SELECT 'mean', avg(s) FROM shares UNION ALL SELECT 'std', stddev_samp(s) FROM shares
         UNION ALL SELECT 'min', min(s) FROM shares UNION ALL SELECT 'max', max(s) FROM shares
         UNION ALL {_Q})"""),
+    "top_describe_share": with_(*roles.GLOBAL,
+        f"shares AS (SELECT english_share::DOUBLE AS s FROM global_ranked WHERE rank <= {TOP_N})",
+        select=f"""SELECT statistic, round(value, 6) AS value FROM (
+        SELECT 'count' AS statistic, count(s)::DOUBLE AS value FROM shares
+        UNION ALL SELECT 'mean', avg(s) FROM shares UNION ALL SELECT 'std', stddev_samp(s) FROM shares
+        UNION ALL SELECT 'min', min(s) FROM shares UNION ALL SELECT 'max', max(s) FROM shares
+        UNION ALL {_Q})"""),
+    "top_language_counts": _world(f"""SELECT top_lang AS value, count(*) AS n FROM global_ranked WHERE rank <= {TOP_N}
+        GROUP BY 1 ORDER BY n DESC, value LIMIT 20"""),
     "document_counts": """SELECT source AS value, count(*) AS n FROM documents
         GROUP BY 1 ORDER BY n DESC, value LIMIT 15""",
     "length_bounds": """SELECT (floor(quantile_cont(n_chars::DOUBLE, 0.01) / 10) * 10)::BIGINT AS low,
