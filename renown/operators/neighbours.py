@@ -41,6 +41,9 @@ def nearest(
     ``metric`` is ``euclidean`` (score = distance, small first) or ``cosine``
     (score = similarity, large first). Equal scores go to the smaller key. Rows
     without a vector have no neighbours, nor have zero vectors under cosine.
+
+    Equal vectors are searched once: each class of them carries its k + 1 smallest keys,
+    finds k + 1 entries, and its rows take theirs from that list.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(metric)
@@ -56,6 +59,33 @@ def nearest(
             .select("id", F.transform("v", lambda x: x / F.col("_norm")).alias("v"))
         )
     rows = stage(rows, "vectors")
+    place = F.row_number().over(Window.partitionBy("v").orderBy("id"))
+    classes = stage(
+        rows.withColumn("_place", place).where(F.col("_place") <= k + 1)
+        .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).select(F.col("ids")[0].alias("id"), "v", "ids"),
+        "distinct-vectors",
+    )
+    found = _search(classes.select("id", "v"), k, cosine, tile_rows)
+    own = classes.select("id", F.col("id").alias("neighbour"), F.lit(-1.0 if cosine else 0.0).alias("score"))
+    held = classes.select(F.col("id").alias("neighbour"), F.explode("ids").alias("other"))
+    in_class = Window.partitionBy("id").orderBy("score", "other")
+    lists = (
+        found.unionByName(own).join(held, "neighbour").withColumn("_place", F.row_number().over(in_class))
+        .where(F.col("_place") <= k + 1).select(F.col("id").alias("class"), "other", "score")
+    )
+    members = rows.join(classes.select(F.col("id").alias("class"), "v"), "v").select("id", "class")
+    best = Window.partitionBy("id").orderBy("score", "other")
+    score = -F.col("score") if cosine else F.sqrt("score")
+    return (
+        members.join(lists, "class").where(F.col("other") != F.col("id"))
+        .withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+        .select(F.col("id").alias(key), F.col("other").alias("neighbour"), "place", score.alias("score"))
+    )
+
+
+def _search(rows: DataFrame, k: int, cosine: bool, tile_rows: int | None) -> DataFrame:
+    """(id, neighbour, score) over distinct vectors: at least the k best of each, small scores first."""
+    df = rows
     size = rows.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dims")).first()
     n, dims = size["n"], size["dims"] or 1
     if tile_rows is None:
@@ -172,14 +202,7 @@ def nearest(
             out.append(pd.DataFrame({"id": part_ids[where], "neighbour": ids2[to], "score": score[where, to]}))
         return pd.concat(out)
 
-    found = matched.groupBy("tile", "tile2").applyInPandas(match, "id bigint, neighbour bigint, score double")
-    best = Window.partitionBy("id").orderBy("score", "neighbour")
-    score = -F.col("score") if cosine else F.sqrt("score")
-    return (
-        found.withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= k)
-        .select(F.col("id").alias(key), "neighbour", "place", score.alias("score"))
-    )
+    return matched.groupBy("tile", "tile2").applyInPandas(match, "id bigint, neighbour bigint, score double")
 
 
 def label_purity(neighbours: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
