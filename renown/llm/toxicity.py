@@ -39,7 +39,8 @@ _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
 _PREFIXES = (4, 5, 6)
 _CLEAN_COST = 3
-_KNOWN_TOKENS = 300_000
+# a worker forgets the tokens it knows once they are this many
+_KNOWN_TOKENS = 100_000
 _ROWS = 512
 
 
@@ -227,6 +228,8 @@ def fit(
             for start in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(start, _ROWS)
                 found = [sorted(restorer.words(t, known)) for t in part.column(1).to_pylist()]
+                if len(known) > _KNOWN_TOKENS:
+                    known.clear()
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(found, pa.list_(pa.string()))], ["toxic", "text_key", "words"])
 
     # about label_rows pairs of numbers, whatever the input
