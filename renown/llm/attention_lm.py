@@ -27,16 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from renown.llm.hashing import mix
 from renown.llm.superkmers import from_blob, opened, pack, to_blob
 from renown.session import stage
 
-WIDTH, CONTEXT = 32, 8  # tokens of a window; of them, seen again only as context
+WIDTH, CONTEXT = 16, 4  # tokens of a window; of them, seen again only as context
 STRIDE = WIDTH - CONTEXT
-DIMS, CLASSES, INPUTS = 16, 64, 512
-ROUNDS, EVERY, BATCH = 2, 16, 64  # rounds of training, one window in so many, windows of a step
-_SHARED = 16  # classes shared by the less frequent ids
-BINS = 256  # bins of the unit before in the spelling of rare words
+DIMS, CLASSES, INPUTS = 12, 48, 512
+ROUNDS, EVERY, BATCH = 1, 16, 128  # rounds of training, one window in so many, windows of a step
+_SHARED = 12  # classes shared by the less frequent ids
 
 
 @functools.lru_cache(2)
@@ -94,17 +92,33 @@ def _words(fold: int, held: int):
     return run
 
 
-def _cut_up(path: str, size: int):
-    """Add the units to rows sorted by word; a word is cut up once for all its chunks in a batch."""
+def _cut_up(path: str, size: int, held_rows: int = 400_000):
+    """Add the units to rows sorted by word, each word cut up once, and pack them by chunk."""
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        chunk = table.column("chunk").to_numpy()
+        order = np.argsort(chunk, kind="stable")
+        table = table.drop_columns("chunk").take(pa.array(order))
+        chunks, starts = np.unique(chunk[order], return_index=True)
+        blobs = [to_blob(table.slice(a, b - a)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
+        return pa.RecordBatch.from_arrays([pa.array(chunks), pa.array(blobs, pa.binary())], ["chunk", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
         for whole in batches:
             for start in range(0, whole.num_rows, 8192):
                 batch = whole.slice(start, 8192)
                 coded = batch.column(0).dictionary_encode()
                 parts = units(coded.dictionary.to_pylist(), path, size)
                 names = pa.array([p.tobytes() for p in parts], pa.binary())
-                yield pa.RecordBatch.from_arrays([*batch.columns, names.take(coded.indices)], [*batch.schema.names, "units"])
+                held.append(pa.RecordBatch.from_arrays([*batch.columns, names.take(coded.indices)], [*batch.schema.names, "units"]))
+                rows += batch.num_rows
+                if rows >= held_rows:
+                    yield packed(held)
+                    held, rows = [], 0
+        if held:
+            yield packed(held)
 
     return run
 
@@ -112,8 +126,9 @@ def _cut_up(path: str, size: int):
 def _joined(fold: int, held: int):
     """Put the vocabulary of a chunk beside its texts."""
 
-    def run(texts: pa.Table, words: pa.Table) -> pa.Table:
+    def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
         chunk, blob = texts.column("chunk")[0].as_py(), texts.column("blob")[0].as_py()
+        words = pa.concat_tables([_NO_WORDS, *(from_blob(b) for b in packed.column("words").to_pylist())]).combine_chunks()
         count, mine = words.column("count"), words.column("mine")
         vocabulary = pa.table([words.column("word"), count, mine, words.column("units")], ["word", "count", "mine", "units"])
         new = int((mine.to_numpy(zero_copy_only=False) & (count.to_numpy() > 0)).sum())
@@ -126,6 +141,9 @@ def _joined(fold: int, held: int):
     return run
 
 
+_NO_WORDS = pa.table(
+    [[]] * 5, pa.schema([("word", pa.binary()), ("n", pa.int64()), ("count", pa.int64()), ("mine", pa.bool_()), ("units", pa.binary())])
+)
 _JOINED = pa.schema([("chunk", pa.int64()), ("blob", pa.binary()), ("vocabulary", pa.binary()), ("new", pa.int64()), ("tokens", pa.int64()), ("ends", pa.int64())])
 
 
@@ -150,16 +168,11 @@ class Vocabulary:
         )
 
 
-def _before(unit: np.ndarray) -> np.ndarray:
-    """Bin of the unit before another one."""
-    return (mix(unit.astype(np.uint64)) % np.uint64(BINS)).astype(np.int64)
-
-
 def _unit_counts(size: int):
     """Counts over the words a chunk is the first to have: (code, n) with code = row * units + unit.
 
     Row 0: first units; 1: first units of words seen once; 2: first units of distinct words;
-    3 + b: later units of distinct words behind a unit of bin b. Every distinct word of the corpus
+    3 + p: later units of distinct words behind the unit p. Every distinct word of the corpus
     is met once. Spelling is learnt from distinct words, because it has to serve the rare ones.
     """
     width = 2 * size + 2
@@ -175,7 +188,7 @@ def _unit_counts(size: int):
                 later[first] = False
                 at = np.flatnonzero(later)
                 head, tail = v.flat[first].astype(np.int64), v.flat[at]
-                code = np.concatenate([codes, head, width + head, 2 * width + head, (3 + _before(v.flat[at - 1])) * width + tail])
+                code = np.concatenate([codes, head, width + head, 2 * width + head, (3 + v.flat[at - 1].astype(np.int64)) * width + tail])
                 n = np.concatenate([sums, weight, weight == 1, weight > 0, np.repeat(weight > 0, np.diff(v.start))[at]])
                 codes, inverse = np.unique(code[n > 0], return_inverse=True)
                 sums = np.bincount(inverse, weights=n[n > 0], minlength=len(codes)).astype(np.int64)
@@ -193,8 +206,10 @@ class Counts:
     ends: int
     klass: np.ndarray  # class of a first unit
     first: np.ndarray  # log10 share of a first unit in its class
-    later: np.ndarray  # log10 share of a later unit behind each bin, for the units that occur there
-    column: np.ndarray  # column of a unit in it
+    pair: np.ndarray  # sorted codes of (unit before, later unit) that occur
+    behind: np.ndarray  # log10 share of the later unit behind the one before, for each of them
+    alone: np.ndarray  # log10 share among all later units
+    back: np.ndarray  # log10 weight of that share behind each unit
     klass_count: np.ndarray
     once: np.ndarray
 
@@ -213,34 +228,42 @@ class Counts:
         klass[end] = CLASSES - 1
         smooth = kinds + 0.1
         share = np.bincount(klass, weights=smooth, minlength=CLASSES)
-        # later units: by bin of the unit before, smoothed by their overall share; column 0 is for those never seen
+        # later units behind the unit before, backed off to their overall share as often as new ones follow
         seen = row > 2
-        used, at = np.unique(unit[seen], return_inverse=True)
-        column = np.zeros(width, np.int64)
-        column[used] = 1 + np.arange(len(used))
-        pairs = np.zeros((BINS, len(used) + 1), np.float32)
-        np.add.at(pairs, (row[seen] - 3, 1 + at), n[seen])
-        alone = pairs.sum(0) + 0.1
-        rest = width - len(used)
-        alone[0] = 0.1  # for each of the rest
-        alone /= alone[1:].sum() + 0.1 * rest
-        behind = (pairs + 5.0 * alone) / (pairs.sum(1, keepdims=True) + 5.0)
+        before, unit, n = row[seen] - 3, unit[seen], n[seen]
+        alone = np.bincount(unit, weights=n, minlength=width) + 0.1
+        alone /= alone.sum()
+        follow = np.bincount(before, weights=n, minlength=width)
+        kinds_after = np.bincount(before, minlength=width) + 1.0
+        order = np.argsort(before * width + unit)
+        before, unit, n = before[order], unit[order], n[order]
+        behind = (n + kinds_after[before] * alone[unit]) / (follow[before] + kinds_after[before])
         return cls(
-            tokens, distinct, ends, klass, np.log10(smooth / share[klass]), np.log10(behind).astype(np.float32), column,
+            tokens, distinct, ends, klass, np.log10(smooth / share[klass]),
+            before * width + unit, np.log10(behind), np.log10(alone), np.log10(kinds_after / (follow + kinds_after)),
             np.bincount(klass, weights=first, minlength=CLASSES), np.bincount(klass, weights=single, minlength=CLASSES) + 1.0,
         )
 
-    def inside(self, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-        """Class of every word and log10 of its share in the class."""
+    def classes(self, v: Vocabulary) -> np.ndarray:
+        """Class of every word: that of its first unit."""
+        return self.klass[v.flat[v.start[:-1]]]
+
+    def inside(self, v: Vocabulary) -> np.ndarray:
+        """log10 of the share of every word in its class."""
         first = v.flat[v.start[:-1]]
         klass = self.klass[first]
         step = np.zeros(len(v.flat))
         if len(step):
-            step[1:] = self.later[_before(v.flat[:-1]), self.column[v.flat[1:]]]
+            before, unit = v.flat[:-1].astype(np.int64), v.flat[1:]
+            step[1:] = self.back[before] + self.alone[unit]
+            if len(self.pair):
+                code = before * len(self.klass) + unit
+                at = np.minimum(np.searchsorted(self.pair, code), len(self.pair) - 1)
+                step[1:] = np.where(self.pair[at] == code, self.behind[at], step[1:])
         step[v.start[:-1]] = 0
         sums = np.concatenate([[0.0], np.cumsum(step)])
         spelled = self.first[first] + sums[v.start[1:]] - sums[v.start[:-1]]
-        return klass, np.log10((v.count + self.once[klass] * 10.0**spelled) / (self.klass_count[klass] + self.once[klass]))
+        return np.log10((v.count + self.once[klass] * 10.0**spelled) / (self.klass_count[klass] + self.once[klass]))
 
     def base(self, count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + 1.0) / (self.tokens + self.distinct + 1.0))
@@ -279,8 +302,8 @@ def forward(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> di
     q, k, v = (np.ascontiguousarray(three[:, :, i]) for i in range(3))
     seen = np.matmul(q, k.transpose(0, 2, 1))
     seen *= DIMS**-0.5
-    seen += np.where(_CAUSAL, w["near"][np.maximum(_BACK, 0)], np.float32(-60.0))
-    np.minimum(seen, 60.0, out=seen)
+    seen += np.where(_CAUSAL, w["near"][np.maximum(_BACK, 0)], np.float32(-80.0))
+    np.minimum(seen, 40.0, out=seen)
     np.exp(seen, out=seen)
     seen /= seen.sum(2, keepdims=True)
     hidden = np.matmul(seen, v)
@@ -291,8 +314,10 @@ def forward(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> di
 
 def log_shares(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     """Natural log probability of the target classes."""
-    logits = logits - logits.max(1, keepdims=True)
-    return logits[np.arange(len(target)), target] - np.log(np.exp(logits).sum(1))
+    logits = np.clip(logits, -60.0, 60.0)
+    found = logits[np.arange(len(target)), target]
+    np.exp(logits, out=logits)
+    return found - np.log(logits.sum(1))
 
 
 def gradient(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, target: np.ndarray, counted: np.ndarray) -> np.ndarray:
@@ -386,12 +411,13 @@ def batches_of(p: Positions, chosen: np.ndarray | None = None) -> Iterator[tuple
         yield np.minimum(place, end[at : at + BATCH, None] - 1), scored
 
 
-def _opened(batches: Iterator[pa.RecordBatch], counts: Counts, keep: Callable[[int | None], bool]):
+def _opened(batches: Iterator[pa.RecordBatch], counts: Counts, keep: Callable[[int | None], bool], spell: bool):
     for batch in batches:
         for blob, vocabulary in zip(batch.column(0), batch.column(1)):
             v = Vocabulary.read(vocabulary.as_py())
             number = {w: i for i, w in enumerate(v.words)}
-            klass, inside = counts.inside(v)
+            klass = counts.classes(v)
+            inside = counts.inside(v) if spell else None
             _, keys, texts = opened(blob.as_py())
             names = keys.to_pylist()
             at = [i for i, name in enumerate(names) if keep(name)]
@@ -413,7 +439,7 @@ def _train(counts: Counts, weights: np.ndarray, turn: int, fold: int, held: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Adam(weights, 0.01 / (1 + turn))
         seen = 0
-        for _, _, _, p in _opened(batches, counts, lambda key: is_training(key, fold, held)):
+        for _, _, _, p in _opened(batches, counts, lambda key: is_training(key, fold, held), False):
             n = len(windows(p.start)[0])
             for place, scored in batches_of(p, np.arange(seen + turn * EVERY // ROUNDS, seen + n + turn * EVERY // ROUNDS) % EVERY == 0):
                 model.step(gradient(unflat(model.weights), p.first[place], p.last[place], p.target[place], scored))
@@ -431,7 +457,7 @@ def _score(counts: Counts, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = unflat(weights)
         end_share = counts.base(counts.ends)
-        for v, inside, keys, p in _opened(batches, counts, lambda key: True):
+        for v, inside, keys, p in _opened(batches, counts, lambda key: True, True):
             logs = np.zeros(len(p.target))
             for place, scored in batches_of(p):
                 f = forward(w, p.first[place], p.last[place])
@@ -479,7 +505,7 @@ def score_texts(
     counted = (
         chunks.mapInArrow(_words(fold, held), "word binary, chunk long, n long")
         .withColumn("count", F.sum("n").over(same)).withColumn("mine", F.col("chunk") == F.min("chunk").over(same))
-        .mapInArrow(_cut_up(vocabulary, size), "word binary, chunk long, n long, count long, mine boolean, units binary")
+        .mapInArrow(_cut_up(vocabulary, size), "chunk long, words binary")
     )
     joined = stage(
         chunks.groupBy("chunk").cogroup(counted.groupBy("chunk")).applyInArrow(
