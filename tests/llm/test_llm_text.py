@@ -212,6 +212,23 @@ def test_attention_is_causal_and_its_gradient_right():
         assert (loss(weights + step) - loss(weights - step)) / 2e-5 == pytest.approx(grad[at], rel=2e-3, abs=1e-6)
 
 
+def test_attention_sees_all_of_its_window_and_nothing_later():
+    rng = np.random.default_rng(3)
+    width, cut = attention_lm.WIDTH, attention_lm.WIDTH // 2
+    w = attention_lm.unflat(rng.standard_normal(sum(int(np.prod(s)) for s in attention_lm._SHAPES.values())) * 0.3)
+    first, last = (rng.integers(8, attention_lm.INPUTS, (3, width)) for _ in range(2))
+
+    def moved(*places):
+        other = first.copy()
+        other[:, places] = 7
+        before, after = (attention_lm.forward(w, ids, last)["logits"].reshape(3, width, -1) for ids in (first, other))
+        return ~np.isclose(before, after, rtol=0, atol=1e-9).all((0, 2))
+
+    assert moved(*range(cut, width)).tolist() == [k >= cut for k in range(width)]
+    # the cut at 20 of the test above lies inside the window, and the first token reaches a position 24 later
+    assert moved(*range(20, width))[20:].any() and moved(0)[24:].any()
+
+
 def brute_base(rows):
     split = [(k, (t or "").encode().lower().split() + [None]) for k, t in rows]
     trained = lambda k: zlib.crc32(b"" if k is None else str(k).encode()) % 7 != 2
