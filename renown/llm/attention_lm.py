@@ -1,16 +1,19 @@
 """Language-model scores from a causal self-attention model trained in numpy on subword ids.
 
 A token (a word, or the end of a text) is a sequence of subword ids. The model reads the
-first and last id of the tokens before and predicts the class of the next token's first id;
-attention looks back inside windows that overlap, so each token is scored once and, past
-the start of a text, always with some context. Inside its class a token has the
-share of its corpus count, smoothed by a subword model for tokens that are rare or unseen:
-
-    P(token | before) = P(class | before) * (count + a * P(ids | class)) / (class count + a)
-
-where a is the number of tokens of the class seen once. These are probabilities of whole
-texts. Counts come from all training texts; the attention weights are trained in parallel on
-evenly spaced windows of all of them and averaged after every round.
+first and last id of the tokens before, one input row for each id, and predicts the next
+token's first id on two levels, its class and the id inside the class; attention looks back
+inside windows that overlap, so each token is scored once and, past the start of a text,
+always with some context. Behind its first id a token has the share of its corpus count,
+smoothed by a subword model for tokens that are rare or unseen:
+
+    P(token | before) = P(class | before) * P(first | class, before)
+                        * (count + a * P(later ids | first)) / (count of first + a)
+
+where a is the number of tokens with this first id seen once. First ids that no training text
+has share what their class keeps for new ones. These are probabilities of whole texts.
+Counts come from all training texts; the weights are trained in parallel on all their
+windows and averaged after every round, each input row by how often it was trained.
 """
 
 from __future__ import annotations
@@ -32,9 +35,9 @@ from renown.session import stage
 
 WIDTH, CONTEXT = 32, 8  # tokens of a window; of them, seen again only as context
 STRIDE = WIDTH - CONTEXT
-DIMS, CLASSES, INPUTS = 16, 64, 512
-ROUNDS, EVERY, BATCH = 2, 16, 64  # rounds of training, one window in so many, windows of a step
-_SHARED = 16  # classes shared by the less frequent ids
+DIMS, CLASSES, INPUTS = 16, 128, 512  # INPUTS: input rows at least; a larger vocabulary has one for each unit
+ROUNDS, BATCH = 2, 64  # rounds of training, windows of a step
+_SHARED = 64  # classes shared by the less frequent ids
 
 
 @functools.lru_cache(2)
@@ -205,19 +208,22 @@ class Counts:
     distinct: int
     ends: int
     klass: np.ndarray  # class of a first unit
-    first: np.ndarray  # log10 share of a first unit in its class
+    slot: np.ndarray  # output row of a first unit on the second level, -1 where there is none
+    block: np.ndarray  # the output rows of class c are block[c]..block[c + 1]
+    first: np.ndarray  # log10 of what the second level leaves a first unit: all for own classes, else the part of seen or one of unseen ones
     pair: np.ndarray  # sorted codes of (unit before, later unit) that occur
     behind: np.ndarray  # log10 share of the later unit behind the one before, for each of them
     alone: np.ndarray  # log10 share among all later units
     back: np.ndarray  # log10 weight of that share behind each unit
     klass_count: np.ndarray
+    unit_count: np.ndarray
     once: np.ndarray
 
     @classmethod
     def of(cls, code: np.ndarray, n: np.ndarray, width: int, tokens: int, distinct: int, ends: int) -> Counts:
         row, unit = code // width, code % width
         end = width - 1
-        first, single, kinds = (np.bincount(unit[row == r], weights=n[row == r], minlength=width) for r in (0, 1, 2))
+        first, single = (np.bincount(unit[row == r], weights=n[row == r], minlength=width) for r in (0, 1))
         order = np.argsort(-first, kind="stable")
         order = order[order != end]
         first[end] = ends
@@ -226,8 +232,21 @@ class Counts:
         klass[order[:own]] = np.arange(own)
         klass[order[own:]] = own + np.arange(len(order) - own) % _SHARED
         klass[end] = CLASSES - 1
-        smooth = kinds + 0.1
-        share = np.bincount(klass, weights=smooth, minlength=CLASSES)
+        klass_count = np.bincount(klass, weights=first, minlength=CLASSES)
+        # second level: an output row for each seen unit of a shared class, laid out by class
+        shared = (klass >= own) & (klass < CLASSES - 1)
+        seen, unseen = shared & (first > 0), shared & (first == 0)
+        rows = np.flatnonzero(seen)
+        rows = rows[np.argsort(klass[rows], kind="stable")]
+        slot = np.full(width, -1, np.int64)
+        slot[rows] = np.arange(len(rows))
+        block = np.concatenate([[0], np.cumsum(np.bincount(klass[rows], minlength=CLASSES))])
+        rest = np.bincount(klass[unseen], minlength=CLASSES)
+        new = np.bincount(klass[shared & (first == 1)], minlength=CLASSES) + 1.0
+        new = np.where(rest > 0, new / (klass_count + new), 0.0)
+        fixed = np.zeros(width)
+        fixed[seen] = np.log10(1 - new[klass[seen]])
+        fixed[unseen] = np.log10(new[klass[unseen]] / rest[klass[unseen]])
         # later units behind the unit before, backed off to their overall share as often as new ones follow
         seen = row > 2
         before, unit, n = row[seen] - 3, unit[seen], n[seen]
@@ -239,19 +258,22 @@ class Counts:
         before, unit, n = before[order], unit[order], n[order]
         behind = (n + kinds_after[before] * alone[unit]) / (follow[before] + kinds_after[before])
         return cls(
-            tokens, distinct, ends, klass, np.log10(smooth / share[klass]),
+            tokens, distinct, ends, klass, slot, block, fixed,
             before * width + unit, np.log10(behind), np.log10(alone), np.log10(kinds_after / (follow + kinds_after)),
-            np.bincount(klass, weights=first, minlength=CLASSES), np.bincount(klass, weights=single, minlength=CLASSES) + 1.0,
+            klass_count, first, single + 1.0,
         )
 
     def classes(self, v: Vocabulary) -> np.ndarray:
         """Class of every word: that of its first unit."""
         return self.klass[v.flat[v.start[:-1]]]
 
+    def slots(self, v: Vocabulary) -> np.ndarray:
+        """Output row of every word on the second level: that of its first unit."""
+        return self.slot[v.flat[v.start[:-1]]]
+
     def inside(self, v: Vocabulary) -> np.ndarray:
-        """log10 of the share of every word in its class."""
+        """log10 of the part of every word that both levels of the model leave open."""
         first = v.flat[v.start[:-1]]
-        klass = self.klass[first]
         step = np.zeros(len(v.flat))
         if len(step):
             before, unit = v.flat[:-1].astype(np.int64), v.flat[1:]
@@ -262,8 +284,8 @@ class Counts:
                 step[1:] = np.where(self.pair[at] == code, self.behind[at], step[1:])
         step[v.start[:-1]] = 0
         sums = np.concatenate([[0.0], np.cumsum(step)])
-        spelled = self.first[first] + sums[v.start[1:]] - sums[v.start[:-1]]
-        return np.log10((v.count + self.once[klass] * 10.0**spelled) / (self.klass_count[klass] + self.once[klass]))
+        spelled = sums[v.start[1:]] - sums[v.start[:-1]]
+        return self.first[first] + np.log10((v.count + self.once[first] * 10.0**spelled) / (self.unit_count[first] + self.once[first]))
 
     def base(self, count: np.ndarray | int) -> np.ndarray:
         return np.log10((count + 1.0) / (self.tokens + self.distinct + 1.0))
@@ -285,13 +307,21 @@ def unflat(weights: np.ndarray) -> dict[str, np.ndarray]:
     return found
 
 
-def initial(counts: Counts, seed: int = 5) -> np.ndarray:
-    """Small random weights; the bias starts at the class frequencies."""
+_TABLES = ("first", "last")  # weights of which a step touches few rows
+
+
+def initial(counts: Counts, seed: int = 5) -> dict[str, np.ndarray]:
+    """Small random weights; both biases start at the frequencies. "fine" and "level" are the second level."""
     rng = np.random.default_rng(seed)
-    parts = {name: rng.standard_normal(shape) * 0.1 for name, shape in _SHAPES.items()}
-    parts["near"] *= 0
-    parts["bias"] = np.log(counts.klass_count + 0.5) - np.log((counts.klass_count + 0.5).sum())
-    return np.concatenate([parts[name].ravel() for name in _SHAPES]).astype(np.float32)
+    inputs = (max(INPUTS, len(counts.klass) + 1), DIMS)
+    shapes = _SHAPES | {"first": inputs, "last": inputs, "fine": (counts.block[-1], DIMS), "level": (counts.block[-1],)}
+    w = {name: rng.standard_normal(shape) * 0.1 for name, shape in shapes.items()}
+    w["near"] *= 0
+    w["bias"] = np.log(counts.klass_count + 0.5) - np.log((counts.klass_count + 0.5).sum())
+    has = counts.slot >= 0
+    w["level"][counts.slot[has]] = np.log(counts.unit_count[has])
+    w["level"] -= np.repeat([w["level"][a:b].max() for a, b in zip(counts.block[:-1], counts.block[1:]) if b > a], (n := np.diff(counts.block))[n > 0])
+    return {name: value.astype(np.float32) for name, value in w.items()}
 
 
 def forward(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
@@ -320,42 +350,118 @@ def log_shares(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     return found - np.log(logits.sum(1))
 
 
-def gradient(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, target: np.ndarray, counted: np.ndarray) -> np.ndarray:
-    """Gradient of the mean loss over the counted positions."""
+def _by_class(target: np.ndarray, slot: np.ndarray, counted: np.ndarray) -> Iterator[np.ndarray]:
+    """Counted positions with a second level, those of one class at a time."""
+    at = np.flatnonzero(counted & (slot >= 0))
+    at = at[np.argsort(target[at], kind="stable")]
+    return iter(np.split(at, np.flatnonzero(np.diff(target[at])) + 1) if len(at) else [])
+
+
+def fine_shares(w: dict[str, np.ndarray], block: np.ndarray, hidden: np.ndarray, target: np.ndarray, slot: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """Natural log probability of the first unit in its class; 0 where the class is one unit."""
+    found = np.zeros(len(target))
+    for at in _by_class(target, slot, counted):
+        low, high = block[target[at[0]]], block[target[at[0]] + 1]
+        found[at] = log_shares(hidden[at] @ w["fine"][low:high].T + w["level"][low:high], slot[at] - low)
+    return found
+
+
+def gradients(
+    w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, target: np.ndarray, counted: np.ndarray,
+    slot: np.ndarray | None = None, block: np.ndarray | None = None,
+) -> dict:
+    """Gradient of the mean loss over the counted positions; that of a table is (rows, gradient of these rows)."""
     f = forward(w, first, last)
     n = len(first)
+    total = max(1, counted.sum())
     p = f["logits"] - f["logits"].max(1, keepdims=True)
     np.exp(p, out=p)
     p /= p.sum(1, keepdims=True)
     p[np.arange(p.shape[0]), target.ravel()] -= 1
-    p *= counted.reshape(-1, 1) / max(1, counted.sum())
+    p *= counted.reshape(-1, 1) / total
     hidden = f["hidden"].reshape(-1, DIMS)
-    dh = (p @ w["out"].T).reshape(n, WIDTH, DIMS)
+    dh = p @ w["out"].T
+    grads = {"out": hidden.T @ p, "bias": p.sum(0)}
+    if slot is not None:
+        grads |= {"fine": np.zeros_like(w["fine"]), "level": np.zeros_like(w["level"])}
+        for at in _by_class(target.ravel(), slot.ravel(), counted.ravel()):
+            low, high = block[target.ravel()[at[0]]], block[target.ravel()[at[0]] + 1]
+            h = hidden[at]
+            inner = h @ w["fine"][low:high].T + w["level"][low:high]
+            inner -= inner.max(1, keepdims=True)
+            np.exp(inner, out=inner)
+            inner /= inner.sum(1, keepdims=True)
+            inner[np.arange(len(at)), slot.ravel()[at] - low] -= 1
+            inner /= total
+            grads["fine"][low:high] = inner.T @ h
+            grads["level"][low:high] = inner.sum(0)
+            dh[at] += inner @ w["fine"][low:high]
+    dh = dh.reshape(n, WIDTH, DIMS)
     dseen = np.matmul(dh, f["v"].transpose(0, 2, 1))
     dv = np.matmul(f["seen"].transpose(0, 2, 1), dh)
     ds = f["seen"] * (dseen - (dseen * f["seen"]).sum(2, keepdims=True))
-    near = np.bincount(_BACK[_CAUSAL], weights=ds.sum(0)[_CAUSAL], minlength=WIDTH)
+    grads["near"] = np.bincount(_BACK[_CAUSAL], weights=ds.sum(0)[_CAUSAL], minlength=WIDTH)
     ds *= DIMS**-0.5
     three = np.stack([np.matmul(ds, f["k"]), np.matmul(ds.transpose(0, 2, 1), f["q"]), dv], 2).reshape(-1, 3 * DIMS)
     dx = dh.reshape(-1, DIMS) + three @ w["mix"].T
-    grads = {"mix": f["x"].reshape(-1, DIMS).T @ three, "near": near, "out": hidden.T @ p, "bias": p.sum(0)}
-    for name, ids in (("first", first), ("last", last)):
-        grads[name] = np.zeros(_SHAPES[name], np.float32)
-        np.add.at(grads[name], ids.ravel(), dx)
+    grads["mix"] = f["x"].reshape(-1, DIMS).T @ three
+    for name, ids in zip(_TABLES, (first, last)):
+        order = np.argsort(ids, axis=None, kind="stable")
+        rows, starts = np.unique(ids.ravel()[order], return_index=True)
+        grads[name] = rows, np.add.reduceat(dx[order], starts)
+    return grads
+
+
+def gradient(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, target: np.ndarray, counted: np.ndarray) -> np.ndarray:
+    """Gradient of the first level, laid end to end."""
+    grads = gradients(w, first, last, target, counted)
+    for name in _TABLES:
+        rows, some = grads[name]
+        grads[name] = np.zeros(w[name].shape, np.float32)
+        grads[name][rows] = some
     return np.concatenate([np.asarray(grads[name], np.float32).ravel() for name in _SHAPES])
 
 
 class Adam:
-    def __init__(self, weights: np.ndarray, rate: float = 0.01) -> None:
-        self.weights, self.rate = weights.copy(), rate
-        self.mean, self.square, self.steps = np.zeros_like(weights), np.zeros_like(weights), 0
+    """Steps of all weights; in tables only the rows that a step touches move, each with its own count of steps."""
+
+    def __init__(self, weights: dict[str, np.ndarray], rate: float = 0.01) -> None:
+        self.weights, self.rate = {name: value.copy() for name, value in weights.items()}, rate
+        self.mean, self.square = ({name: np.zeros_like(value) for name, value in weights.items()} for _ in range(2))
+        self.steps, self.touched = 0, {name: np.zeros(len(weights[name]), np.int64) for name in _TABLES}
 
-    def step(self, grad: np.ndarray) -> None:
+    def step(self, grads: dict) -> None:
         self.steps += 1
-        self.mean += 0.1 * (grad - self.mean)
-        self.square += 0.01 * (grad * grad - self.square)
-        scale = self.rate / (1 - 0.9**self.steps)
-        self.weights -= scale * self.mean / (np.sqrt(self.square / (1 - 0.99**self.steps)) + 1e-8)
+        for name, grad in grads.items():
+            rows, steps = slice(None), self.steps
+            if name in _TABLES:
+                rows, grad = grad
+                self.touched[name][rows] += 1
+                steps = self.touched[name][rows][:, None]
+            mean = self.mean[name][rows] + 0.1 * (grad - self.mean[name][rows])
+            square = self.square[name][rows] + 0.01 * (grad * grad - self.square[name][rows])
+            self.mean[name][rows], self.square[name][rows] = mean, square
+            self.weights[name][rows] -= self.rate / (1 - 0.9**steps) * mean / (np.sqrt(square / (1 - 0.99**steps)) + 1e-8)
+
+
+def to_rows(weights: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights as rows of DIMS numbers: the two tables, then the others end to end."""
+    rest = np.concatenate([weights[name].ravel() for name in sorted(weights) if name not in _TABLES])
+    rest = np.pad(rest, (0, -len(rest) % DIMS)).reshape(-1, DIMS)
+    return np.concatenate([*(weights[name] for name in _TABLES), rest])
+
+
+def of_rows(rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Weights shaped like others from their rows."""
+    found, at = {}, 0
+    for name in _TABLES:
+        found[name] = rows[at : at + len(like[name])]
+        at += len(like[name])
+    rest, at = rows[at:].ravel(), 0
+    for name in sorted(set(like) - set(_TABLES)):
+        found[name] = rest[at : at + like[name].size].reshape(like[name].shape)
+        at += like[name].size
+    return found
 
 
 # texts as positions ---------------------------------------------------------------------
@@ -370,9 +476,10 @@ class Positions:
     target: np.ndarray
     start: np.ndarray
     word: np.ndarray  # vocabulary number of the token, -1 for an end
+    slot: np.ndarray | None = None  # output row of the token on the second level, -1 for none
 
 
-def positions(texts: list[bytes], number: dict[bytes, int], v: Vocabulary, klass: np.ndarray) -> Positions:
+def positions(texts: list[bytes], number: dict[bytes, int], v: Vocabulary, klass: np.ndarray, slots: np.ndarray) -> Positions:
     split = [t.lower().split() for t in texts]
     lengths = np.fromiter(map(len, split), np.int64, len(split)) + 1
     start = np.concatenate([[0], np.cumsum(lengths)])
@@ -381,13 +488,14 @@ def positions(texts: list[bytes], number: dict[bytes, int], v: Vocabulary, klass
     inside[start[1:] - 1] = False
     word[inside] = np.fromiter((number[w] for words in split for w in words), np.int64, int(inside.sum()))
     target = np.where(inside, klass[word] if len(klass) else 0, CLASSES - 1)
+    slot = np.where(inside, slots[word] if len(slots) else -1, -1)
     # what a position reads is the token before; the first one reads "start", which is id 0
     first = np.zeros(start[-1], np.int64)
     last = np.zeros(start[-1], np.int64)
     if len(klass):
-        first[1:] = np.where(inside[:-1], 1 + v.flat[v.start[:-1]][word[:-1]] % (INPUTS - 1), 0)
-        last[1:] = np.where(inside[:-1], 1 + v.flat[v.start[1:] - 1][word[:-1]] % (INPUTS - 1), 0)
-    return Positions(first, last, target, start, word)
+        first[1:] = np.where(inside[:-1], 1 + v.flat[v.start[:-1]][word[:-1]], 0)
+        last[1:] = np.where(inside[:-1], 1 + v.flat[v.start[1:] - 1][word[:-1]], 0)
+    return Positions(first, last, target, start, word, slot)
 
 
 def windows(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -398,12 +506,10 @@ def windows(start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(start[:-1], many) + STRIDE * step, np.repeat(start[1:], many)
 
 
-def batches_of(p: Positions, chosen: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def batches_of(p: Positions) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Batches of windows: their positions, and which of them are scored there and nowhere else."""
     begin, end = windows(p.start)
     opens = np.isin(begin, p.start[:-1])
-    if chosen is not None:
-        begin, end, opens = begin[chosen], end[chosen], opens[chosen]
     for at in range(0, len(begin), BATCH):
         place = begin[at : at + BATCH, None] + np.arange(WIDTH)
         scored = place < end[at : at + BATCH, None]
@@ -416,7 +522,7 @@ def _opened(batches: Iterator[pa.RecordBatch], counts: Counts, keep: Callable[[i
         for blob, vocabulary in zip(batch.column(0), batch.column(1)):
             v = Vocabulary.read(vocabulary.as_py())
             number = {w: i for i, w in enumerate(v.words)}
-            klass = counts.classes(v)
+            klass, slots = counts.classes(v), counts.slots(v)
             inside = counts.inside(v) if spell else None
             _, keys, texts = opened(blob.as_py())
             names = keys.to_pylist()
@@ -427,41 +533,48 @@ def _opened(batches: Iterator[pa.RecordBatch], counts: Counts, keep: Callable[[i
                 group.append(i)
                 size += len(texts[i])
                 if size > 1 << 19:
-                    yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass)
+                    yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass, slots)
                     group, size = [], 0
             if group:
-                yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass)
+                yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass, slots)
 
 
-def _train(counts: Counts, weights: np.ndarray, turn: int, fold: int, held: int):
-    """Train on every EVERY-th window of the training texts of a task; rows (place, weight * steps, steps)."""
+def _train(counts: Counts, weights: dict[str, np.ndarray], turn: int, fold: int, held: int):
+    """Train on every window of the training texts of a task; rows (place, steps, numbers * steps) of what moved."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Adam(weights, 0.01 / (1 + turn))
-        seen = 0
         for _, _, _, p in _opened(batches, counts, lambda key: is_training(key, fold, held), False):
-            n = len(windows(p.start)[0])
-            for place, scored in batches_of(p, np.arange(seen + turn * EVERY // ROUNDS, seen + n + turn * EVERY // ROUNDS) % EVERY == 0):
-                model.step(gradient(unflat(model.weights), p.first[place], p.last[place], p.target[place], scored))
-            seen += n
+            for place, scored in batches_of(p):
+                model.step(gradients(model.weights, p.first[place], p.last[place], p.target[place], scored, p.slot[place], counts.block))
         if model.steps:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(weights))), pa.array(model.weights.astype(np.float64) * model.steps), pa.array(np.full(len(weights), model.steps, np.float64))],
-                ["place", "value", "steps"],
-            )
+            rows = to_rows(model.weights)
+            tables = np.concatenate([model.touched[name] for name in _TABLES])
+            steps = np.concatenate([tables, np.full(len(rows) - len(tables), model.steps)])
+            for at in np.array_split(np.flatnonzero(steps), 1 + len(rows) // 8192):
+                value = rows[at].astype(np.float64) * steps[at, None]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at), pa.array(steps[at]), *(pa.array(np.ascontiguousarray(value[:, k])) for k in range(DIMS))],
+                    ["place", "steps", *_NUMBERS],
+                )
 
     return run
 
 
-def _score(counts: Counts, weights: np.ndarray):
+_NUMBERS = [f"v{k}" for k in range(DIMS)]
+
+
+def _score(counts: Counts, w: dict[str, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = unflat(weights)
         end_share = counts.base(counts.ends)
         for v, inside, keys, p in _opened(batches, counts, lambda key: True, True):
             logs = np.zeros(len(p.target))
             for place, scored in batches_of(p):
                 f = forward(w, p.first[place], p.last[place])
-                logs[place[scored]] = log_shares(f["logits"], p.target[place].ravel())[scored.ravel()]
+                target = p.target[place].ravel()
+                found = log_shares(f["logits"], target)
+                found += fine_shares(w, counts.block, f["hidden"].reshape(-1, DIMS), target, p.slot[place].ravel(), scored.ravel())
+                logs[place[scored]] = found[scored.ravel()]
             logs /= np.log(10)
             word = p.word >= 0
             logs[word] += inside[p.word[word]]
@@ -520,9 +633,12 @@ def score_texts(
     counts = Counts.of(code, n, 2 * size + 2, tokens, new + (ends > 0), ends)
     weights = initial(counts)
     for turn in range(ROUNDS):
-        rows = joined.select("blob", "vocabulary").mapInArrow(_train(counts, weights, turn, fold, held), "place long, value double, steps double")
-        for row in rows.groupBy("place").agg((F.sum("value") / F.sum("steps")).alias("value")).collect():
-            weights[row["place"]] = row["value"]
+        schema = ", ".join(["place long", "steps long", *(f"{c} double" for c in _NUMBERS)])
+        moved = joined.select("blob", "vocabulary").mapInArrow(_train(counts, weights, turn, fold, held), schema)
+        mean = moved.groupBy("place").agg(*((F.sum(c) / F.sum("steps")).cast("float").alias(c) for c in _NUMBERS)).toArrow()
+        rows = to_rows(weights)
+        rows[mean.column("place").to_numpy()] = np.stack([mean.column(c).to_numpy() for c in _NUMBERS], 1)
+        weights = of_rows(rows, weights)
     scored = joined.select("blob", "vocabulary").mapInArrow(
         _score(counts, weights), "key long, n_tokens long, n_known long, base_score double, score double"
     )

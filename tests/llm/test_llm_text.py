@@ -229,6 +229,72 @@ def test_attention_sees_all_of_its_window_and_nothing_later():
     assert moved(*range(20, width))[20:].any() and moved(0)[24:].any()
 
 
+def some_counts(width=1500):
+    """Counts of first units, most of them never seen, and no later units."""
+    rng = np.random.default_rng(4)
+    unit = np.arange(0, width - 1, 3)
+    n = rng.integers(1, 50, len(unit))
+    once = unit[n == 1]
+    code, sums = np.concatenate([unit, width + once, 2 * width + unit]), np.concatenate([n, np.ones(len(once), int), np.ones(len(unit), int)])
+    return attention_lm.Counts.of(code, sums, width, int(n.sum()) + 9, len(unit) + 1, 9)
+
+
+def test_first_units_share_all_probability():
+    counts = some_counts()
+    width = len(counts.klass)
+    w = attention_lm.initial(counts)
+    w["fine"] += np.random.default_rng(5).standard_normal(w["fine"].shape)
+    assert len(w["first"]) > width  # no two units share an input row
+    ids = np.random.default_rng(6).integers(0, len(w["first"]), (1, attention_lm.WIDTH))
+    f = attention_lm.forward(w, ids, ids)
+    for place in (0, attention_lm.WIDTH - 1):
+        logits, hidden = np.repeat(f["logits"][place][None], width, 0), np.repeat(f["hidden"].reshape(-1, attention_lm.DIMS)[place][None], width, 0)
+        logs = attention_lm.log_shares(logits, counts.klass)
+        logs = logs + attention_lm.fine_shares(w, counts.block, hidden, counts.klass, counts.slot, np.ones(width, bool))
+        assert (10.0 ** (logs / np.log(10) + counts.first)).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_gradient_of_the_second_level():
+    counts, rng = some_counts(), np.random.default_rng(7)
+    w = {k: x.astype(float) for k, x in attention_lm.initial(counts).items()}
+    w["fine"] += rng.standard_normal(w["fine"].shape)
+    shape = (3, attention_lm.WIDTH)
+    first, last = (rng.integers(0, 40, shape) for _ in range(2))
+    unit = rng.integers(0, len(counts.klass), shape)
+    target, slot, counted = counts.klass[unit], counts.slot[unit], rng.random(shape) < 0.7
+
+    def loss():
+        f = attention_lm.forward(w, first, last)
+        logs = attention_lm.log_shares(f["logits"], target.ravel())
+        logs = logs + attention_lm.fine_shares(w, counts.block, f["hidden"].reshape(-1, attention_lm.DIMS), target.ravel(), slot.ravel(), counted.ravel())
+        return -logs[counted.ravel()].sum() / counted.sum()
+
+    grads = attention_lm.gradients(w, first, last, target, counted, slot, counts.block)
+    for name in ("fine", "level", "mix", "out", "first"):
+        grad = grads[name]
+        if name == "first":
+            grad = np.zeros_like(w[name])
+            grad[grads[name][0]] = grads[name][1]
+        for at in rng.choice(np.flatnonzero(np.abs(grad) > 1e-4), 5):
+            found = []
+            for step in (1e-5, -2e-5):
+                w[name].ravel()[at] += step
+                found.append(loss())
+            w[name].ravel()[at] += 1e-5
+            assert (found[0] - found[1]) / 2e-5 == pytest.approx(grad.ravel()[at], rel=2e-3, abs=1e-6)
+
+
+def test_every_token_is_trained_on(monkeypatch):
+    seen = []
+    monkeypatch.setattr(attention_lm.Adam, "step", lambda self, grads: None)
+    monkeypatch.setattr(attention_lm, "gradients", lambda w, first, last, target, counted, *rest: seen.append(int(counted.sum())))
+    start = np.concatenate([[0], np.cumsum([101] * 40)])
+    p = attention_lm.Positions(*([np.zeros(start[-1], np.int64)] * 3), start, *([np.zeros(start[-1], np.int64)] * 2))
+    monkeypatch.setattr(attention_lm, "_opened", lambda *a: [(None, None, None, p)])
+    list(attention_lm._train(some_counts(), attention_lm.initial(some_counts()), 0, 7, 2)(iter([])))
+    assert sum(seen) == start[-1]
+
+
 def brute_base(rows):
     split = [(k, (t or "").encode().lower().split() + [None]) for k, t in rows]
     trained = lambda k: zlib.crc32(b"" if k is None else str(k).encode()) % 7 != 2
