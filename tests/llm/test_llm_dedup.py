@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -172,3 +173,10 @@ def test_components_of_a_path(spark):
 def test_suffix_query(spark, tables):
     rows = pairs(spark.read.parquet(f"{tables}/documents.parquet"))
     assert Counter(tuple(r) for r in queries.op3_suffix_dedup(spark, tables).collect()) == brute_bytes(rows)
+
+
+def test_estimates_lose_no_more_pairs_than_stated():
+    for limit, most in ((0.85, 1e-9), (0.8, 1e-8)):
+        low = (limit - setsketch.MARGIN) * setsketch.REGISTERS
+        lost = sum(math.comb(128, k) * limit**k * (1 - limit) ** (128 - k) for k in range(129) if k < low)
+        assert setsketch.REGISTERS == 128 and lost < most
