@@ -31,12 +31,16 @@ LOOKALIKES = {
 }
 # Natural logs of how likely a disguise is.
 LOOKALIKE_COST, DROP_COST, REPEAT_COST = -1.5, -1.0, -0.5
+# ... and that a gap between single characters ends a word
+BREAK_COST = -1.0
 
 # letter classes of the model: 0 outside a word, 1-26 a-z, 27 any other letter
 _CLASSES = 28
 _RUN = re.compile(r"(.)\1\1")
 _EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){3,}\S(?!\S)")
+# a single character, which marks may enclose; possessive, so that long rows of marks take linear time
+_SINGLE = rf"(?:[{re.escape(_EDGE)}]*+\w[{re.escape(_EDGE)}]*+|[{re.escape(_EDGE)}€£])(?!\S)"
+_SPACED = re.compile(rf"(?<!\S){_SINGLE}(?:\s+{_SINGLE})+")
 _PREFIXES = (4, 5, 6)
 _CLEAN_COST = 3
 # a worker forgets the tokens it knows once they are this many
@@ -116,6 +120,30 @@ class Restorer:
             best, before = after, char
         return max((score + self.logs[a][b][0], text) for (a, b), (score, text) in best.items())[1]
 
+    def decode_spaced(self, run: str) -> list[str]:
+        """Words of a run of single characters; every gap is an edge inside a word or between two."""
+        best: dict[tuple[int, int], tuple[float, tuple[str, ...]]] = {(0, 0): (0.0, ("",))}
+        before = ""
+        for k, token in enumerate(run.split()):
+            char = token.strip(_EDGE) or token[0]
+            readings = self._readings(char, before)
+            after: dict[tuple[int, int], tuple[float, tuple[str, ...]]] = {}
+            for (a, b), (score, words) in best.items():
+                starts = [(a, b, score, words)]
+                if k and words[-1]:
+                    starts.append((0, 0, score + BREAK_COST + self.logs[a][b][0], (*words, "")))
+                for p, q, value, found in starts:
+                    for letter, cost in readings:
+                        if letter:
+                            c = self._class(letter)
+                            state, option = (q, c), (value + cost + self.logs[p][q][c], (*found[:-1], found[-1] + letter))
+                        else:
+                            state, option = (p, q), (value + cost, found)
+                        if state not in after or option > after[state]:
+                            after[state] = option
+            best, before = after, char
+        return [w for w in max((score + self.logs[a][b][0], words) for (a, b), (score, words) in best.items())[1] if w]
+
     def restore(self, token: str) -> str:
         """The plain word; a token with one reading only needs no search."""
         core = token.strip(_EDGE)
@@ -136,17 +164,14 @@ class Restorer:
             if word is None:
                 word = known[token] = self.restore(token)
             found.add(word)
-        found |= {self.decode(run.replace(" ", "").replace("\t", "")) for run in spaced_runs(low)}
+        for run in spaced_runs(low):
+            found.update(self.decode_spaced(run))
         found.discard("")
         return found
 
 
 def spaced_runs(text: str) -> list[str]:
-    """Runs of four or more single characters; the byte test spares most texts the search."""
-    raw = np.frombuffer(text.encode(), np.uint8)
-    gap = (raw == 32) | (raw == 9)
-    if len(raw) < 7 or not (gap[1:-5] & gap[3:-3] & gap[5:-1] & ~gap[2:-4] & ~gap[4:-2]).any():
-        return []
+    """Runs of two or more single characters, each with any marks around it."""
     return _SPACED.findall(text)
 
 
@@ -305,7 +330,8 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", carry: tupl
                         if hit:
                             found.update(hit)
                     for gap in spaced_runs(low):
-                        found.update(entries(restorer.decode(gap.replace(" ", "").replace("\t", ""))))
+                        for word in restorer.decode_spaced(gap):
+                            found.update(entries(word))
                     clean = math.log1p(-model.base) + sum(math.log1p(-weights[e]) for e in sorted(found))
                     scores.append(-math.expm1(clean))
                     evidence.append(sorted(found))

@@ -113,6 +113,16 @@ def test_disguises_are_seen_through(spark, insults):
     assert all(0 <= scores[i] < 0.5 for i in range(len(shown), len(shown) + len(clean))), scores
 
 
+def test_spaced_insults_beside_marks_and_words_are_seen_through(spark, insults):
+    _, _, model = insults
+    shown = ["g r o b i a n.", "g r o b i a n!", '"g r o b i a n', "g  r  o\nb i a n", "a g r o b i a n", "such a g r 0 b i a n.", "g r o b i a n s c h u f t e n"]
+    clean = ["a b c d e f", "a . b , c", "1 2 3 4", "x"]
+    df = spark.createDataFrame(list(enumerate(shown + clean)), "doc_id long, text string")
+    scores = {r["record"]["doc_id"]: r["score"] for r in toxicity.score(df, model).collect()}
+    assert not [shown[i] for i in range(len(shown)) if scores[i] < 0.5]
+    assert all(scores[i] < 0.5 for i in range(len(shown), len(shown) + len(clean)))
+
+
 def test_toxicity_of_odd_rows(odd_docs, no_docs, insults):
     _, labels, model = insults
     clash = odd_docs.withColumn("score", F.lit("x")).withColumn("record", F.lit(1)).withColumn("evidence", F.lit(1))
