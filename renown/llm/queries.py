@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import attention_lm, dimension_scan, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
+from renown.llm import attention_lm, dimension_scan, line_dedup, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -107,6 +107,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the lines that an earlier document has."""
+    kept = line_dedup.remove_repeats(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -192,8 +198,20 @@ JOIN (SELECT doc_id, item_id, count(DISTINCT word)::INT AS n_words, min(word)::I
       FROM covered GROUP BY ALL) USING (doc_id, item_id)
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts}
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL}
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p FROM documents
+), k AS (
+  SELECT *, translate(trim(line, E' \t\n\x0b\x0c\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM d
+), f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key),
+m AS (SELECT k.*, first IS NOT NULL AND first < doc_id AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts, "op11_line_dedup": op11_line_dedup}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_line_dedup": OP11_SQL}
 
 
 def queries() -> dict:
