@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import attention_lm, dimension_scan, line_dedup, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
+from renown.llm import attention_lm, conversation_repair, dimension_scan, line_dedup, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -113,6 +113,34 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The rows of ``conversations`` with the faults that the hash of their place deals to them."""
+    blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    dealt = F.crc32(F.concat_ws(":", blank("conv_id"), blank("turn")).cast("binary")) % 20
+    text = F.when(dealt == 1, F.lit("")).when(dealt == 2, F.regexp_replace(blank("text"), "[.!?]", "")).otherwise(blank("text"))
+    role = F.when(dealt == 4, F.lit("user")).otherwise(blank("role"))
+    times = F.when(dealt == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return turns.where(dealt != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), F.explode(times).alias("_time")).drop("_time")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of the repaired rows of every damaged conversation."""
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    repaired = conversation_repair.repair(damaged(turns))
+    found = (
+        turns.select("conv_id").distinct()
+        .unionByName(repaired.summary, allowMissingColumns=True)
+        .unionByName(conversation_repair.digest(repaired.rows), allowMissingColumns=True)
+    )
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # SHA-256 of nothing
+    return found.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("bigint").alias(c) for c in numbers],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.lit(empty)).alias("repaired_sha256"),
+    )
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
@@ -210,8 +238,72 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts, "op11_line_dedup": op11_line_dedup}
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_line_dedup": OP11_SQL}
+# The checksum is computed bit by bit; the recursion goes along the rows of each conversation.
+OP13_SQL = r"""
+WITH RECURSIVE place AS (
+  SELECT *, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), dealt AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda ch: ascii(ch)::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)),
+      4294967295::BIGINT) % 20 AS fate
+  FROM place
+), rows AS (
+  SELECT conv_id, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN fate = 1 THEN '' WHEN fate = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN fate = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM dealt WHERE fate <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS k FROM rows
+), faults AS (
+  SELECT *, left(role, 1) AS initial,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY k), 1) || left(role, 1) AS pair
+  FROM numbered
+), inserts(st, m, mid) AS (VALUES (0,0,0),(0,1,2),(0,2,3),(1,0,1),(1,1,2),(1,2,3),(2,0,2),(2,1,3),(2,2,2),(3,0,3),(3,1,2),(3,2,3)),
+letters(letter) AS (VALUES ('D'), ('R'), ('K')),
+edits AS (
+  SELECT conv_id, k, st, CASE WHEN letter = 'D' THEN mid WHEN letter = 'K' AND initial = 's' THEN 1 WHEN mid = 2 THEN 3 ELSE 2 END AS nst,
+    m * 3 + CASE letter WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END + CASE WHEN letter <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS c,
+    repeat('I', m) || letter AS s
+  FROM faults, inserts, letters
+  WHERE letter = 'D' OR (fault IN ('', 'truncated') AND (letter = 'R' OR (initial = 's' AND mid = 0) OR (initial = 'u' AND mid <> 2) OR (initial = 'a' AND mid = 2)))
+), dp AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, 0 AS st, {'c': 0::BIGINT, 's': ''} AS best FROM faults
+  UNION ALL
+  SELECT p.conv_id, p.k + 1, e.nst, min({'c': p.best.c + e.c, 's': p.best.s || e.s})
+  FROM dp p JOIN edits e ON e.conv_id IS NOT DISTINCT FROM p.conv_id AND e.k = p.k + 1 AND e.st = p.st
+  GROUP BY p.conv_id, p.k + 1, e.nst
+), ends AS (
+  SELECT dp.conv_id, min({'c': best.c + CASE st WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 0 END, 's': best.s || CASE st WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END}) AS best
+  FROM dp JOIN (SELECT conv_id, max(k) AS n FROM faults GROUP BY conv_id) l ON l.conv_id IS NOT DISTINCT FROM dp.conv_id AND dp.k = l.n
+  GROUP BY dp.conv_id
+), steps AS (
+  SELECT conv_id, unnest(string_split(best.s, '')) AS letter, generate_subscripts(string_split(best.s, ''), 1) AS p FROM ends
+), counted AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER w AS k, sum((letter <> 'D')::INT) OVER w AS o FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY p)
+), kept AS (
+  SELECT c.conv_id, c.p, c.o, c.letter, f.role, f.text,
+    max((c.o = 1 AND c.letter = 'K' AND f.initial = 's')::INT) OVER (PARTITION BY c.conv_id) AS led
+  FROM counted c LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM c.conv_id AND f.k = c.k AND c.letter <> 'I' WHERE c.letter <> 'D'
+), repaired AS (
+  SELECT conv_id, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (o - led) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY p)) AS digest
+  FROM kept GROUP BY conv_id
+), sums AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY conv_id
+)
+SELECT i.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+  coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.s, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN sums ON sums.conv_id IS NOT DISTINCT FROM i.conv_id
+LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM i.conv_id
+"""
+
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts, "op11_line_dedup": op11_line_dedup, "op13_conversation_repair": op13_conversation_repair}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_line_dedup": OP11_SQL, "op13_conversation_repair": OP13_SQL}
 
 
 def queries() -> dict:
