@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.llm import attention_lm, conversation_repair, dimension_scan, line_dedup, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
+from renown.llm import attention_lm, collocations, conversation_repair, dimension_scan, line_dedup, mixing, setsketch, sharding, spaced_seeds, substring_dedup, suffix_dedup, token_prefix, toxicity
 
 TOKEN_LIMIT = 2048
 
@@ -113,6 +113,11 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of two to four words of each language."""
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """The rows of ``conversations`` with the faults that the hash of their place deals to them."""
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -238,6 +243,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+OP12_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) AS t(m))),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY ALL),
+c AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 30),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+parts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:m], ' ') AS tail FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+cut AS (
+  SELECT p.lang, p.phrase, p.a, k, x.a AS l, y.a AS r, ((2000000::HUGEINT * p.a) // (x.a + y.a))::BIGINT AS score
+  FROM parts p JOIN f x ON x.lang = p.lang AND x.phrase = p.head JOIN f y ON y.lang = p.lang AND y.phrase = p.tail
+), best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(a) AS most
+  FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c)) GROUP BY ALL
+), alive AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * b.a
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alive)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 # The checksum is computed bit by bit; the recursion goes along the rows of each conversation.
 OP13_SQL = r"""
 WITH RECURSIVE place AS (
@@ -302,8 +331,8 @@ FROM (SELECT DISTINCT conv_id FROM conversations) i LEFT JOIN sums ON sums.conv_
 LEFT JOIN ends ON ends.conv_id IS NOT DISTINCT FROM i.conv_id LEFT JOIN repaired ON repaired.conv_id IS NOT DISTINCT FROM i.conv_id
 """
 
-QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts, "op11_line_dedup": op11_line_dedup, "op13_conversation_repair": op13_conversation_repair}
-ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_line_dedup": OP11_SQL, "op13_conversation_repair": OP13_SQL}
+QUERIES = {"op1_sharding": op1_sharding, "op2_substring_dedup": op2_substring_dedup, "op3_suffix_dedup": op3_suffix_dedup, "op4_near_duplicates": op4_near_duplicates, "op5_language_model": op5_language_model, "op6_toxicity": op6_toxicity, "op7_neighbours": op7_neighbours, "op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination, "op10_token_counts": op10_token_counts, "op11_line_dedup": op11_line_dedup, "op12_collocations": op12_collocations, "op13_conversation_repair": op13_conversation_repair}
+ORACLES = {"op2_substring_dedup": OP2_SQL, "op4_near_duplicates": OP4_SQL, "op8_mixing": OP8_SQL, "op9_decontamination": OP9_SQL, "op11_line_dedup": OP11_SQL, "op12_collocations": OP12_SQL, "op13_conversation_repair": OP13_SQL}
 
 
 def queries() -> dict:
