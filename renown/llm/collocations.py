@@ -8,7 +8,8 @@ What lies below is never counted. As soon as enough phrases survive above the li
 included, the language is settled; otherwise the line is lowered and the next batch is counted.
 
 A chunk of one language is numbered once. Counting sends each distinct phrase of a chunk with its
-count to a bucket; the buckets add up, and a chunk is told which of its phrases are frequent.
+count to a bucket; the buckets add up, and a chunk is told which of its phrases are frequent. Most
+pairs are rare, so fingerprints of the pairs are added up first and only what they cannot rule out is sent.
 """
 
 from __future__ import annotations
@@ -24,19 +25,23 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from renown.llm.hashing import Buffer, byte_hashes
+from renown.llm.hashing import Buffer, byte_hashes, mix
+from renown.llm.memory import tidy
 from renown.llm.superkmers import from_blob, gather, to_blob
 from renown.session import stage
 
 SCALE = 2_000_000
 _TOP = SCALE + 1  # above every score
+# words a slice of fingerprints is made for, and its cells
+SLICE_WORDS, CELLS = 1 << 20, 1 << 22
+BUCKET_WORDS = 1 << 19
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(10, 14)]] = True
 _GAPS = _BREAKS.copy()
 _GAPS[[32, 9]] = True
 
-_CHUNK = "chunk long, lang string, n long, places binary, grams binary"
+_CHUNK = "chunk long, lang string, n long, size long, places binary, grams binary"
 
 
 def _places(places: np.ndarray) -> bytes:
@@ -52,9 +57,13 @@ def _numbered(chunk: int, lang: str, texts: list[bytes]) -> pa.RecordBatch:
     pieces = np.cumsum(_BREAKS[buffer.raw])
     apart = np.flatnonzero(np.diff(pieces[start])) + 1
     grams = pa.table([coded.dictionary, pa.array(np.bincount(word, minlength=len(coded.dictionary)))], ["key", "n"])
-    columns = [[chunk], [lang], [len(word)], [_places(np.insert(word, apart, -1))], [to_blob(grams)]]
-    types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["chunk", "lang", "n", "places", "grams"])
+    return _row(chunk, lang, len(word), np.insert(word, apart, -1), grams)
+
+
+def _row(chunk: int, lang: str, n: int, places: np.ndarray, grams: pa.Table) -> pa.RecordBatch:
+    columns = [[chunk], [lang], [n], [grams.num_rows], [_places(places)], [to_blob(grams)]]
+    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["chunk", "lang", "n", "size", "places", "grams"])
 
 
 def _cut(chunk_bytes: int):
@@ -75,23 +84,38 @@ def _cut(chunk_bytes: int):
             yield _numbered(number, lang, held[lang])
             number += 1
 
-    return run
+    return tidy(run)
+
+
+def _keys(table: pa.Table) -> pa.Array:
+    """Keys of the phrases of a chunk: words as they are, longer ones by the numbers of their two parts."""
+    if "key" in table.column_names:
+        return table.column("key").combine_chunks()
+    parts = np.stack([table.column(c).to_numpy() for c in ("left", "right")], 1)
+    return _bytes(parts.astype(">i8").view(np.uint8).reshape(len(parts), 16))
 
 
-def _asked(buckets: int):
-    """Rows (lang, chunk, grams, new, old) to one row for each bucket; ``pb`` and ``sb`` decide what belongs to the batch."""
+def _asked(buckets: int, slices: int):
+    """Rows (lang, chunk, grams, masks, new, old) to one row for each bucket.
+
+    Where there are masks, only what the count of fingerprints lets through is asked for; where there are
+    bounds, only what belongs to the batch between the lines ``new`` and ``old``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lang, chunk, grams, new, old in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+            for lang, chunk, grams, masks, new, old in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), *(batch.column(k).to_pylist() for k in (3, 4, 5))):
                 table = from_blob(grams.as_py())
                 local = np.arange(table.num_rows)
-                if "pb" in table.column_names:
+                if masks is not None:
+                    slice_, _, order = _dealt(table, slices)
+                    local = np.sort(np.concatenate([order[:0], *(_let_through(slice_[order], order, m) for m in masks)]))
+                elif "pb" in table.column_names:
                     local = np.flatnonzero(_fresh(table.column("pb").to_numpy(), table.column("sb").to_numpy(), new, old))
-                    table = table.take(pa.array(local))
                 if not len(local):
                     continue
-                key = table.column("key").combine_chunks()
+                table = table.take(pa.array(local))
+                key = _keys(table)
                 offsets = np.frombuffer(key.buffers()[1], np.int32)[key.offset : key.offset + len(key) + 1].astype(np.int64)
                 bucket = (byte_hashes(np.frombuffer(key.buffers()[2], np.uint8), offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
@@ -101,7 +125,63 @@ def _asked(buckets: int):
                 columns = [pa.array([lang] * len(goes), pa.string()), pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(blobs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "chunk", "blob"])
 
-    return run
+    return tidy(run)
+
+
+def _let_through(slices: np.ndarray, order: np.ndarray, mask: dict) -> np.ndarray:
+    a, b = np.searchsorted(slices, [mask["slice"], mask["slice"] + 1])
+    return order[a:b][np.unpackbits(np.frombuffer(mask["mask"], np.uint8), count=b - a).astype(bool)]
+
+
+def _dealt(table: pa.Table, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Slice and fingerprint of each phrase, and the order in which they travel."""
+    left, right = (table.column(c).to_numpy().astype(np.uint64) for c in ("left", "right"))
+    name = mix(mix(left + np.uint64(1)) ^ right)
+    slice_, print_ = (name % np.uint64(slices)).astype(np.int64), name >> np.uint64(32)
+    return slice_, print_, np.lexsort((print_, slice_))
+
+
+def _prints(slices: int):
+    """Rows (lang, chunk, grams) to the fingerprints of their phrases and how often each occurs, by slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lang, chunk, grams in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2)):
+                table = from_blob(grams.as_py())
+                if not table.num_rows:
+                    continue
+                slice_, print_, order = _dealt(table, slices)
+                goes, starts = np.unique(slice_[order], return_index=True)
+                step = np.diff(print_[order].astype(np.int64), prepend=0)
+                step[starts] = print_[order[starts]]
+                sent = pa.table([pa.array(step), table.column("n").take(pa.array(order))], ["step", "n"])
+                blobs = [to_blob(sent.slice(a, b - a)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
+                columns = [pa.array([lang] * len(goes), pa.string()), pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(blobs, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["lang", "slice", "chunk", "blob"])
+
+    return tidy(run)
+
+
+def _reached(least: int):
+    """Rows (lang, slice, phase, chunk, blob) in order: phase 0 adds up in cells, phase 1 is told which cells reach ``least``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, cells = None, np.empty(0)
+        for batch in batches:
+            for lang, slice_, phase, chunk, blob in zip(*(c.to_pylist() for c in batch.columns)):
+                if (lang, slice_) != current:
+                    current, cells = (lang, slice_), np.zeros(CELLS, np.int64)
+                table = from_blob(blob)
+                cell = np.cumsum(table.column("step").to_numpy()) % CELLS
+                if phase == 0:
+                    np.add.at(cells, cell, table.column("n").to_numpy())
+                    continue
+                mask = cells[cell] >= least
+                if mask.any():
+                    columns = [pa.array([chunk], pa.int64()), pa.array([slice_], pa.int64()), pa.array([np.packbits(mask).tobytes()], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["chunk", "slice", "mask"])
+
+    return tidy(run)
 
 
 def _fresh(forward: np.ndarray, backward: np.ndarray, new: int, old: int) -> np.ndarray:
@@ -151,12 +231,12 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _heard(replies: list[bytes] | None, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every phrase of the chunk: the bytes of its number and its two bounds, -1 where it is not frequent."""
-    ids, forward, backward = np.zeros((count, 8), np.uint8), np.full(count, -1, np.int64), np.full(count, -1, np.int64)
+    """For every phrase of the chunk: its number and its two bounds, -1 where it is not frequent."""
+    ids, forward, backward = np.zeros(count, np.int64), np.full(count, -1, np.int64), np.full(count, -1, np.int64)
     for blob in replies or []:
         table = from_blob(blob)
         local = table.column("local").to_numpy()
-        ids[local] = np.frombuffer(b"".join(table.column("id").to_pylist()), np.uint8).reshape(-1, 8)
+        ids[local] = np.frombuffer(b"".join(table.column("id").to_pylist()), ">i8")
         forward[local], backward[local] = table.column("pb").to_numpy(), table.column("sb").to_numpy()
     return ids, forward, backward
 
@@ -181,20 +261,17 @@ def _bytes(rows: np.ndarray) -> pa.Array:
 
 
 def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chunk, lang, n, places, grams, replies) to the same of phrases one word longer."""
+    """Rows (chunk, lang, n, size, places, replies) to the chunks of phrases one word longer."""
     for batch in batches:
-        for chunk, lang, n, places, grams, replies in zip(*(batch.column(k).to_pylist() for k in range(3)), batch.column(3), batch.column(4), batch.column(5).to_pylist()):
+        for chunk, lang, n, count, places, replies in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), batch.column(5).to_pylist()):
             places = from_blob(places.as_py()).column("place").to_numpy()
-            count = from_blob(grams.as_py()).num_rows
             ids, forward, backward = _heard(replies, count)
             left, right = places[:-1], places[1:]
             alive = np.append(forward >= 0, False)  # the last is for -1
             longer, left, right, times = grown(places, alive[left] & alive[right], count)
-            table = pa.table(
-                [_bytes(np.hstack([ids[left], ids[right]])), pa.array(times), pa.array(forward[left]), pa.array(backward[right])], ["key", "n", "pb", "sb"]
-            )
-            columns = [pa.array([chunk], pa.int64()), pa.array([lang], pa.string()), pa.array([n], pa.int64()), pa.array([_places(longer)], pa.binary()), pa.array([to_blob(table)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["chunk", "lang", "n", "places", "grams"])
+            numbers = [ids[left], ids[right], times.astype(np.int32), forward[left].astype(np.int32), backward[right].astype(np.int32)]
+            table = pa.table([pa.array(x) for x in numbers], ["left", "right", "n", "pb", "sb"])
+            yield _row(chunk, lang, n, longer, table)
 
 
 def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,14 +279,15 @@ def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for chunk, lang, places, grams, replies, new, old in zip(*(batch.column(k).to_pylist() for k in (0, 1)), *(batch.column(k) for k in (2, 3)), *(batch.column(k).to_pylist() for k in (4, 5, 6))):
             places = from_blob(places.as_py()).column("place").to_numpy()
-            keys = from_blob(grams.as_py()).column("key").combine_chunks()
-            rows = np.frombuffer(keys.buffers()[2] or b"", np.uint8)[: 16 * len(keys)].reshape(-1, 16)
-            _, forward, backward = _heard(replies, len(keys))
+            known = from_blob(grams.as_py())
+            first, second = (known.column(c).to_numpy() for c in ("left", "right"))
+            _, forward, backward = _heard(replies, known.num_rows)
             left, right = places[:-1], places[1:]
             forward, backward = np.append(forward, -1), np.append(backward, -1)
             take = (left >= 0) & (right >= 0) & _fresh(forward[left], backward[right], new, old)
-            _, left, right, times = grown(places, take, len(keys))
-            table = pa.table([_bytes(np.hstack([rows[left], rows[right, 8:]])), pa.array(times)], ["key", "n"])
+            _, left, right, times = grown(places, take, known.num_rows)
+            numbers = np.stack([first[left], second[left], second[right]], 1).astype(">i8")
+            table = pa.table([_bytes(numbers.view(np.uint8).reshape(len(numbers), 24)), pa.array(times)], ["key", "n"])
             columns = [pa.array([lang], pa.string()), pa.array([chunk], pa.int64()), pa.array([to_blob(table)], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "chunk", "grams"])
 
@@ -244,8 +322,25 @@ class _Counter:
     fan: int
     least: int
 
-    def ask(self, rows: DataFrame) -> DataFrame:
-        return stage(rows.select("lang", "chunk", "grams", "new", "old").mapInArrow(_asked(self.buckets), "lang string, bucket long, chunk long, blob binary"), "phrase-asked")
+    slices: int
+    parts: int
+
+    def ask(self, rows: DataFrame, new: Column | None = None, old: Column | None = None, masks: Column | None = None) -> DataFrame:
+        none = F.lit(None).cast("array<struct<slice:bigint,mask:binary>>")
+        columns = [none if masks is None else masks, F.lit(0).cast("bigint") if new is None else new, F.lit(_TOP).cast("bigint") if old is None else old]
+        asked = rows.select("lang", "chunk", "grams", *[c.alias(n) for c, n in zip(columns, ("masks", "new", "old"))])
+        return stage(asked.mapInArrow(_asked(self.buckets, self.slices), "lang string, bucket long, chunk long, blob binary"), "phrase-asked")
+
+    def masks(self, rows: DataFrame) -> DataFrame:
+        """Which phrases of each chunk may occur ``least`` times: (chunk, masks).
+
+        Fingerprints are added up in cells, which never count too little; two thirds less travel than with the phrases.
+        """
+        prints = stage(rows.select("lang", "chunk", "grams").mapInArrow(_prints(self.slices), "lang string, slice long, chunk long, blob binary"), "phrase-prints")
+        both = [prints.select("lang", "slice", F.lit(p).alias("phase"), "chunk", "blob") for p in (0, 1)]
+        dealt = both[0].union(both[1]).repartition(min(self.parts, 4 * self.slices), "lang", "slice").sortWithinPartitions("lang", "slice", "phase")
+        told = dealt.mapInArrow(_reached(self.least), "chunk long, slice long, mask binary")
+        return told.groupBy("chunk").agg(F.collect_list(F.struct("slice", "mask")).alias("masks"))
 
     def frequent(self, asked: DataFrame) -> DataFrame:
         """Phrases found ``least`` times, numbered. Chunks are added up in parts first, so no group grows with all of them."""
@@ -256,7 +351,7 @@ class _Counter:
     def tell(self, asked: DataFrame, known: DataFrame) -> DataFrame:
         """What each chunk hears about its phrases: (chunk, reply)."""
         lists = known.groupBy("lang", "bucket").agg(F.collect_list(F.struct("key", "id", F.col("pb").cast("int").alias("pb"), F.col("sb").cast("int").alias("sb"))).alias("known"))
-        return asked.join(lists, ["lang", "bucket"]).select("chunk", "blob", "known").mapInArrow(_told, "chunk long, reply binary")
+        return asked.join(lists, ["lang", "bucket"]).select("chunk", "blob", "known").mapInArrow(tidy(_told), "chunk long, reply binary")
 
 
 def _gathered(replies: DataFrame) -> DataFrame:
@@ -274,7 +369,7 @@ def _covered(records: DataFrame, longer: DataFrame, name: str, width: int) -> Da
     return records.join(most, ["lang", name], "left").where(F.col("most").isNull() | (wide("most") * 100 < wide("a") * 80)).drop("most")
 
 
-def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = 2000, least: int = 30, chunk_bytes: int = 8 << 20, growth: int = 8) -> DataFrame:
+def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: int = 2000, least: int = 30, chunk_bytes: int = 4 << 20, growth: int = 8) -> DataFrame:
     """The ``top`` phrases of two to four words of each language by score.
 
     Columns: lang, rank, phrase, ``a`` (occurrences), ``l`` and ``r`` (of the two parts of the lowest-scoring cut),
@@ -290,16 +385,16 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     rows = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     chunks = stage(rows.mapInArrow(_cut(chunk_bytes), _CHUNK), "phrase-words")
     total = chunks.agg(F.count(F.lit(1)).alias("chunks"), F.sum("n").alias("n")).first()
-    counter = _Counter(max(1, math.ceil((total["n"] or 0) / (1 << 19))), max(1, math.isqrt(total["chunks"])), least)
-    every = chunks.withColumns({"new": F.lit(0), "old": F.lit(_TOP)})
+    words_in_all, parts = total["n"] or 0, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    counter = _Counter(math.ceil(words_in_all / BUCKET_WORDS) or 1, max(1, math.isqrt(total["chunks"])), least, math.ceil(words_in_all / SLICE_WORDS) or 1, parts)
 
-    asked = counter.ask(every)
+    asked = counter.ask(chunks)
     words = stage(counter.frequent(asked).withColumns({"pb": F.lit(0), "sb": F.lit(0)}), "phrase-word-counts")
     heard = _gathered(counter.tell(asked, words))
-    names = chunks.schema.names
-    two = stage(chunks.join(heard, "chunk").select(*names, "replies").mapInArrow(_longer, _CHUNK), "phrase-pairs")
+    names = ["chunk", "lang", "n", "size", "places"]
+    two = stage(chunks.join(heard, "chunk").select(*names, "replies").mapInArrow(tidy(_longer), _CHUNK), "phrase-pairs")
 
-    asked = counter.ask(two.withColumns({"new": F.lit(0), "old": F.lit(_TOP)}))
+    asked = counter.ask(two.select("chunk", "lang", "grams").join(counter.masks(two), "chunk"), masks=F.col("masks"))
     part = lambda n, width=8: F.substring("key", 1 + 8 * (n - 1), width)
     word = lambda n: words.select("lang", F.col("id").alias(f"id{n}"), F.col("key").cast("string").alias(f"w{n}"), F.col("a").alias(f"f{n}"))
     pairs = stage(
@@ -310,7 +405,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
         "phrase-pair-counts",
     )
     heard = _gathered(counter.tell(asked, pairs))
-    three = stage(two.join(heard, "chunk").select(*names, "replies").mapInArrow(_longer, _CHUNK), "phrase-triples")
+    three = stage(two.join(heard, "chunk").select(*names, "replies").mapInArrow(tidy(_longer), _CHUNK), "phrase-triples")
     pair = lambda n: pairs.select("lang", F.col("id").alias(f"id{n}"), F.col("words").alias(f"w{n}"), F.col("heads").alias(f"h{n}"), F.col("tails").alias(f"t{n}"))
 
     triples = quads = replies = None
@@ -323,7 +418,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
         new = F.when(F.col("settled"), F.col("old")).otherwise(F.col("level"))
         line = stage(old.join(level, "lang").select("lang", new.alias("new"), "old"), "phrase-line")
 
-        asked = counter.ask(three.join(line, "lang"))
+        asked = counter.ask(three.select("chunk", "lang", "grams").join(line, "lang"), F.col("new"), F.col("old"))
         found = (
             counter.frequent(asked).withColumns({"id1": part(1), "id2": part(2)}).join(pair(1), ["lang", "id1"]).join(pair(2), ["lang", "id2"])
             .select(
@@ -336,7 +431,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
         told = stage(counter.tell(asked, found), "phrase-told")
         replies = told if replies is None else replies.union(told)
         grown_ = three.join(_gathered(replies), "chunk").join(line, "lang").where("new < old").select("chunk", "lang", "places", "grams", "replies", "new", "old")
-        longest = grown_.mapInArrow(_longest, "lang string, chunk long, grams binary").withColumns({"new": F.lit(0), "old": F.lit(_TOP)})
+        longest = grown_.mapInArrow(tidy(_longest), "lang string, chunk long, grams binary")
         three_of = lambda n: triples.select("lang", F.col("key").alias(f"key{n}"), F.col("a").alias(f"a{n}"))
         found = (
             counter.frequent(counter.ask(longest)).withColumns({"id1": part(1), "id3": part(3), "key1": part(1, 16), "key2": part(2, 16)})
