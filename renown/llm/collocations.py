@@ -33,8 +33,8 @@ from renown.session import stage
 SCALE = 2_000_000
 _TOP = SCALE + 1  # above every score
 # words a slice of fingerprints is made for, and its cells
-SLICE_WORDS, CELLS = 1 << 20, 1 << 22
-BUCKET_WORDS = 1 << 19
+SLICE_WORDS, CELLS = 1 << 23, 1 << 23
+BUCKET_WORDS = 1 << 23
 
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[*b".,;:!?", *range(10, 14)]] = True

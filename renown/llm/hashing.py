@@ -1,8 +1,9 @@
 """Hashes of words and byte ranges of many texts at once.
 
-Texts are laid end to end in one byte buffer. A polynomial prefix hash modulo 2**64
-gives the hash of any byte range from two look-ups, so words and windows of any length
-are hashed without building their strings.
+Texts are laid end to end in one byte buffer, and byte ranges of it are hashed without building
+their strings. Where every place of a text needs the hash of its next bytes, a polynomial
+prefix hash modulo 2**64 gives each from two look-ups; such hashes may agree for different
+ranges, so they only choose places and buckets.
 """
 
 from __future__ import annotations
@@ -91,6 +92,10 @@ class Buffer:
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Hash of the bytes start..end (exclusive), for many ranges."""
+        return byte_hashes(self.raw, start, end)
+
+    def rolling(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A weak hash of many overlapping ranges; equal ranges agree, some different ones do too."""
         return mix((self.prefix[end] - self.prefix[start]) * powers(len(self.raw))[1][start])
 
     def words(self, gaps: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from renown.llm.components import components
 from renown.llm.hashing import Buffer, mix
+from renown.llm.memory import tidy
 from renown.session import stage
 
 REGISTERS, PER_BAND = 128, 4
@@ -120,7 +121,7 @@ def sketches(docs: DataFrame, key: str, text: str, n: int) -> DataFrame:
                     ["key", "tie", "n_shingles", "class", "sketch"],
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -149,7 +150,7 @@ def _likely(pairs: DataFrame, least: float) -> DataFrame:
                 good = _estimates(_registers_of(sa), _registers_of(sb), na.to_numpy().astype(float), nb.to_numpy().astype(float)) >= least
                 yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(good))
 
-    return pairs.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(run, "a binary, b binary")
+    return pairs.select("a", "b", "sketch_a", "sketch_b", "n_a", "n_b").mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
@@ -173,7 +174,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     left = texts.select(F.col("class").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("class").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
-    return rows.mapInArrow(run, "a binary, b binary")
+    return rows.mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _leftover(members: DataFrame, details: DataFrame, n: int, least: float, percent: int, block_rows: int = 256) -> DataFrame:
@@ -218,7 +219,7 @@ def _leftover(members: DataFrame, details: DataFrame, n: int, least: float, perc
 
     pairs = alone.select("band", "rows", F.col("rows").alias("rows2"), F.lit(True).alias("same"))
     pairs = pairs.unionByName(met.select("band", "rows", "rows2", (F.col("block") == F.col("block2")).alias("same")))
-    return pairs.mapInArrow(run, "a binary, b binary")
+    return pairs.mapInArrow(tidy(run), "a binary, b binary")
 
 
 def _links(band: int, x: pa.StructArray, y: pa.StructArray, same: bool, n: int, least: float, percent: int) -> list[tuple[bytes, bytes]]:

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from renown.llm.hashing import LETTERS, Buffer, mix
+from renown.llm.memory import tidy
 
 WINDOW, SUBSTITUTIONS = 12, 2
 MASKS = tuple(tuple(p for p in range(WINDOW) if p % 4 in (0, k)) for k in (1, 2, 3))
@@ -176,4 +177,4 @@ def _scan(rows: DataFrame, test: TestSet) -> DataFrame:
                 found = [old + new for old, new in zip(earlier, _summaries(test, part.column(1).to_pylist()))]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, hits_type)], ["record", "text", "hits"])
 
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)

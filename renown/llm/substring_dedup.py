@@ -16,22 +16,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.llm.hashing import Buffer, mix
+from renown.llm.memory import tidy
 from renown.llm.superkmers import LAST, from_blob, gather, opened, pack, pieces, to_blob, word_runs
 
-_OFFSET = np.uint64(0x9E3779B97F4A7C15)
-
 
 def chunk_runs(blob: bytes, k: int, m: int) -> tuple[np.ndarray, pa.Array, list, np.ndarray, np.ndarray, np.ndarray]:
-    """All runs of a chunk: its keys, the pieces with their runs and words, and over all
-    runs the hash, the document key and the smallest key of the same string in the chunk."""
+    """All runs of a chunk: its keys, the pieces with their runs and words, and over all runs
+    the number of the string (equal bytes, equal number), the document key and the smallest key of the string."""
     keys, raw_keys, texts = opened(blob)
     cut = [(first, len(part), *word_runs(part, k, m)) for first, part in pieces(texts)]
-    name = np.concatenate([np.empty(0, np.uint64), *(runs.hashes() for _, _, runs, *_ in cut)])
+    strings = pa.chunked_array([gather(runs.buffer.raw, runs.start, runs.end) for _, _, runs, *_ in cut], pa.binary())
+    code = np.concatenate([np.empty(0, np.int64), *(c.indices.to_numpy().astype(np.int64) for c in strings.dictionary_encode().chunks)])
     key = np.concatenate([np.empty(0, np.int64), *(keys[first + runs.text] for first, _, runs, *_ in cut)])
-    _, inverse = np.unique(name, return_inverse=True)
-    lowest = np.full(inverse.max() + 1 if len(name) else 0, LAST, np.int64)
-    np.minimum.at(lowest, inverse, key)
-    return keys, raw_keys, cut, name, key, lowest[inverse]
+    lowest = np.full(code.max() + 1 if len(code) else 0, LAST, np.int64)
+    np.minimum.at(lowest, code, key)
+    return keys, raw_keys, cut, code, key, lowest[code]
+
+
+def _buckets(cut: list, code: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each distinct string of a chunk."""
+    minimiser = np.concatenate([np.empty(0, np.uint64), *(runs.minimiser for _, _, runs, *_ in cut)])
+    _, first = np.unique(code, return_index=True)
+    return (minimiser[first] % np.uint64(buckets)).astype(np.int64)
 
 
 def _emit(k: int, m: int, buckets: int):
@@ -40,30 +46,27 @@ def _emit(k: int, m: int, buckets: int):
             for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 yield from _packed(chunk, blob.as_py(), k, m, buckets)
 
-    return run
+    return tidy(run)
 
 
 def _packed(chunk: int, blob: bytes, k: int, m: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The distinct runs of a chunk, one row for each bucket they go to."""
-    _, _, cut, name, _, lowest = chunk_runs(blob, k, m)
-    _, first = np.unique(name, return_index=True)
-    own = np.zeros(len(name), bool)
+    _, _, cut, code, _, lowest = chunk_runs(blob, k, m)
+    _, first = np.unique(code, return_index=True)
+    if not len(first):
+        return
+    own = np.zeros(len(code), bool)
     own[first] = True
-    columns: list[list] = [[], [], []]
-    base = 0
+    strings, base = [], 0
     for _, _, runs, *_ in cut:
         at = np.flatnonzero(own[base : base + len(runs.first)])
-        columns[0].append(lowest[base + at])
-        columns[1].append(gather(runs.buffer.raw, runs.start[at], runs.end[at]))
-        columns[2].append((runs.minimiser[at] % np.uint64(buckets)).astype(np.int64))
+        strings.append(gather(runs.buffer.raw, runs.start[at], runs.end[at]))
         base += len(runs.first)
-    if not len(first):
-        return
-    bucket = np.concatenate(columns[2])
+    bucket = _buckets(cut, code, buckets)
     order = np.argsort(bucket, kind="stable")
-    # keys travel as differences, which compress; names are hashed again on arrival
-    steps = np.diff(np.concatenate(columns[0])[order], prepend=0)
-    table = pa.table([pa.array(steps), pa.chunked_array(columns[1]).take(pa.array(order))], ["step", "text"])
+    # keys travel as differences, which compress
+    steps = np.diff(lowest[first][order], prepend=0)
+    table = pa.table([pa.array(steps), pa.chunked_array(strings).take(pa.array(order))], ["step", "text"])
     goes, starts = np.unique(bucket[order], return_index=True)
     ends = np.append(starts[1:], len(order))
     blobs = [to_blob(table.slice(a, b - a)) for a, b in zip(starts, ends)]
@@ -73,24 +76,26 @@ def _packed(chunk: int, blob: bytes, k: int, m: int, buckets: int) -> Iterator[p
     )
 
 
-def _windows(strings: list[bytes], k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of packed strings: the joined bytes and the hash of each string; of the
-    windows the hash, string, place in it, start and end."""
+def _windows(strings: list[bytes], k: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of packed strings: the joined bytes; of the windows the hash, string, place in
+    it, start and end."""
     joined = b"\n".join([*strings, b""])
     found: list[tuple] = []
-    names: list[np.ndarray] = []
+    factors = mix(np.arange(1, k + 1, dtype=np.uint64)) | np.uint64(1)
     base = 0
     for first, part in pieces(strings):
         buffer = Buffer(part)
-        names.append(buffer.hashes(buffer.starts, buffer.ends))
         start, end, text = buffer.words()
+        words = buffer.hashes(start, end)
         n = max(len(start) - k + 1, 0)
         at = np.flatnonzero(text[:n] == text[k - 1 :]) if n else np.empty(0, np.int64)
-        a, b = start[at], end[at + k - 1]
+        value = np.zeros(n, np.uint64)
+        for j in range(k):
+            value += words[j : j + n] * factors[j]
         head = np.searchsorted(text, np.arange(len(part)))
-        found.append((buffer.hashes(a, b), first + text[at], at - head[text[at]], base + a, base + b))
+        found.append((mix(value[at]), first + text[at], at - head[text[at]], base + start[at], base + end[at + k - 1]))
         base += len(buffer.raw)
-    return joined, np.concatenate(names), *(np.concatenate(c) for c in zip(*found))
+    return joined, *(np.concatenate(c) for c in zip(*found))
 
 
 def equal_ranges(raw: bytes, a: np.ndarray, b: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -129,9 +134,10 @@ def _grouped(raw: bytes, value: np.ndarray, start: np.ndarray, end: np.ndarray)
 def _matched(k: int):
     def run(table: pa.Table) -> pa.Table:
         parts = [from_blob(b) for b in table.column("blob").to_pylist()]
+        number = np.concatenate([np.arange(p.num_rows) for p in parts])  # of a string in its row
         chunk = np.repeat(table.column("chunk").to_numpy(), [p.num_rows for p in parts])
         key = np.concatenate([b + np.cumsum(p.column("step").to_numpy()) for b, p in zip(table.column("before").to_pylist(), parts)])
-        raw, name, value, string, place, start, end = _windows(pa.concat_tables(parts).column("text").to_pylist(), k)
+        raw, value, string, place, start, end = _windows(pa.concat_tables(parts).column("text").to_pylist(), k)
         order, heads = _grouped(raw, value, start, end)
         lowest = np.minimum.reduceat(key[string[order]], heads)
         lowest = np.repeat(lowest, np.diff(np.append(heads, len(order))))
@@ -140,37 +146,38 @@ def _matched(k: int):
         by_chunk = np.argsort(chunk[string[order]], kind="stable")
         order, lowest = order[by_chunk], lowest[by_chunk]
         chunks, starts = np.unique(chunk[string[order]], return_index=True)
-        reply = pa.table([name[string[order]], place[order].astype(np.int32), lowest], ["name", "place", "key"])
+        reply = pa.table([number[string[order]].astype(np.int32), place[order].astype(np.int32), lowest], ["number", "place", "key"])
         blobs = [to_blob(reply.slice(a, b - a)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
-        return pa.table([pa.array(chunks, pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "blob"])
+        bucket = np.full(len(chunks), table.column("bucket")[0].as_py())
+        return pa.table([pa.array(chunks, pa.int64()), pa.array(bucket, pa.int64()), pa.array(blobs, pa.binary())], ["chunk", "bucket", "blob"])
 
     return run
 
 
-def _cut(k: int, m: int):
+def _cut(k: int, m: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for blob, replies in zip(batch.column(0), batch.column(1).to_pylist()):
-                yield from _kept(blob.as_py(), replies or [], k, m)
-
-    return run
-
+                yield from _kept(blob.as_py(), replies or [], k, m, buckets)
 
-def _address(name: np.ndarray, place: np.ndarray) -> np.ndarray:
-    return mix(name + (place.astype(np.uint64) + np.uint64(1)) * _OFFSET)
+    return tidy(run)
 
 
-def _kept(blob: bytes, replies: list[bytes], k: int, m: int) -> Iterator[pa.RecordBatch]:
+def _kept(blob: bytes, replies: list[dict], k: int, m: int, buckets: int) -> Iterator[pa.RecordBatch]:
     """The texts of a chunk without their removed words."""
-    _, raw_keys, cut, name, key, lowest = chunk_runs(blob, k, m)
-    told = [from_blob(r) for r in replies]
-    names = np.concatenate([np.empty(0, np.uint64), *(t.column("name").to_numpy() for t in told)])
-    places = np.concatenate([np.empty(0, np.int32), *(t.column("place").to_numpy() for t in told)])
+    _, raw_keys, cut, code, key, lowest = chunk_runs(blob, k, m)
+    bucket = _buckets(cut, code, buckets)
+    sent = np.argsort(bucket, kind="stable")
+    told, codes = [from_blob(r["blob"]) for r in replies], []
+    for reply, table in zip(replies, told):
+        codes.append(sent[np.searchsorted(bucket[sent], reply["bucket"]) + table.column("number").to_numpy()])
+    codes = np.concatenate([np.empty(0, np.int64), *codes])
+    places = np.concatenate([np.empty(0, np.int64), *(t.column("place").to_numpy().astype(np.int64) for t in told)])
     smaller = np.concatenate([np.empty(0, np.int64), *(t.column("key").to_numpy() for t in told)])
-    address = _address(names, places)
+    address = codes << 32 | places
     order = np.argsort(address)
     address, smaller = address[order], smaller[order]
-    asked = np.isin(name, names) | (lowest < key)
+    asked = np.isin(code, codes) | (lowest < key)
     base = 0
     for first, count, runs, start, end, text in cut:
         at = np.flatnonzero(asked[base : base + len(runs.first)])
@@ -179,7 +186,7 @@ def _kept(blob: bytes, replies: list[bytes], k: int, m: int) -> Iterator[pa.Reco
         run = np.repeat(at, size)
         limit = lowest[base + run]
         if len(address):
-            wanted = _address(name[base + run], place)
+            wanted = code[base + run] << 32 | place
             near = np.minimum(np.searchsorted(address, wanted), len(address) - 1)
             limit = np.where(address[near] == wanted, np.minimum(limit, smaller[near]), limit)
         window = (runs.first[run] + place)[limit < key[base + run]]
@@ -226,7 +233,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", k:
     chunks = pack(docs, key, text, chunk_bytes)
     buckets = max(1, chunks.count())
     travelling = chunks.mapInArrow(_emit(k, m, buckets), "bucket long, chunk long, before long, blob binary")
-    replies = travelling.groupBy("bucket").applyInArrow(_matched(k), "chunk long, blob binary")
-    gathered = replies.groupBy("chunk").agg(F.collect_list("blob").alias("replies"))
-    kept = chunks.join(gathered, "chunk", "left").select("blob", "replies").mapInArrow(_cut(k, m), "key long, n_words long, n_removed long, text string")
+    replies = travelling.groupBy("bucket").applyInArrow(_matched(k), "chunk long, bucket long, blob binary")
+    gathered = replies.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "blob")).alias("replies"))
+    kept = chunks.join(gathered, "chunk", "left").select("blob", "replies").mapInArrow(_cut(k, m, buckets), "key long, n_words long, n_removed long, text string")
     return kept.withColumnRenamed("key", key)

@@ -17,7 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from renown.llm.hashing import Buffer, mix
+from renown.llm.hashing import Buffer
+from renown.llm.memory import tidy
 from renown.session import stage
 
 _PIECE_BYTES = 1 << 20
@@ -45,7 +46,7 @@ def pack(docs: DataFrame, key: str, text: str, chunk_bytes: int = 4 << 20) -> Da
             yield _row(number, held)
 
     rows = docs.select(F.col(key).cast("bigint").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return stage(rows.mapInArrow(run, "chunk long, blob binary"), "chunks")
+    return stage(rows.mapInArrow(tidy(run), "chunk long, blob binary"), "chunks")
 
 
 def _row(number: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -165,7 +166,7 @@ def byte_runs(texts: list[bytes], k: int, m: int) -> Runs:
         return Runs(buffer, none, none, none, none, none, np.empty(0, np.uint64))
     at = np.arange(len(buffer.raw) - m + 1)
     place = at.astype(np.uint64) & np.uint64((1 << 20) - 1)
-    lowest = sliding_min((buffer.hashes(at, at + m) & ~np.uint64((1 << 20) - 1)) | place, k - m + 1)
+    lowest = sliding_min((buffer.rolling(at, at + m) & ~np.uint64((1 << 20) - 1)) | place, k - m + 1)
     room = np.maximum(buffer.ends - buffer.starts - k + 1, 0)
     edge = np.zeros(len(buffer.raw) + 1, np.int8)
     has = room > 0

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from renown.llm.memory import tidy
 from renown.session import stage
 
 # Which letters a look-alike may stand for.
@@ -44,7 +45,7 @@ _SPACED = re.compile(rf"(?<!\S){_SINGLE}(?:\s+{_SINGLE})+")
 _PREFIXES = (4, 5, 6)
 _CLEAN_COST = 3
 # a worker forgets the tokens it knows once they are this many
-_KNOWN_TOKENS = 100_000
+_KNOWN_TOKENS = 30_000
 _ROWS = 512
 
 
@@ -71,7 +72,7 @@ def character_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["code", "n"])
 
-    rows = docs.select(text).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text).mapInArrow(tidy(count), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(_CLASSES**3, np.int64)
     for row in rows:
         counts[row["code"]] = row["n"]
@@ -261,7 +262,7 @@ def fit(
     rows = docs.join(F.broadcast(picked), key).select(
         F.col("_toxic").cast("int").alias("toxic"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("text_key")
     )
-    sample = stage(rows.mapInArrow(tokens, "toxic int, text_key long, words array<string>"), "toxicity-sample")
+    sample = stage(rows.mapInArrow(tidy(tokens), "toxic int, text_key long, words array<string>"), "toxicity-sample")
     once = sample.groupBy("text_key").agg(F.max("toxic").alias("toxic"), F.first("words").alias("words"))
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,7 +280,7 @@ def fit(
             ["entry", "n", "bad"],
         )
 
-    tallies = once.select("toxic", "words").mapInArrow(counts, "entry string, n long, bad long")
+    tallies = once.select("toxic", "words").mapInArrow(tidy(counts), "entry string, n long, bad long")
     strong = (
         tallies.groupBy("entry").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
         .where((F.col("bad") >= least) & (F.col("bad") >= precision * F.col("n")))
@@ -341,4 +342,4 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text", carry: tupl
                     [part.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.string()))], ["record", "score", "evidence"]
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidy(run), schema)

@@ -180,3 +180,22 @@ def test_estimates_lose_no_more_pairs_than_stated():
         low = (limit - setsketch.MARGIN) * setsketch.REGISTERS
         lost = sum(math.comb(128, k) * limit**k * (1 - limit) ** (128 - k) for k in range(129) if k < low)
         assert setsketch.REGISTERS == 128 and lost < most
+
+
+def structured_words(n=1024):
+    """Two different words that polynomial hashes modulo a power of two can't tell apart."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_structured_words_are_not_taken_for_each_other(spark):
+    one, two = structured_words()
+    fill = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([one, *fill])), (2, " ".join([two, *fill]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for parts in (1, 2):
+        kept = substring_dedup.remove_repeats(docs.repartition(parts, "doc_id")).collect()
+        assert [r["n_removed"] for r in kept] == [0, 0]
+    close = [(1, f"{one} x y z"), (2, f"{two} x y z")]
+    found = setsketch.near_duplicates(spark.createDataFrame(close, "doc_id long, text string"), n=3, percent=40).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 2}
