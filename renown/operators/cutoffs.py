@@ -16,9 +16,12 @@ HISTOGRAM_BINS = 80
 
 
 def cumulative_share(ranked: DataFrame, value: str = "total_views") -> DataFrame:
-    """Add the share of all views captured by ranks 1..rank; null where nobody has views."""
+    """Add the share of all views captured by ranks 1..rank; null where nobody has views.
+
+    A ranking made with ``running={"_running": value}`` is not shuffled again.
+    """
     total = ranked.agg(F.sum(value)).scalar()
-    summed = running_total(ranked, value, "_running")
+    summed = ranked if "_running" in ranked.columns else running_total(ranked, value, "_running")
     return summed.withColumn("share", F.try_divide(F.col("_running"), total)).drop("_running")
 
 

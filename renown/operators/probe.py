@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from renown.operators import erasure
@@ -73,18 +73,40 @@ def probe_split(rows: DataFrame, key: str, vector: str, concept: str, method: st
     else:
         fit = {"centroid": erasure.fit_centroid, "leace": erasure.fit_leace}[method]
         cleaned = erasure.erase(rows, vector, fit(train, vector, concept), as_float=False)
-    cleaned = cleaned.select(
-        "is_test", F.col(concept).cast("double").alias("y"),
-        array_to_vector(F.col(vector).cast("array<double>")).alias("features"),
+    weights, intercept, _ = fit_probe(cleaned.where(~F.col("is_test")), vector, concept)
+    scored = cleaned.where(F.col("is_test")).select(
+        margin(F.col(vector), weights, intercept).alias("score"), F.col(concept).cast("boolean").alias("hit")
     )
-    training = cleaned.where(~F.col("is_test"))
-    n = train.count()
+    return roc_auc(scored, "score", "hit").select(F.lit(method).alias("variant"), "auc")
+
+
+def fit_probe(training: DataFrame, vector: str, concept: str, tolerance: float = 1e-6) -> tuple[list[float], float, float]:
+    """Weights, intercept and penalty of the logistic probe."""
+    rows = training.select(
+        F.col(concept).cast("double").alias("y"), array_to_vector(F.col(vector).cast("array<double>")).alias("features")
+    )
+    penalty = 1.0 / (INVERSE_PENALTY * rows.count())
     model = LogisticRegression(
-        labelCol="y", maxIter=MAX_ITERATIONS, regParam=1.0 / (INVERSE_PENALTY * n),
-        elasticNetParam=0.0, standardization=False, tol=1e-6,
-    ).fit(training)
-    scored = model.transform(cleaned.where(F.col("is_test")))
-    score = vector_to_array("probability")[1]
-    return roc_auc(scored.select(score.alias("score"), (F.col("y") == 1).alias("hit")), "score", "hit").select(
-        F.lit(method).alias("variant"), "auc"
+        labelCol="y", maxIter=MAX_ITERATIONS, regParam=penalty, elasticNetParam=0.0, standardization=False, tol=tolerance,
+    ).fit(rows)
+    return model.coefficients.toArray().tolist(), float(model.intercept), penalty
+
+
+def margin(vector: Column, weights: list[float], intercept: float) -> Column:
+    """The score before the logistic curve, as a plain expression; it orders rows as the probability does."""
+    products = F.zip_with(vector.cast("array<double>"), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w)
+    return F.aggregate(products, F.lit(intercept), lambda total, x: total + x)
+
+
+def certificate(training: DataFrame, vector: str, concept: str, weights: list[float], intercept: float, penalty: float) -> DataFrame:
+    """(pos, gradient) of the penalised loss at given weights; position -1 is the intercept.
+
+    The loss is convex, so the weights are the optimum exactly where all gradients are zero.
+    """
+    error = 1 / (1 + F.exp(-margin(F.col(vector), weights, intercept))) - F.col(concept).cast("double")
+    rows = training.select(error.alias("error"), F.concat(F.array(F.lit(1.0)), F.col(vector).cast("array<double>")).alias("x"))
+    cells = rows.select("error", F.posexplode("x").alias("place", "x"))
+    weight = F.get(F.array(F.lit(0.0), *[F.lit(w) for w in weights]), F.col("place"))
+    return cells.groupBy("place").agg(F.avg(F.col("error") * F.col("x")).alias("loss")).select(
+        (F.col("place") - 1).alias("pos"), (F.col("loss") + penalty * weight).alias("gradient")
     )

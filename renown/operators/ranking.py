@@ -55,10 +55,13 @@ def fame_metrics(matrix: DataFrame, months: list[str], present: bool = True) ->
     return matrix.withColumns(metrics)
 
 
-def rank_by_fame(metrics: DataFrame, *tie_break: str, name: str = "rank") -> DataFrame:
-    """Rank 1..n by median, then total, then the input order given by ``tie_break``."""
+def rank_by_fame(metrics: DataFrame, *tie_break: str, name: str = "rank", running: dict[str, str] | None = None) -> DataFrame:
+    """Rank 1..n by median, then total, then the input order given by ``tie_break``.
+
+    ``running`` adds running totals down the ranking, see ``number_rows``.
+    """
     order = [F.col("median_views").desc(), F.col("total_views").desc()]
-    return number_rows(metrics, order + [F.col(c).asc() for c in tie_break], name)
+    return number_rows(metrics, order + [F.col(c).asc() for c in tie_break], name, running=running)
 
 
 def home_ranking(

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import MapType, StringType, StructField, StructType
 
 
 def _path_and_fs(spark: SparkSession, path: str):
@@ -19,16 +19,25 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(location)
 
 
-def _content(key: str | None) -> list[Column]:
-    keys = F.lit(0) if key is None else F.coalesce(F.bit_xor(hash60(F.col(key))), F.lit(0))
-    return [F.count(F.lit(1)).alias("rows"), keys.cast("bigint").alias("key_hash")]
+def _content(columns: list[str], maps: frozenset[str] = frozenset()) -> list[Column]:
+    """Row count and a hash of the rows with all their values.
+
+    The hashes of the rows are added up, so order and partitions don't matter, while a changed value,
+    a doubled row and a lost row all show. Nulls enter by their own flags.
+    """
+    values = [F.array_sort(F.map_entries(F.col(f"`{c}`"))) if c in maps else F.col(f"`{c}`") for c in columns]
+    row = F.xxhash64(*values, *[v.isNull() for v in values])
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).cast("string").alias("row_hash")]
+
+
+def _content_of(df: DataFrame) -> list[Column]:
+    return _content(df.columns, frozenset(f.name for f in df.schema.fields if isinstance(f.dataType, MapType)))
 
 
-def write_verified(df: DataFrame, path: str, key: str | None = None) -> int:
+def write_verified(df: DataFrame, path: str) -> int:
     """Write beside ``path``, compare with what was sent, then swap; returns the row count.
 
-    The row count, and with ``key`` a hash of the key set, are observed while ``df`` is
-    written, so its plan runs once. A repeated task can count twice, so a difference is
+    The row count and a hash of all rows are observed while ``df`` is written, so its plan runs once. A repeated task can count twice, so a difference is
     settled by evaluating ``df`` before it is called an error. The old table is moved
     aside, the new one takes its place, and only then is the old one deleted; if the
     move fails the old table is moved back. A failed write leaves nothing behind.
@@ -38,11 +47,12 @@ def write_verified(df: DataFrame, path: str, key: str | None = None) -> int:
     new, fs = _path_and_fs(spark, staging)
     target, _ = _path_and_fs(spark, path)
     aside, _ = _path_and_fs(spark, f"{path}.previous-{uuid.uuid4().hex}")
+    content = _content_of(df)
     try:
         sent = Observation()
-        df.observe(sent, *_content(key)).write.parquet(staging)
-        found = spark.read.parquet(staging).agg(*_content(key)).first().asDict()
-        if sent.get != found and df.agg(*_content(key)).first().asDict() != found:
+        df.observe(sent, *content).write.parquet(staging)
+        found = spark.read.parquet(staging).agg(*content).first().asDict()
+        if sent.get != found and df.agg(*content).first().asDict() != found:
             raise RuntimeError(f"{path}: what was written is not what was sent")
         replaced = fs.exists(target)
         if replaced and not fs.rename(target, aside):

@@ -148,8 +148,12 @@ def test_number_rows_and_running_total(spark, hot):
     got = numbered.toPandas().sort_values("rank")
     assert list(got["rank"]) == list(range(1, 3001))
     assert list(got["id"]) == list(pdf.sort_values(["v", "id"], ascending=[False, True])["id"])
-    summed = running_total(numbered, "v", "upto", block_rows=64).toPandas().sort_values("rank")
+    summed = running_total(numbered, "v", "upto").toPandas().sort_values("rank")
     assert list(summed["upto"]) == list(got["v"].cumsum())
+    once = number_rows(df, [F.col("v").desc(), F.col("id").asc()], running={"upto": "v"})
+    assert list(once.toPandas().sort_values("rank")["upto"]) == list(got["v"].cumsum())
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Exchange hashpartitioning" not in plan
     within = number_rows(df, [F.col("v").asc(), F.col("id").asc()], within=("g",)).toPandas()
     expected = pdf.sort_values(["v", "id"]).groupby("g").cumcount() + 1
     assert dict(zip(within["id"], within["rank"])) == dict(zip(pdf.loc[expected.index, "id"], expected))

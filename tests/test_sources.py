@@ -89,7 +89,7 @@ class FailingMoves:
 @pytest.mark.parametrize("allowed", [0, 1])
 def test_failed_move_keeps_the_old_table(spark, tmp_path, monkeypatch, allowed):
     path = str(tmp_path / "out")
-    tables.write_verified(spark.range(3), path, "id")
+    tables.write_verified(spark.range(3), path)
     plain, failing = tables._path_and_fs, []
 
     def broken(session, at):
@@ -99,7 +99,7 @@ def test_failed_move_keeps_the_old_table(spark, tmp_path, monkeypatch, allowed):
 
     monkeypatch.setattr(tables, "_path_and_fs", broken)
     with pytest.raises(RuntimeError, match="could not move"):
-        tables.write_verified(spark.range(9), path, "id")
+        tables.write_verified(spark.range(9), path)
     monkeypatch.undo()
     assert spark.read.parquet(path).count() == 3
     assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["out"]
@@ -114,7 +114,7 @@ def test_verified_write_runs_its_input_once(spark, tmp_path):
             yield batch
 
     df = spark.range(50).mapInArrow(count, "id long")
-    assert tables.write_verified(df, str(tmp_path / "out"), "id") == 50
+    assert tables.write_verified(df, str(tmp_path / "out")) == 50
     assert seen.value == 50
 
 
@@ -139,6 +139,19 @@ def test_months_are_written_once_each(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan or "PartitionFilters: [(month" in plan
 
 
+def _content(df):
+    return df.agg(*tables._content_of(df)).first()
+
+
+def test_content_of_a_table_shows_every_change(spark):
+    rows = [(1, "a", {"x": 1}), (2, None, {"y": 2, "z": 3}), (2, None, {"y": 2, "z": 3}), (3, "c", None)]
+    content = lambda r: _content(spark.createDataFrame(r, "k int, v string, m map<string,int>"))
+    same = content(rows[::-1])
+    assert content(rows) == same
+    for other in (rows[:-1], [*rows, rows[0]], [(1, "b", {"x": 1}), *rows[1:]], [(1, None, {"x": 1}), *rows[1:]], [rows[0], (3, "c", None), (3, "c", None), rows[3]]):
+        assert content(other) != same
+
+
 def test_fingerprint(spark, tmp_path):
     ids = spark.range(10)
     stored = tables.fingerprint(ids, "id", model="a")

@@ -222,3 +222,53 @@ def test_region_edge_is_the_exact_quantile(spark):
     got = {r["id"]: r["cluster"] for r in regions.within_edge(spark.createDataFrame(frame), "id").collect()}
     edge = frame.groupby("cluster")["distance"].transform(lambda d: np.quantile(d, 0.9))
     assert {i for i, c in got.items() if c is None} == set(frame["id"][frame["distance"] > edge + 1e-12])
+
+
+def test_moments_merge_to_those_of_all_rows():
+    rng = np.random.default_rng(4)
+    matrix, labels = rng.normal(1000, 1, (60, 3)), np.array(list("aab" * 20), object)
+    whole = erasure.Moments.of(labels, matrix)
+    parts = [erasure.Moments.of(labels[k : k + 7], matrix[k : k + 7]) for k in range(0, 60, 7)]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.merge(erasure.Moments.from_row(part.to_row().to_pylist()[0]))
+    assert total.n == whole.n and np.allclose(total.mean, whole.mean) and np.allclose(total.square, whole.square)
+    assert all(np.allclose(total.classes[c][1], whole.classes[c][1]) and total.classes[c][0] == whole.classes[c][0] for c in "ab")
+
+
+def test_erasure_of_many_classes_equalises_their_means(spark):
+    rng = np.random.default_rng(5)
+    labels = rng.integers(0, 4, 300)
+    matrix = rng.normal(size=(300, 6)) @ rng.normal(size=(6, 6)) + np.eye(6)[labels] * 3
+    matrix[:, 5] = 2.0  # a constant column
+    rows = [(int(i), matrix[i].tolist(), None if i % 50 == 0 else f"c{labels[i]}") for i in range(300)]
+    df = spark.createDataFrame([*rows, (300, None, "c1")], "id long, v array<double>, c string")
+    fitted = erasure.fit_leace_classes(df, "v", "c")
+    assert np.shape(fitted.out) == (3, 6)
+    cleaned = np.array([r["v"] for r in erasure.erase(df.where("c is not null and v is not null"), "v", fitted, as_float=False).orderBy("id").collect()])
+    kept = [i for i in range(300) if i % 50]
+    means = np.stack([cleaned[labels[kept] == c].mean(0) for c in range(4)])
+    assert np.allclose(means, means[0]) and not np.allclose(cleaned.std(0)[:5], 0)
+    two = df.withColumn("b", F.col("c") == "c0")
+    one, many = erasure.fit_leace(two, "v", "b"), erasure.fit_leace_classes(two, "v", "b")
+    assert np.allclose(one.apply_to(matrix), many.apply_to(matrix))
+    alone = erasure.fit_leace_classes(df.where("c = 'c2'"), "v", "c")
+    assert np.allclose(alone.apply_to(matrix), matrix)
+
+
+def test_moments_take_one_scan(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(50).selectExpr("array(cast(id as double), cast(id * id as double)) as v", "id % 3 as c").write.parquet(path)
+    plan = erasure.moment_rows(spark.read.parquet(path), "v", "c")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert erasure.moments(spark.read.parquet(path), "v", "c").n == 50
+
+
+def test_certificate_is_zero_only_at_the_optimum(spark):
+    rng = np.random.default_rng(6)
+    rows = [(rng.normal(size=3).tolist(), bool(rng.random() < 0.5)) for _ in range(80)]
+    df = spark.createDataFrame(rows, "v array<double>, y boolean")
+    weights, intercept, penalty = probe.fit_probe(df, "v", "y", tolerance=1e-12)
+    best = [abs(r["gradient"]) for r in probe.certificate(df, "v", "y", weights, intercept, penalty).collect()]
+    off = [abs(r["gradient"]) for r in probe.certificate(df, "v", "y", [w + 0.1 for w in weights], intercept, penalty).collect()]
+    assert len(best) == 4 and max(best) < 1e-5 < max(off)

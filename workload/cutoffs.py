@@ -18,14 +18,14 @@ STARTS = [1, 10, 50, 100, 120]
 QUANTILES = [0.1, 0.25, 0.5, 0.75, 0.9]
 
 
-def patrons(spark: SparkSession, sf: str) -> DataFrame:
+def patrons(spark: SparkSession, sf: str, running: dict[str, str] | None = None) -> DataFrame:
     customers = roles.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("entity"), F.col("c_name").alias("title")
     )
     matrix = ranking.monthly_matrix(roles.patron_views(spark, sf), MONTHS)
     columns = [ranking.month_column(m) for m in MONTHS]
     filled = customers.join(matrix, "entity", "left").na.fill(0, columns)
-    return ranking.rank_by_fame(ranking.fame_metrics(filled, MONTHS), "entity")
+    return ranking.rank_by_fame(ranking.fame_metrics(filled, MONTHS), "entity", running=running)
 
 
 def rank_patrons(spark: SparkSession, sf: str) -> DataFrame:
@@ -35,13 +35,13 @@ def rank_patrons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cumulative_share(spark: SparkSession, sf: str) -> DataFrame:
-    return cutoffs.cumulative_share(patrons(spark, sf)).select(
+    return cutoffs.cumulative_share(patrons(spark, sf, {"_running": "total_views"})).select(
         "rank", "entity", F.round("share", 6).alias("share")
     )
 
 
 def candidate_cutoffs(spark: SparkSession, sf: str) -> DataFrame:
-    return cutoffs.candidate_cutoffs(patrons(spark, sf), CANDIDATES).withColumn("share", F.round("share", 6))
+    return cutoffs.candidate_cutoffs(patrons(spark, sf, {"_running": "total_views"}), CANDIDATES).withColumn("share", F.round("share", 6))
 
 
 def rank_samples(spark: SparkSession, sf: str) -> DataFrame:

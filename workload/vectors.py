@@ -60,6 +60,25 @@ def leace_plane(spark: SparkSession, sf: str) -> DataFrame:
     return erased.select("id", F.round(F.col("xy")[0], 4).alias("x"), F.round(F.col("xy")[1], 4).alias("y"))
 
 
+def leace_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in three dimensions without what tells three groups of market segments apart."""
+    df = roles.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.array(F.col("c_acctbal").cast("double"), F.col("c_nationkey").cast("double"), (F.col("c_custkey") * 7919 % 1000).cast("double")).alias("xyz"),
+        F.when(F.col("c_mktsegment") == "BUILDING", "a").when(F.col("c_mktsegment") == "MACHINERY", "b").otherwise("c").alias("concept"),
+    )
+    erased = erasure.erase(df, "xyz", erasure.fit_leace_classes(df, "xyz", "concept"), as_float=False)
+    return erased.select("id", *[F.round(F.col("xyz")[k], 3).alias(n) for k, n in enumerate("xyz")])
+
+
+def probe_gradient(spark: SparkSession, sf: str) -> DataFrame:
+    """Gradient of the penalised loss at the fitted probe, per dimension: zero."""
+    df = concept_vectors(spark, sf).where("concept is not null")
+    weights, intercept, penalty = probe.fit_probe(df, "embedding", "concept", tolerance=1e-12)
+    found = probe.certificate(df, "embedding", "concept", weights, intercept, penalty)
+    return found.select("pos", (F.round(F.abs("gradient"), 4) + 0.0).alias("gradient"))
+
+
 def knn_cosine(spark: SparkSession, sf: str) -> DataFrame:
     near = neighbours.nearest(concept_vectors(spark, sf), "vec_id", "embedding", K, "cosine")
     return near.select("vec_id", "neighbour", "place", F.round("score", 6).alias("score"))
@@ -154,6 +173,8 @@ QUERIES = {
     "leace_erase": leace_erase,
     "leace_class_gap": leace_class_gap,
     "leace_plane": leace_plane,
+    "leace_classes": leace_classes,
+    "probe_gradient": probe_gradient,
     "knn_cosine": knn_cosine,
     "knn_plane": knn_plane,
     "knn_purity": knn_purity,
@@ -201,6 +222,19 @@ ORACLES = {
         w AS (SELECT *, yy * cx - xy * cy AS wx, xx * cy - xy * cx AS wy FROM m),
         f AS (SELECT id, x, y, cx, cy, (wx * (x - mx) + wy * (y - my)) / (wx * cx + wy * cy) AS s FROM p, w)
         SELECT id, round(x - s * cx, 4) AS x, round(y - s * cy, 4) AS y FROM f""",
+    # two gaps of the class means span what goes; w is at right angles to both, and S w is the direction that stays
+    "leace_classes": """WITH p AS (
+          SELECT c_custkey AS id, c_acctbal::DOUBLE AS x, c_nationkey::DOUBLE AS y, (c_custkey * 7919 % 1000)::DOUBLE AS z,
+            CASE c_mktsegment WHEN 'BUILDING' THEN 'a' WHEN 'MACHINERY' THEN 'b' ELSE 'c' END AS t FROM customer),
+        m AS (SELECT avg(x) AS mx, avg(y) AS my, avg(z) AS mz, var_pop(x) AS xx, var_pop(y) AS yy, var_pop(z) AS zz,
+            covar_pop(x, y) AS xy, covar_pop(x, z) AS xz, covar_pop(y, z) AS yz,
+            avg(x) FILTER (t = 'a') - avg(x) FILTER (t = 'c') AS gx, avg(y) FILTER (t = 'a') - avg(y) FILTER (t = 'c') AS gy, avg(z) FILTER (t = 'a') - avg(z) FILTER (t = 'c') AS gz,
+            avg(x) FILTER (t = 'b') - avg(x) FILTER (t = 'c') AS hx, avg(y) FILTER (t = 'b') - avg(y) FILTER (t = 'c') AS hy, avg(z) FILTER (t = 'b') - avg(z) FILTER (t = 'c') AS hz FROM p),
+        w AS (SELECT *, gy * hz - gz * hy AS wx, gz * hx - gx * hz AS wy, gx * hy - gy * hx AS wz FROM m),
+        v AS (SELECT *, xx * wx + xy * wy + xz * wz AS vx, xy * wx + yy * wy + yz * wz AS vy, xz * wx + yz * wy + zz * wz AS vz FROM w),
+        s AS (SELECT id, mx, my, mz, vx, vy, vz, (wx * (x - mx) + wy * (y - my) + wz * (z - mz)) / (wx * vx + wy * vy + wz * vz) AS along FROM p, v)
+        SELECT id, round(mx + along * vx, 3) AS x, round(my + along * vy, 3) AS y, round(mz + along * vz, 3) AS z FROM s""",
+    "probe_gradient": """SELECT (unnest(range(0, 1 + max(len(embedding)))) - 1)::INT AS pos, 0.0::DOUBLE AS gradient FROM embeddings""",
     "region_edge": """WITH d AS (
           SELECT c_custkey, c_nationkey, round(abs(c_acctbal - avg(c_acctbal) OVER (PARTITION BY c_nationkey)), 6) AS distance FROM customer),
         l AS (SELECT c_nationkey, quantile_cont(distance, 0.9) AS edge FROM d GROUP BY 1)
