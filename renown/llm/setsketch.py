@@ -131,8 +131,8 @@ def _bands(classes: DataFrame) -> DataFrame:
     return classes.select("class", F.posexplode(values).alias("band", "value"))
 
 
-def _estimates(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray) -> np.ndarray:
-    return similarity((left > right).sum(1), (left < right).sum(1), n_left, n_right)
+def _estimates(left: np.ndarray, right: np.ndarray, n_left: np.ndarray, n_right: np.ndarray, steps: int = 128) -> np.ndarray:
+    return similarity((left > right).sum(1), (left < right).sum(1), n_left, n_right, steps)
 
 
 def _registers_of(column: pa.Array) -> np.ndarray:
@@ -206,10 +206,16 @@ def _leftover(members: DataFrame, details: DataFrame, n: int, least: float, perc
     blocks = stage(dealt, "sketch-blocks")
     alone = blocks.where(F.col("size") <= block_rows)
     many = blocks.where(F.col("size") > block_rows)
-    other = many.select("band", "value", *[F.col(c).alias(f"{c}2") for c in ("block", "rows", "low", "high")])
-    met = many.join(other, ["band", "value"]).where(
+    # which blocks meet is found without their rows; these then go to the blocks, not to the band, so
+    # a crowded band is spread over as many tasks as it has blocks
+    slim = many.select("band", "value", "block", "low", "high")
+    other = slim.select("band", "value", *[F.col(c).alias(f"{c}2") for c in ("block", "low", "high")])
+    meet = slim.join(other, ["band", "value"]).where(
         (F.col("block") <= F.col("block2")) & ((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2")) | (F.col("low") != F.col("low2")))
     )
+    met = meet.select("band", "value", "block", "block2").join(many.select("band", "value", "block", "rows"), ["band", "value", "block"]).join(
+        many.select("band", "value", F.col("block").alias("block2"), F.col("rows").alias("rows2")), ["band", "value", "block2"]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,7 +247,7 @@ def _links(band: int, x: pa.StructArray, y: pa.StructArray, same: bool, n: int,
         a, b, equal = a[open_], b[open_], equal[open_]
         first = equal.reshape(-1, BANDS, PER_BAND).all(2).argmax(1) == band
         a, b = a[first], b[first]
-        value = _estimates(sx[a], sy[b], nx[a], ny[b])
+        value = _estimates(sx[a], sy[b], nx[a], ny[b], 32)  # a grid of 0.03, well inside the margin
         picked.append(np.stack([a, b])[:, value >= least])
         likely.append(value[value >= least])
     i, j = np.concatenate(picked, 1)
