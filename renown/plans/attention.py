@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from renown.operators import expect, ranking, redirects
+from renown.operators import bloom, expect, ranking, redirects
+from renown.session import stage
 from renown.sources import dumps, tables
 
 
@@ -56,10 +57,14 @@ def rank_stored(
 def item_views(
     lines: DataFrame, crawled: DataFrame, sitelinks: DataFrame, redirect_map: DataFrame
 ) -> DataFrame:
-    """(item, lang, month, views) of the roster from raw lines of all editions."""
+    """(item, lang, month, views) of the roster from raw lines of all editions.
+
+    A Bloom filter of the lookup drops most other titles in the scan, so only those of the roster are summed.
+    """
     links = dumps.roster_sitelinks(sitelinks, crawled)
-    lookup = redirects.site_lookup(links, redirect_map)
-    return ranking.item_language_views(dumps.all_site_views(lines), lookup)
+    lookup = stage(redirects.site_lookup(links, redirect_map), "site-lookup")
+    wanted = bloom.key_filter(lookup, "site", "title")
+    return ranking.item_language_views(dumps.all_site_views(lines, wanted=wanted), lookup)
 
 
 def rank_global(

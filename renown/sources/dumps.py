@@ -6,6 +6,8 @@ serves batch files, streams and derived lines alike.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,12 +84,18 @@ def home_views(lines: DataFrame, keys: tuple[str, ...] = ("month",), wiki: str =
     return _fields(kept).groupBy(*keys, "title").agg(F.sum("views").alias("views"))
 
 
-def all_site_views(lines: DataFrame, keys: tuple[str, ...] = ("month",)) -> DataFrame:
-    """Views per (site, title) of every language edition, summed before any join."""
-    kept = lines.where(F.col("value").rlike(ANY_WIKI))
+def all_site_views(
+    lines: DataFrame, keys: tuple[str, ...] = ("month",), wanted: Callable[[Column, Column], Column] | None = None
+) -> DataFrame:
+    """Views per (site, title) of every language edition, summed before any join.
+
+    ``wanted`` may rule out titles by (site, title) before they are summed and shuffled.
+    """
+    kept = _fields(lines.where(F.col("value").rlike(ANY_WIKI)))
+    if wanted is not None:
+        kept = kept.where(wanted(site_of_wiki(F.col("lang")), F.col("title")))
     return (
-        _fields(kept)
-        .groupBy(*keys, "lang", "title")
+        kept.groupBy(*keys, "lang", "title")
         .agg(F.sum("views").alias("views"))
         .withColumn("site", site_of_wiki(F.col("lang")))
     )

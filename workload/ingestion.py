@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renown.session import scratch_path
-from renown.sources import tables
+from renown.sources import tables, versions
 from renown.streaming import ingest
 from workload import roles
 from workload.roles import MONTHS, with_
@@ -31,6 +31,17 @@ def incremental_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest.ingested_views(spark, target).withColumn("month", F.substring("month", 6, 2))
 
 
+def versioned_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Two arrivals as versions of one table, its months merged to one folder each in between and at the end."""
+    arrived, root, checkpoint = (scratch_path(spark, name) for name in ("arrivals", "versions", "version-state"))
+    for finished in (True, False):
+        arrival_files(spark, sf, arrived, finished)
+        ingest.ingest_versioned(spark, f"{arrived}/*/*.txt", root, checkpoint)
+        versions.compact(spark, root)
+    versions.vacuum(spark, root)
+    return ingest.versioned_views(spark, root).withColumn("month", F.substring("month", 6, 2))
+
+
 def month_table(spark: SparkSession, sf: str) -> DataFrame:
     """Months written one by one as they are missing, then read back with pruning."""
     root = scratch_path(spark, "months")
@@ -51,14 +62,17 @@ def verified_table(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "incremental_ingest": incremental_ingest,
+    "versioned_ingest": versioned_ingest,
     "month_table": month_table,
     "verified_table": verified_table,
 }
+_INGESTED = with_(
+    roles.EDITIONS, roles.GOOD_LINES,
+    select="SELECT month, title, sum(views)::BIGINT AS views FROM good_lines WHERE lang = 'en' GROUP BY 1, 2",
+)
 ORACLES = {
-    "incremental_ingest": with_(
-        roles.EDITIONS, roles.GOOD_LINES,
-        select="SELECT month, title, sum(views)::BIGINT AS views FROM good_lines WHERE lang = 'en' GROUP BY 1, 2",
-    ),
+    "incremental_ingest": _INGESTED,
+    "versioned_ingest": _INGESTED,
     "month_table": with_(roles.TITLE_VIEWS, select="SELECT month, title, views FROM title_views"),
     "verified_table": """SELECT vec_id, (generate_subscripts(embedding, 1) - 1)::INT AS pos,
         round(unnest(embedding)::DOUBLE, 6) AS value FROM embeddings""",
