@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from renown.functions import claims as C
 from renown.functions import display as D
 from renown.operators.stats import value_counts
+from renown.operators.hot_join import join_spread
 from renown.session import stage
 
 # Categories kept per field.
@@ -38,15 +39,13 @@ def value_ids(records: DataFrame) -> DataFrame:
 def resolve_ids(records: DataFrame, labels: DataFrame, key: str, fields: list[str] = ID_FIELDS) -> DataFrame:
     """Replace ids by labels, order kept; an id without a label stays.
 
-    All fields go through one join. An entity's arrays come from its own record,
-    so gathering them again is bounded by that record.
+    All fields go through one join; ids that most records share, such as genders, are spread over tasks.
+    An entity's arrays come from its own record, so gathering them again is bounded by that record.
     """
     tagged = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("ids")) for f in fields])
-    ids = (
-        records.select(key, F.explode(tagged).alias("t"))
-        .select(key, "t.field", F.posexplode("t.ids").alias("pos", "id"))
-        .join(labels.select("id", "label"), "id", "left")
-        .withColumn("item", F.struct("pos", F.coalesce("label", "id").alias("label")))
+    ids = records.select(key, F.explode(tagged).alias("t")).select(key, "t.field", F.posexplode("t.ids").alias("pos", "id"))
+    ids = join_spread(stage(ids, "ids"), labels.select("id", "label"), ["id"], "left").withColumn(
+        "item", F.struct("pos", F.coalesce("label", "id").alias("label"))
     )
     gathered = [
         F.transform(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.functions.titles import item_number, spaced, underscored
+from renown.operators.hot_join import join_spread
 
 
 def redirect_map(pages: DataFrame, redirects: DataFrame) -> DataFrame:
@@ -61,7 +62,7 @@ def home_lookup(roster: DataFrame, redirects: DataFrame) -> DataFrame:
 def site_lookup(sitelinks: DataFrame, redirects: DataFrame, home_site: str = "enwiki") -> DataFrame:
     """(site, title) to item: sitelinks, and home redirects to a known home title.
 
-    A sitelink beats a redirect. Of repeated sitelinks the last one wins, by
+    A sitelink beats a redirect; targets of very many redirects are spread over tasks. Of repeated sitelinks the last one wins, by
     ``row_id`` where the table has one, else by item.
     """
     order = "row_id" if "row_id" in sitelinks.columns else "item"
@@ -71,7 +72,7 @@ def site_lookup(sitelinks: DataFrame, redirects: DataFrame, home_site: str = "en
     home = links.where(F.col("site") == home_site).select(
         F.col("title").alias("target_title"), "item"
     )
-    aliases = redirects.join(home, "target_title").select(
+    aliases = join_spread(redirects, home, ["target_title"]).select(
         F.lit(home_site).alias("site"), F.col("source_title").alias("title"), "item"
     )
     ranked = links.withColumn("_order", F.lit(0)).unionByName(

@@ -10,6 +10,7 @@ from renown.functions import display as D
 from renown.functions import texts as X
 from renown.functions.titles import fuzzy_title_key
 from renown.operators import expect, facets, regions
+from renown.operators.hot_join import join_spread
 from workload import attention, roles
 from workload.roles import with_
 
@@ -249,6 +250,14 @@ def map_features(spark: SparkSession, sf: str) -> DataFrame:
     return features.select(*MAP_COLUMNS, *[F.round(c, 6).alias(c) for c in MAP_NUMBERS])
 
 
+def hot_key_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers of all order lines, where one supplier holds half the lines and more."""
+    key = F.when(F.col("l_linenumber") % 2 == 1, 1).otherwise(F.col("l_suppkey"))
+    lines = roles.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", key.cast("bigint").alias("suppkey"))
+    names = roles.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("bigint").alias("suppkey"), "s_name")
+    return join_spread(lines, names, ["suppkey"], "left")
+
+
 def top_n_other(spark: SparkSession, sf: str) -> DataFrame:
     parts = roles.table(spark, sf, "part").select("p_partkey", "p_name")
     return facets.top_or_other(parts, "p_name", facets.TOP_CATEGORIES)
@@ -279,6 +288,7 @@ QUERIES = {
     "fuzzy_titles": fuzzy_titles,
     "display_fields": display_fields,
     "map_features": map_features,
+    "hot_key_join": hot_key_join,
     "top_n_other": top_n_other,
     "legend_order": legend_order,
     "label_layers": label_layers,
@@ -362,6 +372,9 @@ ORACLES = {
         round(2.5 + CASE WHEN hi > lo THEN (fame - lo) / (hi - lo) * 10 ELSE 0.0 END, 6) AS marker_size,
         round(english_share, 6) AS english_share
         FROM base, (SELECT min(fame) AS lo, max(fame) AS hi FROM base)"""),
+    "hot_key_join": """SELECT l_orderkey, l_linenumber, suppkey, s_name FROM (SELECT l_orderkey, l_linenumber,
+        (CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE l_suppkey END)::BIGINT AS suppkey FROM lineitem)
+        LEFT JOIN supplier ON s_suppkey = suppkey""",
     "top_n_other": """SELECT p_partkey, CASE WHEN p_name IN (
         SELECT p_name FROM part GROUP BY 1 ORDER BY count(*) DESC, p_name LIMIT 15) THEN p_name ELSE 'Other' END AS p_name
         FROM part""",
