@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from renown.functions import claims as C
 from renown.functions import display as D
-from renown.operators.stats import value_counts
+from renown.operators import expect
 from renown.operators.hot_join import join_spread
+from renown.operators.stats import decade_bounds, value_counts
 from renown.session import stage
 
 # Categories kept per field.
 TOP_CATEGORIES, TOP_GENDERS, TOP_LANGUAGES = 15, 4, 12
+ROSTER_COLUMNS = ["pageid", "title", "qid", "rank", "median_views", "total_views", "max_views"]
+OPTIONAL_COLUMNS = ["enwiki_rank", "top_lang", "english_share"]
 ID_FIELDS = ["occupation_qids", "citizenship_qids", "gender_qids"]
 
 
@@ -108,15 +111,39 @@ def wide_labels(labels: DataFrame, layers: int, key: str = "pageid") -> DataFram
     return labels.groupBy(key).agg(*columns)
 
 
-def map_features(texts: DataFrame, facets: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """The map's feature table: display fields, sizes and colour fields per entity.
+def text_table(ranked: DataFrame, texts: DataFrame, n: int | None = None) -> DataFrame:
+    """The ranked entities with their texts, or the first ``n``; what only some rosters carry comes along where it exists."""
+    kept = ranked if n is None else ranked.where(F.col("rank") <= n)
+    columns = ROSTER_COLUMNS + [c for c in OPTIONAL_COLUMNS if c in ranked.columns]
+    return kept.select(columns).join(texts.select("pageid", "description", "lead", "thumb_url"), "pageid", "left")
 
-    ``texts`` carries pageid, title, rank, metrics, lead, description, thumb_url
-    and, for the all-language roster, top_lang and english_share. The joined rows
-    are written once, because category counts and the size range need a pass of
-    their own.
+
+def _check_map(base: DataFrame, points: DataFrame | None, layers: list[str]) -> None:
+    """No join may repeat or lose an entity, each has one point, and the finest layer has no fewer names than the coarsest."""
+    checks = [expect.unique(base, "pageid", "every entity is on the map once")]
+    if points is not None:
+        checks.append(expect.same_keys(base, points.where("x is not null and y is not null"), "pageid", "every entity has a point"))
+    if layers:
+        tagged = [base.select(F.lit(i).alias("layer"), F.col(c).alias("label")) for i, c in enumerate((layers[0], layers[-1]))]
+        checks.append(expect.layers_refine(tagged[0].unionByName(tagged[1]), "finer layers have more names"))
+    expect.enforce(expect.report(*checks))
+
+
+def map_features(
+    texts: DataFrame, facets: DataFrame, labels: DataFrame | None = None, points: DataFrame | None = None
+) -> DataFrame:
+    """The map's feature table: place, display fields, sizes and colour fields per entity.
+
+    ``texts`` is a ``text_table``; ``points`` carries pageid, x and y. ``birth_low`` and ``birth_high`` bound
+    the colours of birth years (null if none is known); years beyond them stay as they are. The joined rows are
+    written once, because category counts, ranges and checks need passes of their own. A repeated entity, one
+    without a point, a point without an entity, and layers in the wrong order raise.
     """
+    texts = texts.withColumn("lead_excerpt", D.excerpt(F.col("lead"))).drop("lead")  # before it is written
     joined = texts.join(facets.drop("qid"), "pageid", "left")
+    if points is not None:
+        joined = joined.join(points.select("pageid", "x", "y"), "pageid", "left")
+    layers: list[str] = []
     if labels is not None:
         joined = joined.join(labels, "pageid", "left")
         layers = [c for c in labels.columns if c != "pageid"]
@@ -138,6 +165,8 @@ def map_features(texts: DataFrame, facets: DataFrame, labels: DataFrame | None =
     if "english_share" in joined.columns:
         joined = joined.withColumn("english_share", F.coalesce(F.col("english_share").cast("double"), F.lit(1.0)))
     base = stage(joined, "map")
+    _check_map(base, points, sorted(layers, key=lambda c: int(c.rsplit("_", 1)[1])))
+    born = decade_bounds(base, "birth_year").select(F.struct("low", "high").alias("ends")).scalar()
     span = base.agg(F.struct(F.min("fame").alias("lo"), F.max("fame").alias("hi"))).scalar()
     lo, hi = span["lo"], span["hi"]
     scaled = F.when(hi > lo, (F.col("fame") - lo) / (hi - lo) * 10).otherwise(0.0)
@@ -149,7 +178,8 @@ def map_features(texts: DataFrame, facets: DataFrame, labels: DataFrame | None =
             "rank": F.col("rank").cast("string"),
             "views_str": D.views_label(F.col("median_views")),
             "born_str": D.born_label(F.col("birth_year")),
-            "lead_excerpt": D.excerpt(F.col("lead")),
+            "birth_low": born["low"],
+            "birth_high": born["high"],
             "wiki_url": D.article_url(F.col("title")),
             "marker_size": scaled + 2.5,
         }

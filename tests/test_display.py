@@ -1,6 +1,7 @@
 from html import escape
 from urllib.parse import quote
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -85,3 +86,28 @@ def test_map_features_edge_cases(spark):
     assert got[1]["label_layer_10"] == "deep" and got[2]["label_layer_0"] == "Unlabelled"
     assert wide.columns[-1] == "label_layer_10"
     assert abs(got[1]["volatility"] - 0.69897) < 1e-4 and got[2]["volatility"] == 0.0
+
+
+def test_map_has_points_and_bounds_and_raises_on_broken_joins(spark):
+    texts = spark.range(1, 5).selectExpr(
+        "id AS pageid", "concat('T', id) AS title", "id AS rank", "1.5D AS median_views", "3L AS total_views", "2L AS max_views",
+        "string(NULL) AS lead", "string(NULL) AS description", "string(NULL) AS thumb_url",
+    )
+    rows = spark.range(1, 4).selectExpr(
+        "id AS pageid", "'Q' AS qid", "int(1950 + 7 * id) AS birth_year", "string(NULL) AS gender",
+        "array('Peru') AS citizenships", "array('poet') AS occupations",
+    )
+    points = spark.range(1, 5).selectExpr("id AS pageid", "id / 2D AS x", "-id / 2D AS y")
+    got = {r["pageid"]: r for r in facets.map_features(texts, rows, points=points).collect()}
+    assert (got[3]["x"], got[3]["y"]) == (1.5, -1.5) and {(r["birth_low"], r["birth_high"]) for r in got.values()} == {(1950, 1980)}
+    nobody = facets.map_features(texts, rows.limit(0), points=points).collect()
+    assert len(nobody) == 4 and {(r["birth_low"], r["birth_high"]) for r in nobody} == {(None, None)}
+    with pytest.raises(ValueError, match="has a point"):
+        facets.map_features(texts, rows, points=points.where("pageid < 4"))
+    with pytest.raises(ValueError, match="has a point"):
+        facets.map_features(texts.where("pageid < 4"), rows, points=points)
+    with pytest.raises(ValueError, match="once"):
+        facets.map_features(texts, rows.unionByName(rows.where("pageid = 2")), points=points)
+    upside_down = spark.range(1, 5).selectExpr("id AS pageid", "string(id) AS label_layer_0", "'one' AS label_layer_1")
+    with pytest.raises(ValueError, match="finer layers"):
+        facets.map_features(texts, rows, upside_down, points)

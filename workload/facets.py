@@ -11,6 +11,7 @@ from renown.functions import texts as X
 from renown.functions.titles import fuzzy_title_key
 from renown.operators import expect, facets, regions
 from renown.operators.hot_join import join_spread
+from renown.session import stage
 from workload import attention, roles
 from workload.roles import with_
 
@@ -216,11 +217,16 @@ def display_fields(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def map_texts(spark: SparkSession, sf: str) -> DataFrame:
-    ranked = attention.global_ranked(spark, sf).select(
-        "pageid", "title", "rank", "median_views", "total_views", "max_views", "top_lang", "english_share"
-    )
-    return ranked.join(text_columns(spark, sf).drop("title"), "pageid", "left")
+def text_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The home roster with texts: none of the columns that only the ranking of all editions has."""
+    return facets.text_table(attention.home_ranked(spark, sf), text_columns(spark, sf))
+
+
+def map_points(spark: SparkSession, sf: str, texts: DataFrame) -> DataFrame:
+    """A place for each entity: size across, price upwards."""
+    part = roles.table(spark, sf, "part")
+    places = part.select(F.col("p_partkey").alias("pageid"), F.col("p_size").cast("double").alias("x"), F.col("p_retailprice").cast("double").alias("y"))
+    return places.join(texts.select("pageid"), "pageid", "left_semi")
 
 
 def region_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -239,14 +245,15 @@ def region_labels(spark: SparkSession, sf: str) -> DataFrame:
 MAP_COLUMNS = [
     "pageid", "name", "description", "thumb_url", "rank", "views_str", "born_str", "lead_excerpt", "wiki_url",
     "occupation", "citizenship", "gender", "birth_year", "top_lang",
-    "label_layer_0", "label_layer_1", "label_layer_2",
+    "label_layer_0", "label_layer_1", "label_layer_2", "birth_low", "birth_high",
 ]
-MAP_NUMBERS = ["fame", "volatility", "marker_size", "english_share"]
+MAP_NUMBERS = ["fame", "volatility", "marker_size", "english_share", "x", "y"]
 
 
 def map_features(spark: SparkSession, sf: str) -> DataFrame:
     labels = facets.wide_labels(region_labels(spark, sf), 3)
-    features = facets.map_features(map_texts(spark, sf), facet_table(spark, sf), labels)
+    texts = stage(facets.text_table(attention.global_ranked(spark, sf), text_columns(spark, sf)), "map-texts")
+    features = facets.map_features(texts, facet_table(spark, sf), labels, map_points(spark, sf, texts))
     return features.select(*MAP_COLUMNS, *[F.round(c, 6).alias(c) for c in MAP_NUMBERS])
 
 
@@ -287,6 +294,7 @@ QUERIES = {
     "label_documents": label_documents,
     "fuzzy_titles": fuzzy_titles,
     "display_fields": display_fields,
+    "text_table": text_table,
     "map_features": map_features,
     "hot_key_join": hot_key_join,
     "top_n_other": top_n_other,
@@ -331,7 +339,7 @@ _BASE = f"""base AS (
          {_cased("coalesce(f.gender, 'Unknown')")} AS gender,
          log10(greatest(g.median_views, 1.0)) AS fame,
          log10(greatest(g.max_views / greatest(g.median_views, 1.0), 1.0)) AS volatility,
-         p_brand AS label_layer_0, p_brand || ' ' || p_type AS label_layer_1,
+         p_size::DOUBLE AS x, p_retailprice::DOUBLE AS y, p_brand AS label_layer_0, p_brand || ' ' || p_type AS label_layer_1,
          CASE WHEN p_type <> 'SMALL' THEN p_brand || ' ' || p_type || ' ' || p_name ELSE 'Unlabelled' END AS label_layer_2
   FROM global_ranked g LEFT JOIN texts t ON t.pageid = g.pageid
   LEFT JOIN facet f ON f.pageid = g.pageid LEFT JOIN part ON p_partkey = g.pageid)"""
@@ -370,8 +378,11 @@ ORACLES = {
         CASE WHEN top_lang IN (FROM top_lang_top) THEN top_lang ELSE 'Other' END AS top_lang,
         label_layer_0, label_layer_1, label_layer_2, round(fame, 6) AS fame, round(volatility, 6) AS volatility,
         round(2.5 + CASE WHEN hi > lo THEN (fame - lo) / (hi - lo) * 10 ELSE 0.0 END, 6) AS marker_size,
-        round(english_share, 6) AS english_share
-        FROM base, (SELECT min(fame) AS lo, max(fame) AS hi FROM base)"""),
+        round(english_share, 6) AS english_share, born_lo AS birth_low, born_hi AS birth_high, round(x, 6) AS x, round(y, 6) AS y
+        FROM base, (SELECT min(fame) AS lo, max(fame) AS hi, (floor(quantile_cont(birth_year::DOUBLE, 0.01) / 10) * 10)::BIGINT AS born_lo,
+                    (ceil(quantile_cont(birth_year::DOUBLE, 0.99) / 10) * 10)::BIGINT AS born_hi FROM base)"""),
+    "text_table": with_(*roles.HOME, TEXTS, select="""SELECT pageid, h.title, qid, rank, median_views, total_views, max_views,
+        description, lead, thumb_url FROM home_ranked h LEFT JOIN texts t USING (pageid)"""),
     "hot_key_join": """SELECT l_orderkey, l_linenumber, suppkey, s_name FROM (SELECT l_orderkey, l_linenumber,
         (CASE WHEN l_linenumber % 2 = 1 THEN 1 ELSE l_suppkey END)::BIGINT AS suppkey FROM lineitem)
         LEFT JOIN supplier ON s_suppkey = suppkey""",
