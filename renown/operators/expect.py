@@ -41,6 +41,16 @@ def layers_refine(labels: DataFrame, name: str) -> DataFrame:
     )
 
 
+def layers_nest(clusters: DataFrame, key: str, name: str) -> DataFrame:
+    """Clusters of (key, layer, cluster) whose rows lie in several clusters of the layer before, or in none."""
+    inner = clusters.where(F.col("cluster").isNotNull() & (F.col("layer") > 0))
+    outer = clusters.select(key, (F.col("layer") + 1).alias("layer"), F.col("cluster").alias("_outer"))
+    held = inner.join(outer, [key, "layer"], "left").groupBy("layer", "cluster").agg(
+        F.min("_outer").alias("low"), F.max("_outer").alias("high"), F.count_if(F.col("_outer").isNull()).alias("none")
+    )
+    return _row(name, held.where((F.col("none") > 0) | (F.col("low") != F.col("high"))))
+
+
 def report(*expectations: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, expectations)
 

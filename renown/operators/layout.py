@@ -6,13 +6,14 @@ from collections.abc import Callable, Iterable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import IDF, PCA, HashingTF, Normalizer
+from pyspark.ml.feature import IDF, PCA, CountVectorizerModel, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renown.functions.texts import words
 from renown.session import stage
+from renown.sources.tables import hash60
 
 # Vector size and texts per encoder call.
 DIMENSIONS, BATCH = 1024, 96
@@ -35,9 +36,17 @@ def encode_with(df: DataFrame, key: str, text: str, encoder: Encoder, batch: int
 
 
 def encode_hashed(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS) -> DataFrame:
-    """(key, embedding) of hashed, frequency-weighted words with unit length; needs no model."""
-    tokens = df.select(key, words(F.col(text)).alias("_words"))
-    counts = HashingTF(numFeatures=dimensions, inputCol="_words", outputCol="_tf").transform(tokens)
+    """(key, embedding) of hashed, frequency-weighted words with unit length; needs no model.
+
+    A word's place is ``hash60`` modulo the dimensions, which any engine can compute. Texts without
+    words, nulls among them, have the zero vector.
+    """
+    places = F.transform(words(F.coalesce(F.col(text), F.lit(""))), lambda w: F.pmod(hash60(w), F.lit(dimensions)).cast("string"))
+    tokens = df.select(key, places.alias("_places"))
+    # no vocabulary of words: the places by their number
+    counts = CountVectorizerModel.from_vocabulary(
+        [str(i) for i in range(dimensions)], inputCol="_places", outputCol="_tf"
+    ).transform(tokens)
     # written once: the document frequencies and the weighting both read it
     counts = stage(counts.select(key, "_tf"), "hashed")
     weighted = IDF(inputCol="_tf", outputCol="_weighted").fit(counts).transform(counts)

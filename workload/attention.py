@@ -21,6 +21,16 @@ def dump_parse(spark: SparkSession, sf: str) -> DataFrame:
     return dumps.home_views(roles.dump_lines(spark, sf))
 
 
+def dump_invalid_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """Dump lines whose underscores arrive as the first two bytes of a three-byte character."""
+    cut = F.unhex(F.lit("E282")).cast("string")
+    path = scratch_path(spark, "invalid")
+    lines = roles.derived_lines(spark, sf).withColumn("value", F.replace("value", F.lit("_"), cut))
+    lines.write.partitionBy("month").text(path)
+    read = spark.read.schema("value string, month string").text(path)
+    return dumps.home_views(read)
+
+
 def item_views(spark: SparkSession, sf: str) -> DataFrame:
     return attention.item_views(
         roles.dump_lines(spark, sf),
@@ -134,6 +144,7 @@ _OWN = f"'O''' || replace({roles.PART_TITLE}, ' ', '_') || '\\'"
 
 QUERIES = {
     "dump_parse": dump_parse,
+    "dump_invalid_bytes": dump_invalid_bytes,
     "dump_parse_all_sites": item_views,
     "sql_dump_pages": sql_dump_pages,
     "sql_dump_redirects": sql_dump_redirects,
@@ -154,6 +165,11 @@ ORACLES = {
         roles.EDITIONS, roles.GOOD_LINES,
         select="SELECT month, title, sum(views)::BIGINT AS views FROM good_lines WHERE lang = 'en' GROUP BY 1, 2",
     ),
+    "dump_invalid_bytes": with_(
+        roles.EDITIONS, roles.GOOD_LINES,
+        select="""SELECT month, replace(title, '_', chr(65533)) AS title, sum(views)::BIGINT AS views
+        FROM good_lines WHERE lang = 'en' GROUP BY 1, 2""",
+    ),
     "dump_parse_all_sites": with_(
         roles.CRAWLED, roles.REDIRECTS, roles.EDITIONS, roles.GOOD_LINES, roles.SITELINKS, roles.SITE_LOOKUP,
         select="SELECT item, lang, month, views FROM item_views",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renown.operators import erasure, layout, neighbours, probe, regions
+from renown.operators import density, erasure, graph, layout, neighbours, probe, regions
 from renown.plans import erasure_report, region_map
+from renown.session import stage
 from workload import roles
 from workload.roles import with_
 
@@ -168,7 +170,89 @@ def region_layers(spark: SparkSession, sf: str) -> DataFrame:
     return regions.layer_table(region_map.label_layers(docs, "pageid", "text", 256), "pageid")
 
 
+def text_vector_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The hashed vectors place by place, without their zeros."""
+    cells = text_vectors(spark, sf).select("pageid", F.posexplode("embedding").alias("pos", "value"))
+    return cells.where("value <> 0").select("pageid", "pos", F.round(F.col("value").cast("double"), 5).alias("value"))
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_counts(texts: list[str]) -> np.ndarray:
+    """A small encoder: uses of each letter."""
+    return np.array([[t.count(c) for c in LETTERS] for t in texts], dtype=np.float32).reshape(len(texts), len(LETTERS))
+
+
+def encoded_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents through an encoder of matrices, place by place."""
+    docs = roles.table(spark, sf, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    cells = layout.encode_with(docs, "doc_id", "text", letter_counts).select("doc_id", F.posexplode("embedding").alias("pos", "value"))
+    return cells.select("doc_id", "pos", F.col("value").cast("bigint").alias("value"))
+
+
+def knn_graph(spark: SparkSession, sf: str) -> DataFrame:
+    near = graph.knn_graph(concept_vectors(spark, sf), "vec_id", "embedding", K, "cosine")
+    return near.select("vec_id", "neighbour", "place", F.round("score", 6).alias("score"))
+
+
+def trade_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations linked by the lines that customers of one order from suppliers of the other."""
+    customer = roles.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("nation"))
+    supplier = roles.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("neighbour"))
+    orders = roles.table(spark, sf, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    lines = roles.table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").join(orders, "l_orderkey")
+    traded = lines.join(supplier, "l_suppkey").join(customer, "o_custkey").groupBy("nation", "neighbour").agg(F.count("*").alias("n"))
+    return graph.undirected(traded, "nation", weight=F.col("n"))
+
+
+def graph_axes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a step of the walk over trade changes on the axes beside their eigenvalues: nothing."""
+    links = stage(trade_links(spark, sf), "trade")
+    placed, values = graph.graph_axes(links)
+    placed = stage(placed, "trade-axes")
+    ends = placed.select(F.col("id").alias("other"), F.col("axis").alias("_to"))
+    flow = [F.sum(F.col("weight") * F.col("_to")[j]) / F.sum("weight") for j in range(2)]
+    walked = placed.join(links.join(ends, "other").groupBy("id").agg(F.array(*flow).alias("_flow")), "id")
+    gaps = [(F.round(F.abs((F.col("axis")[j] + F.col("_flow")[j]) / 2 - F.col("axis")[j] * values[j]), 5) + 0.0).alias(f"gap_{j}") for j in range(2)]
+    return walked.select("id", *gaps)
+
+
+# the plane of balance and nation in 25 x 25 cells
+_BOX, _BINS, _SHARES = (-1000.0, 0.0, 10000.0, 25.0), 25, [0.9, 0.5, 0.2]
+
+
+def _places(spark: SparkSession, sf: str) -> DataFrame:
+    return roles.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("id"), F.col("c_acctbal").cast("double").alias("x"), F.col("c_nationkey").cast("double").alias("y")
+    )
+
+
+def density_layers(spark: SparkSession, sf: str) -> DataFrame:
+    return density.density_layers(_places(spark, sf), "id", bins=_BINS, shares=_SHARES, box=_BOX)
+
+
+def density_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions with the region of the layer before that holds them."""
+    placed = density.grid(_places(spark, sf), bins=_BINS, box=_BOX).where("_cell is not null")
+    cells = placed.groupBy("_cell").agg(F.count("*").alias("n"))
+    return density.region_tree(density.cell_regions(cells, _SHARES))
+
+
+def nested_layers(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents to vectors, layout, nested regions, names and one label column per layer."""
+    docs = roles.table(spark, sf, "documents").select(F.col("doc_id").alias("pageid"), "text")
+    return regions.layer_table(region_map.label_nested(docs, "pageid", "text", 256, bins=32), "pageid")
+
+
 QUERIES = {
+    "text_vector_cells": text_vector_cells,
+    "encoded_texts": encoded_texts,
+    "knn_graph": knn_graph,
+    "graph_axes": graph_axes,
+    "density_layers": density_layers,
+    "density_tree": density_tree,
+    "nested_layers": nested_layers,
     "centroid_erase": centroid_erase,
     "leace_erase": leace_erase,
     "leace_class_gap": leace_class_gap,
@@ -205,7 +289,36 @@ terms AS (
   SELECT region, row_number() OVER (PARTITION BY region ORDER BY weight DESC, term)::INT AS place, term, weight
   FROM weighted QUALIFY place <= 3)"""
 
+_DENSITY = """places AS (
+  SELECT c_custkey AS id, least(24, greatest(0, floor((c_acctbal::DOUBLE + 1000.0::DOUBLE) / 11000.0::DOUBLE * 25)))::BIGINT AS cx,
+         least(24, greatest(0, floor(c_nationkey::DOUBLE / 25.0::DOUBLE * 25)))::BIGINT AS cy FROM customer),
+cells AS (SELECT cx, cy, cx * 4294967296 + cy AS cell, count(*) AS n FROM places WHERE cx IS NOT NULL AND cy IS NOT NULL GROUP BY 1, 2),
+mass AS (SELECT n, sum(sum(n)) OVER (ORDER BY n DESC) AS mass FROM cells GROUP BY n),
+least_ AS (SELECT layer, max(n) AS least FROM mass, (VALUES (0, 0.9), (1, 0.5), (2, 0.2)) s(layer, share)
+  WHERE mass >= share::DOUBLE * (SELECT sum(n) FROM cells) GROUP BY layer),
+nodes AS (SELECT layer, cx, cy, cell, n FROM cells JOIN least_ ON n >= least),
+links AS (SELECT a.layer, a.cell AS a, b.cell AS b FROM nodes a JOIN nodes b
+  ON a.layer = b.layer AND abs(a.cx - b.cx) <= 1 AND abs(a.cy - b.cy) <= 1),
+reach AS (SELECT layer, cell, cell AS seen FROM nodes
+  UNION SELECT r.layer, l.b, r.seen FROM reach r JOIN links l ON l.layer = r.layer AND l.a = r.cell),
+regions AS (SELECT layer, cell, min(seen) AS region FROM reach GROUP BY 1, 2)"""
+
 ORACLES = {
+    "text_vector_cells": r"""WITH tokens AS (
+          SELECT doc_id AS pageid, unnest(list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')) AS w FROM documents),
+        tf AS (SELECT pageid, (('0x' || substr(md5(w), 1, 15))::BIGINT % 1024)::INT AS pos, count(*) AS n FROM tokens GROUP BY 1, 2),
+        df AS (SELECT pos, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf FROM tf GROUP BY 1),
+        weighted AS (SELECT pageid, pos, n * idf AS w FROM tf JOIN df USING (pos))
+        SELECT pageid, pos, round((w / sqrt(sum(w * w) OVER (PARTITION BY pageid)))::FLOAT::DOUBLE, 5) AS value FROM weighted WHERE w <> 0""",
+    "encoded_texts": f"""SELECT doc_id, pos::INT AS pos, length(t) - length(replace(t, substr('{LETTERS}', pos + 1, 1), '')) AS value
+        FROM (SELECT doc_id, coalesce(text, '') AS t, unnest(range({len(LETTERS)})) AS pos FROM documents)""",
+    "graph_axes": "SELECT n_nationkey AS id, 0.0::DOUBLE AS gap_0, 0.0::DOUBLE AS gap_1 FROM nation",
+    "density_layers": f"""WITH RECURSIVE {_DENSITY}
+        SELECT id, layer, region AS cluster FROM (SELECT *, unnest([0, 1, 2]) AS layer, cx * 4294967296 + cy AS cell FROM places)
+        LEFT JOIN regions USING (layer, cell)""",
+    "density_tree": f"""WITH RECURSIVE {_DENSITY}
+        SELECT r.layer, r.region, min(p.region) AS parent, count(*) AS cells, sum(n.n)::BIGINT AS points
+        FROM regions r JOIN nodes n USING (layer, cell) LEFT JOIN regions p ON p.layer = r.layer - 1 AND p.cell = r.cell GROUP BY 1, 2""",
     "centroid_erase": with_(VECTORS, """cells AS (
       SELECT vec_id, concept, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM vectors),
     gap AS (SELECT pos, avg(x) FILTER (concept) - avg(x) FILTER (NOT concept) AS g FROM cells GROUP BY pos),
