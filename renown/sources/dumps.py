@@ -93,7 +93,10 @@ def all_site_views(
     """
     kept = _fields(lines.where(F.col("value").rlike(ANY_WIKI)))
     if wanted is not None:
-        kept = kept.where(wanted(site_of_wiki(F.col("lang")), F.col("title")))
+        # out of a generator again, or the test would work out site and title once per use it makes of them
+        named = F.struct("lang", "title", "views", site_of_wiki(F.col("lang")).alias("site"))
+        kept = kept.select(*keys, F.explode(F.array(named)).alias("_named"))
+        kept = kept.where(wanted(F.col("_named.site"), F.col("_named.title"))).select(*keys, "_named.lang", "_named.title", "_named.views")
     return (
         kept.groupBy(*keys, "lang", "title")
         .agg(F.sum("views").alias("views"))
