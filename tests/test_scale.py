@@ -1,7 +1,10 @@
 """Work that must be done once per row, or spread over tasks, on larger tables."""
 
+from pyspark.sql import functions as F
+
 from renown.operators import bloom
 from renown.sources import dumps
+from workload import roles
 
 
 def plan(df):
@@ -17,3 +20,11 @@ def test_the_key_test_works_on_finished_titles(spark):
     tests = [line for line in plan(views).splitlines() if "Filter" in line and "xxhash64" in line]
     assert tests and not any("replace(" in line or "substring" in line for line in tests)
 
+
+def test_parts_are_dealt_over_tasks_before_they_become_sitelinks(spark, tmp_path):
+    rows = [(i, f"part {i}", "SMALL") for i in range(200)] + [(None, "none", "SMALL"), (3, None, "SMALL")]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    links = roles.sitelinks(spark, str(tmp_path))
+    assert links.count() == len(rows) * len(roles.SITES)
+    held = links.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(held) >= 4 and max(r["count"] for r in held) < links.count() / 2

@@ -184,8 +184,13 @@ GOOD_LINES = f"""good_lines AS (
 
 
 def sitelinks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(row_id, item, site, title): every part on every site, redirect pages not on the home site."""
+    """(row_id, item, site, title): every part on every site, redirect pages not on the home site.
+
+    The parts are one small file, so they are dealt over tasks before each of them becomes a row per site.
+    """
     part = table(spark, sf_dir, "part")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    part = part.select("p_partkey", "p_name", "p_type").repartition(tasks, "p_partkey")
     rows = part.select(
         "p_partkey",
         "p_type",
