@@ -7,7 +7,8 @@ can't rule it out:
 1. the k-th distance inside a row's own tile, or the reach of the nearest cells
    that hold k other rows, bounds the k-th distance overall;
 2. a cell whose nearest possible point lies beyond that bound holds no neighbour;
-3. each remaining pair of tiles yields at most k candidates per row.
+3. strips of tiles meet in blocks: a block reads each tile it needs once and yields at
+   most k candidates per row, and the k-th so far tightens the bound.
 
 No candidate is dropped unseen, so the result equals brute force. Pruning is
 strong in the plane and weak for many dimensions, where exact search costs about
@@ -26,6 +27,9 @@ from renown.session import stage
 _TILE_BYTES = 16 << 20
 _PIVOT_BYTES = 64 << 20
 _MAX_PIVOTS = 16_384
+# bounds of the tiles that a block holds on either side, and strips where there are tiles enough
+STRIPS = 12
+_STRIP_BYTES, _STRIP_ROWS = 32 << 20, 65_536
 
 
 def nearest(
@@ -162,47 +166,76 @@ def _search(rows: DataFrame, k: int, cosine: bool, tile_rows: int | None) -> Dat
 
     packed = "tile bigint, cell int, ids array<bigint>, points binary, bounds array<double>, visits array<int>"
     tiles = stage(tiled.groupBy("tile").applyInPandas(pack, packed), "tiles")
-    # pairs of tile numbers first, so that the vectors are attached to final pairs only
+    # pairs of tile numbers first; a block of two strips of tiles then gets the vectors of its tiles once
+    strip_tiles = max(1, min(min(_STRIP_ROWS, _STRIP_BYTES // (8 * dims)) // tile_rows, int(tiles_of.sum()) // STRIPS))
     cells = tiles.select(F.col("cell").alias("visit"), F.col("tile").alias("tile2"))
-    pairs = tiles.select("tile", F.explode("visits").alias("visit")).join(cells, "visit").select("tile", "tile2")
-    left = tiles.select("tile", "ids", "points", "bounds")
-    right = tiles.select(
-        F.col("tile").alias("tile2"), F.col("ids").alias("ids2"), F.col("points").alias("points2")
-    )
-    matched = pairs.join(left, "tile").join(right, "tile2")
-
-    def match(pair: pd.DataFrame) -> pd.DataFrame:
-        """The k best rows of the second tile for each row of the first."""
-        row = pair.iloc[0]
-        ids, ids2 = np.asarray(row["ids"]), np.asarray(row["ids2"])
-        a = np.frombuffer(row["points"], dtype="<f8").reshape(len(ids), dims)
-        b = np.frombuffer(row["points2"], dtype="<f8").reshape(len(ids2), dims)
-        bounds = np.asarray(row["bounds"])
-        out = []
-        for at in range(0, len(ids), 512):
-            part, part_ids, bound = a[at : at + 512], ids[at : at + 512], bounds[at : at + 512]
-            if cosine:
-                # rounding lets copies of a vector tie whatever the order of the sums
-                score = -np.round(part @ b.T, 12)
-                limit = bound**2 / 2 - 1
-            else:
-                score = np.zeros((len(part), len(b)))
-                for j in range(dims):
-                    score += (part[:, None, j] - b[None, :, j]) ** 2
-                limit = bound**2
-            score[(part_ids[:, None] == ids2[None, :]) | (score > limit[:, None])] = np.inf
-            keep = np.isfinite(score)
-            if score.shape[1] > k:
-                kth = np.partition(score, k - 1, axis=1)[:, k - 1 : k]
-                less, tie = score < kth, keep & (score == kth)
-                # ids ascend along the columns, so the first ties have the smaller keys
-                room = k - less.sum(axis=1, keepdims=True)
-                keep &= less | (tie & (np.cumsum(tie, axis=1) <= room))
-            where, to = np.nonzero(keep)
-            out.append(pd.DataFrame({"id": part_ids[where], "neighbour": ids2[to], "score": score[where, to]}))
+    pairs = tiles.select("tile", F.explode("visits").alias("visit")).join(cells, "visit")
+    strips = [F.floor(F.col(c) / strip_tiles).alias(n) for c, n in (("tile", "strip"), ("tile2", "strip2"))]
+    pairs = stage(pairs.select("tile", "tile2", *strips), "tile-pairs")
+    visits = pairs.groupBy("tile", "strip", "strip2").agg(F.collect_list("tile2").alias("meets"))
+    left = visits.join(tiles.select("tile", "ids", "points", "bounds"), "tile")
+    right = pairs.select(F.col("tile2").alias("tile"), "strip", "strip2").distinct().join(tiles.select("tile", "ids", "points"), "tile")
+    sides = left.unionByName(right, allowMissingColumns=True)
+
+    def match(block: pd.DataFrame) -> pd.DataFrame:
+        """The k best rows of the second strip for each row of the first."""
+        asked = block["meets"].notna()
+        held = {}
+        for row in block[~asked].itertuples():
+            ids = np.asarray(row.ids)
+            points = np.frombuffer(row.points, dtype="<f8").reshape(len(ids), dims)
+            held[row.tile] = ids, points, (points**2).sum(axis=1)
+        out = [pd.DataFrame({"id": np.empty(0, np.int64), "neighbour": np.empty(0, np.int64), "score": np.empty(0)})]
+        for row in block[asked].itertuples():
+            ids, bounds = np.asarray(row.ids), np.asarray(row.bounds)
+            points = np.frombuffer(row.points, dtype="<f8").reshape(len(ids), dims)
+            for at in range(0, len(ids), 512):
+                part, part_ids, bound = points[at : at + 512], ids[at : at + 512], bounds[at : at + 512]
+                limit = bound**2 / 2 - 1 if cosine else bound**2
+                best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+                for tile in sorted(row.meets):
+                    found = _below(part, part_ids, limit, *held[tile], cosine)
+                    where, to, score = (np.concatenate(c) for c in zip(best, found))
+                    order = np.lexsort((to, score, where))
+                    where, to, score = where[order], to[order], score[order]
+                    place = np.arange(len(where)) - np.searchsorted(where, where)
+                    # the k-th so far is the new limit of its row
+                    last = place == k - 1
+                    limit[where[last]] = np.minimum(limit[where[last]], score[last])
+                    best = tuple(c[place < k] for c in (where, to, score))
+                out.append(pd.DataFrame({"id": part_ids[best[0]], "neighbour": best[1], "score": best[2]}))
         return pd.concat(out)
 
-    return matched.groupBy("tile", "tile2").applyInPandas(match, "id bigint, neighbour bigint, score double")
+    # a small block may be long work, so blocks are dealt by number and not by their bytes
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), STRIPS**2)
+    return sides.repartition(tasks, "strip", "strip2").groupBy("strip", "strip2").applyInPandas(match, "id bigint, neighbour bigint, score double")
+
+
+def _below(
+    part: np.ndarray, part_ids: np.ndarray, limit: np.ndarray, ids: np.ndarray, points: np.ndarray, norms: np.ndarray, cosine: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of part, id, score) of the pairs at or below each row's limit, itself left out.
+
+    One product of matrices finds the pairs that may be; only those are scored.
+    """
+    products = part @ points.T
+    dims = part.shape[1]
+    if cosine:
+        where, at = np.nonzero(products >= (-limit - 1e-11)[:, None])
+        # rounding lets copies of a vector tie whatever the order of the sums
+        score = -np.round(products[where, at], 12)
+    else:
+        own = (part**2).sum(axis=1)
+        # room for rounding in the product
+        room = 8 * (dims + 8) * np.finfo(float).eps * (own + norms.max())
+        products *= -2
+        products += norms
+        where, at = np.nonzero(products <= (limit + room - own)[:, None])
+        score = np.zeros(len(where))
+        for j in range(dims):
+            score += (part[where, j] - points[at, j]) ** 2
+    keep = (score <= limit[where]) & (part_ids[where] != ids[at])
+    return where[keep], ids[at[keep]], score[keep]
 
 
 def label_purity(neighbours: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:

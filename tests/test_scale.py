@@ -1,8 +1,9 @@
 """Work that must be done once per row, or spread over tasks, on larger tables."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from renown.operators import bloom
+from renown.operators import bloom, neighbours
 from renown.sources import dumps
 from workload import roles
 
@@ -28,3 +29,30 @@ def test_parts_are_dealt_over_tasks_before_they_become_sitelinks(spark, tmp_path
     assert links.count() == len(rows) * len(roles.SITES)
     held = links.groupBy(F.spark_partition_id().alias("task")).count().collect()
     assert len(held) >= 4 and max(r["count"] for r in held) < links.count() / 2
+
+
+def test_only_near_pairs_are_scored():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(600, 16)) + 1000.0
+    gaps = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(gaps, np.inf)
+    limit = np.sort(gaps, axis=1)[:, 4]
+    ids = np.arange(600)
+    where, to, score = neighbours._below(points, ids, limit, ids, points, (points**2).sum(axis=1), False)
+    assert {(a, b) for a, b in zip(where, to)} >= {(a, b) for a, b in zip(*np.nonzero(gaps < limit[:, None] * (1 - 1e-9)))}
+    assert len(where) < 600 * 6 and np.allclose(score, gaps[where, to])
+
+
+def test_blocks_read_a_tile_once_per_strip(spark, monkeypatch):
+    """Tiles travel with strips, not with pairs of tiles: each block of strips answers a row at most k times."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(400, 12))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, v array<double>")
+    monkeypatch.setattr(neighbours, "STRIPS", 3)
+    found = neighbours._search(df, 5, False, 16).cache()
+    assert found.groupBy("id").count().agg(F.max("count")).first()[0] <= 5 * 5
+    gaps = ((points[:, None, :] - points[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(gaps, np.inf)
+    near = neighbours.nearest(df, "id", "v", 5, tile_rows=16)
+    got = {(r["id"], r["place"]): r["neighbour"] for r in near.collect()}
+    assert got == {(i, j + 1): int(n) for i in range(400) for j, n in enumerate(np.argsort(gaps[i])[:5])}
