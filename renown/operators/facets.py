@@ -45,6 +45,7 @@ def resolve_ids(records: DataFrame, labels: DataFrame, key: str, fields: list[st
     All fields go through one join; ids that most records share, such as genders, are spread over tasks.
     An entity's arrays come from its own record, so gathering them again is bounded by that record.
     """
+    records = stage(records, "records")  # read twice, and records come from parsing
     tagged = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("ids")) for f in fields])
     ids = records.select(key, F.explode(tagged).alias("t")).select(key, "t.field", F.posexplode("t.ids").alias("pos", "id"))
     ids = join_spread(stage(ids, "ids"), labels.select("id", "label"), ["id"], "left").withColumn(

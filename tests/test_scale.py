@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from renown.operators import bloom, neighbours
+from renown.operators import bloom, facets, neighbours
 from renown.sources import dumps
 from workload import roles
 
@@ -56,3 +56,11 @@ def test_blocks_read_a_tile_once_per_strip(spark, monkeypatch):
     near = neighbours.nearest(df, "id", "v", 5, tile_rows=16)
     got = {(r["id"], r["place"]): r["neighbour"] for r in near.collect()}
     assert got == {(i, j + 1): int(n) for i in range(400) for j, n in enumerate(np.argsort(gaps[i])[:5])}
+
+
+def test_claims_are_parsed_once_for_all_facets(spark):
+    documents = spark.createDataFrame([("Q1", '{"P21":[{"rank":"normal","mainsnak":{"datavalue":{"value":{"id":"G1"}}}}]}'), ("Q2", "{}")], "qid string, claims string")
+    labels = spark.createDataFrame([("G1", "one")], "id string, label string")
+    resolved = facets.resolve_ids(facets.claim_records(documents), labels, "qid")
+    assert "from_json" not in plan(resolved)
+    assert {(r["qid"], tuple(r["gender_qids"])) for r in resolved.collect()} == {("Q1", ("one",)), ("Q2", ())}

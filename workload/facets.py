@@ -56,9 +56,9 @@ def claim_documents(spark: SparkSession, sf: str) -> DataFrame:
         ).alias(C.BIRTH),
     )
     customers = roles.table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    orders = roles.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
     return (
-        roles.table(spark, sf, "orders")
-        .join(customers, "o_custkey")
+        roles.dealt(orders.join(customers, "o_custkey"), "o_orderkey")
         .select(F.concat(F.lit("Q"), F.col("o_orderkey").cast("string")).alias("qid"), F.to_json(claims).alias("claims"))
     )
 

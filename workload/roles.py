@@ -32,6 +32,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """Rows of a file of few splits over all tasks, by number, as their bytes say little about the work on them."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(tasks, key)
+
+
 def part_title() -> Column:
     name, key = F.col("p_name"), F.col("p_partkey").cast("string")
     quoted = F.concat(F.lit('"'), name, F.lit('" '), key)
@@ -188,9 +195,7 @@ def sitelinks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The parts are one small file, so they are dealt over tasks before each of them becomes a row per site.
     """
-    part = table(spark, sf_dir, "part")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    part = part.select("p_partkey", "p_name", "p_type").repartition(tasks, "p_partkey")
+    part = dealt(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"), "p_partkey")
     rows = part.select(
         "p_partkey",
         "p_type",
