@@ -191,7 +191,8 @@ def _search(rows: DataFrame, k: int, cosine: bool, tile_rows: int | None) -> Dat
             points = np.frombuffer(row.points, dtype="<f8").reshape(len(ids), dims)
             for at in range(0, len(ids), 512):
                 part, part_ids, bound = points[at : at + 512], ids[at : at + 512], bounds[at : at + 512]
-                limit = bound**2 / 2 - 1 if cosine else bound**2
+                # a bound that isn't a number rules nothing out
+                limit = np.nan_to_num(bound**2 / 2 - 1 if cosine else bound**2, nan=np.inf, posinf=np.inf)
                 best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
                 for tile in sorted(row.meets):
                     found = _below(part, part_ids, limit, *held[tile], cosine)
@@ -227,14 +228,14 @@ def _below(
     else:
         own = (part**2).sum(axis=1)
         # room for rounding in the product
-        room = 8 * (dims + 8) * np.finfo(float).eps * (own + norms.max())
+        room = 8 * (dims + 8) * np.finfo(float).eps * (own + np.nanmax(norms, initial=0.0))
         products *= -2
         products += norms
         where, at = np.nonzero(products <= (limit + room - own)[:, None])
         score = np.zeros(len(where))
         for j in range(dims):
             score += (part[where, j] - points[at, j]) ** 2
-    keep = (score <= limit[where]) & (part_ids[where] != ids[at])
+    keep = np.isfinite(score) & (score <= limit[where]) & (part_ids[where] != ids[at])
     return where[keep], ids[at[keep]], score[keep]
 
 

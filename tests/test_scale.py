@@ -43,6 +43,12 @@ def test_only_near_pairs_are_scored():
     assert len(where) < 600 * 6 and np.allclose(score, gaps[where, to])
 
 
+def test_a_place_that_is_no_number_hides_no_other():
+    points, ids = np.array([[0.0, 0.0], [1.0, 0.0], [np.nan, 0.0], [np.inf, 0.0]]), np.arange(4)
+    found = neighbours._below(points, ids, np.full(4, np.inf), ids, points, (points**2).sum(axis=1), False)
+    assert {(int(a), int(b)) for a, b in zip(*found[:2])} == {(0, 1), (1, 0)}
+
+
 def test_blocks_read_a_tile_once_per_strip(spark, monkeypatch):
     """Tiles travel with strips, not with pairs of tiles: each block of strips answers a row at most k times."""
     rng = np.random.default_rng(6)
