@@ -120,18 +120,19 @@ def exemplars(placed: DataFrame, region: str, key: str, top: int = 5) -> DataFra
 def label_regions(clusters: DataFrame, documents: DataFrame, key: str, text: str) -> DataFrame:
     """(key, layer, label) with named regions; gaps are Unlabelled.
 
-    Each text is split into words once; its word counts then go to its region in
-    every layer.
+    Each text is split into words once. Words are counted by the set of regions of their text, of which
+    there are few, before the counts go to the region of every layer.
     """
     region = F.when(F.col("cluster").isNotNull(), F.concat_ws("-", "layer", "cluster"))
     placed = clusters.withColumn("region", region)
-    counted = (
-        documents.select(key, F.explode(words(F.col(text))).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count("*").alias("n"))
-    )
+    # one region per layer
+    inside = placed.where(F.col("region").isNotNull()).groupBy(key).agg(F.sort_array(F.collect_list("region")).alias("_regions"))
     uses = (
-        counted.join(placed.where(F.col("region").isNotNull()).select(key, "region"), key)
+        documents.select(key, text).join(inside, key)
+        .select("_regions", F.explode(words(F.col(text))).alias("term"))
+        .groupBy("_regions", "term")
+        .agg(F.count("*").alias("n"))
+        .select(F.explode("_regions").alias("region"), "term", "n")
         .groupBy("region", "term")
         .agg(F.sum("n").alias("uses"))
     )

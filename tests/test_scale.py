@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from renown.operators import bloom, facets, neighbours
+from renown.operators import bloom, facets, neighbours, regions
 from renown.sources import dumps
 from workload import roles
 
@@ -70,3 +70,20 @@ def test_claims_are_parsed_once_for_all_facets(spark):
     resolved = facets.resolve_ids(facets.claim_records(documents), labels, "qid")
     assert "from_json" not in plan(resolved)
     assert {(r["qid"], tuple(r["gender_qids"])) for r in resolved.collect()} == {("Q1", ("one",)), ("Q2", ())}
+
+
+def test_words_are_counted_by_sets_of_regions(spark, monkeypatch):
+    """Not by document, whose counts would all be shuffled."""
+    seen = {}
+    weigh = regions.weigh_terms
+    monkeypatch.setattr(regions, "weigh_terms", lambda uses: seen.setdefault("uses", uses) and weigh(uses))
+    documents = spark.createDataFrame([(1, "red red sea"), (2, "blue sea"), (3, None), (None, "lost"), (2, "sky")], "pageid long, text string")
+    clusters = spark.createDataFrame([(1, 0, 0), (1, 1, 5), (2, 0, 0), (2, 1, None), (3, 0, 0), (3, 1, 5), (2, 0, 0)], "pageid long, layer int, cluster int")
+    labels = regions.label_regions(clusters, documents, "pageid", "text")
+    assert labels.count() == clusters.count()
+    grouped = [line for line in plan(seen["uses"]).splitlines() if "Aggregate" in line and "term" in line]
+    assert grouped and not any("pageid" in line for line in grouped)
+    # a repeated document and its repeated place count as often as they meet
+    assert {tuple(r) for r in seen["uses"].collect()} == {
+        ("0-0", "red", 2), ("0-0", "sea", 3), ("0-0", "blue", 2), ("0-0", "sky", 2), ("1-5", "red", 2), ("1-5", "sea", 1),
+    }
