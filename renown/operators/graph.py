@@ -2,8 +2,8 @@
 
 ``knn_graph`` starts from rows that lie close along random directions and then lets
 neighbours of neighbours meet until no edge improves: a neighbour of a neighbour is
-likely a neighbour. A round moves each vector once per list it stands in, so its cost
-grows with the rows times the list length, not with the pairs of rows.
+likely a neighbour. A round moves each vector once per list it stands in that holds
+anything new, so its cost grows with the lists that still change, not with the pairs of rows.
 
 ``graph_axes`` takes the slowest non-trivial axes of the walk on such a graph.
 """
@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from renown.operators.ordering import number_rows
 from renown.session import stage
@@ -48,40 +49,43 @@ def knn_graph(
     if metric not in ("euclidean", "cosine"):
         raise ValueError(metric)
     width = width or 3 * k
-    rows = df.where(F.col(vector).isNotNull()).select(
-        F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")
-    )
+    # vectors travel as they are given, floats in four bytes, and are divided by their norm where they meet
+    kind = "<f4" if df.schema[vector].dataType == T.ArrayType(T.FloatType()) else "<f8"
+    given = F.col(vector) if kind == "<f4" else F.col(vector).cast("array<double>")
+    rows = df.where(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), given.alias("v"))
     if metric == "cosine":
-        norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-        rows = rows.withColumn("_norm", norm).where(F.col("_norm") > 0)
-        rows = rows.select("id", F.transform("v", lambda x: x / F.col("_norm")).alias("v"))
+        norm = F.sqrt(F.aggregate(F.col("v").cast("array<double>"), F.lit(0.0), lambda s, x: s + x * x))
+        rows = rows.withColumn("norm", norm).where(F.col("norm") > 0)
+    else:
+        rows = rows.withColumn("norm", F.lit(1.0))
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
     along = np.random.default_rng(seed).normal(size=(DIRECTIONS, dims))
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = np.asarray(batch.column("v").flatten(), dtype="<f8").reshape(-1, dims)
-            shadows = points @ along.T
+            given = np.asarray(batch.column("v").flatten(), dtype=kind).reshape(-1, dims)
+            norm = np.asarray(batch.column("norm"))
+            shadows = (given.astype("<f8") / norm[:, None]) @ along.T
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array([p.tobytes() for p in points], pa.binary())]
+                [batch.column("id"), batch.column("norm"), pa.array([p.tobytes() for p in given], pa.binary())]
                 + [pa.array(shadows[:, j]) for j in range(DIRECTIONS)],
-                ["id", "v", *[f"d{j}" for j in range(DIRECTIONS)]],
+                ["id", "norm", "v", *[f"d{j}" for j in range(DIRECTIONS)]],
             )
 
     fields = ", ".join(f"d{j} double" for j in range(DIRECTIONS))
-    packed = stage(rows.mapInArrow(pack, f"id bigint, v binary, {fields}"), "packed")
-    vectors = packed.select("id", "v")
+    packed = stage(rows.mapInArrow(pack, f"id bigint, norm double, v binary, {fields}"), "packed")
+    vectors = packed.select("id", "norm", "v")
     infinite = F.lit(float("inf"))
     start = None
     for j in range(DIRECTIONS):
         order = number_rows(packed.select("id", f"d{j}"), [F.col(f"d{j}").asc(), F.col("id").asc()], "_at")
         block = F.floor((F.col("_at") + (BLOCK // DIRECTIONS) * j) / BLOCK)
         members = order.select(block.alias("at"), F.col("id").alias("member"))
-        met = _meet(members.withColumns({"fresh": F.lit(True), "bound": infinite}), vectors, dims, width)
+        met = _meet(members.withColumns({"fresh": F.lit(True), "bound": infinite}), vectors, dims, kind, width)
         start = met if start is None else start.unionByName(met)
     lists = stage(_best(start.withColumn("fresh", F.lit(True)), width), "lists")
     for _ in range(rounds):
-        lists, improved = _refine(lists, vectors, dims, width)
+        lists, improved = _refine(lists, vectors, dims, kind, width)
         if not improved:
             break
     found = lists.where(F.col("place") <= k)
@@ -96,7 +100,7 @@ def _best(edges: DataFrame, width: int) -> DataFrame:
     return once.withColumn("place", F.row_number().over(best)).where(F.col("place") <= width)
 
 
-def _refine(lists: DataFrame, vectors: DataFrame, dims: int, width: int) -> tuple[DataFrame, bool]:
+def _refine(lists: DataFrame, vectors: DataFrame, dims: int, kind: str, width: int) -> tuple[DataFrame, bool]:
     nearest = Window.partitionBy("other").orderBy("score", "id")
     back = lists.withColumn("_back", F.row_number().over(nearest)).where(F.col("_back") <= width)
     members = lists.select(F.col("id").alias("at"), F.col("other").alias("member"), "fresh").unionByName(
@@ -104,50 +108,63 @@ def _refine(lists: DataFrame, vectors: DataFrame, dims: int, width: int) -> tupl
     )
     own = vectors.select(F.col("id").alias("at"), F.col("id").alias("member"), F.lit(False).alias("fresh"))
     members = members.groupBy("at", "member").agg(F.max("fresh").alias("fresh")).unionByName(own)
+    # where no row is fresh no pair is, so nothing moves there
+    news = lists.where("fresh").select(F.col("id").alias("at")).unionByName(back.where("fresh").select(F.col("other").alias("at"))).distinct()
+    members = members.join(news, "at", "left_semi")
     # a row takes only what beats the last of its full list
     full = lists.groupBy("id").agg(F.max("score").alias("_last"), F.count(F.lit(1)).alias("_n"))
     bound = full.select(
         F.col("id").alias("member"), F.when(F.col("_n") >= width, F.col("_last")).otherwise(float("inf")).alias("bound")
     )
-    met = _meet(members.join(bound, "member", "left").fillna(float("inf"), ["bound"]), vectors, dims, width)
+    met = _meet(members.join(bound, "member", "left").fillna(float("inf"), ["bound"]), vectors, dims, kind, width)
     edges = lists.withColumn("fresh", F.lit(False)).drop("place").unionByName(met.withColumn("fresh", F.lit(True)))
     refined = stage(_best(edges, width), "lists")
     return refined, not refined.where("fresh").isEmpty()
 
 
-def _meet(members: DataFrame, vectors: DataFrame, dims: int, width: int) -> DataFrame:
+def _meet(members: DataFrame, vectors: DataFrame, dims: int, kind: str, width: int) -> DataFrame:
     """(id, other, score) of members (at, member, fresh, bound) that meet at a place: pairs with a fresh one, below the bound.
 
     A place holds at most 2 ``width`` + 1 rows, or a block of the start.
     """
     there = members.join(vectors.withColumnRenamed("id", "member"), "member")
-    places = there.groupBy("at").agg(F.collect_list(F.struct("member", "fresh", "bound", "v")).alias("rows")).select("rows")
+    # rows of a place stand in a row; they come batch by batch, and a place may go on in the next one
+    sorted_ = there.select("at", "member", "fresh", "bound", "norm", "v").repartition("at").sortWithinPartitions("at")
+
+    def place(rows: pa.RecordBatch) -> pa.RecordBatch:
+        ids = np.asarray(rows.column("member"))
+        fresh = rows.column("fresh").to_numpy(zero_copy_only=False)
+        bound = np.asarray(rows.column("bound"))
+        points = np.frombuffer(b"".join(rows.column("v").to_pylist()), dtype=kind).reshape(len(ids), dims).astype("<f8")
+        points = points / np.asarray(rows.column("norm"))[:, None]
+        order = np.argsort(ids)
+        ids, fresh, bound, points = ids[order], fresh[order], bound[order], points[order]
+        # rounding lets copies of a vector tie whatever the order of the sums
+        norms = (points**2).sum(axis=1)
+        score = np.round(np.maximum(norms[:, None] + norms[None, :] - 2 * points @ points.T, 0.0), 12)
+        score[~(fresh[:, None] | fresh[None, :]) | (score > bound[:, None])] = np.inf
+        np.fill_diagonal(score, np.inf)
+        if len(ids) > width:
+            last = np.partition(score, width - 1, axis=1)[:, width - 1 : width]
+            score[score > last] = np.inf
+        a, b = np.nonzero(np.isfinite(score))
+        return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b]), pa.array(score[a, b])], ["id", "other", "score"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for batch in batches:
-            column = batch.column("rows")
-            for i in range(len(column)):
-                held = column[i].values
-                ids = np.asarray(held.field("member"))
-                fresh = held.field("fresh").to_numpy(zero_copy_only=False)
-                bound = np.asarray(held.field("bound"))
-                points = np.frombuffer(b"".join(held.field("v").to_pylist()), dtype="<f8").reshape(len(ids), dims)
-                order = np.argsort(ids)
-                ids, fresh, bound, points = ids[order], fresh[order], bound[order], points[order]
-                # rounding lets copies of a vector tie whatever the order of the sums
-                norms = (points**2).sum(axis=1)
-                score = np.round(np.maximum(norms[:, None] + norms[None, :] - 2 * points @ points.T, 0.0), 12)
-                score[~(fresh[:, None] | fresh[None, :]) | (score > bound[:, None])] = np.inf
-                np.fill_diagonal(score, np.inf)
-                if len(ids) > width:
-                    last = np.sort(score, axis=1)[:, width - 1 : width]
-                    score[score > last] = np.inf
-                a, b = np.nonzero(np.isfinite(score))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[a]), pa.array(ids[b]), pa.array(score[a, b])], ["id", "other", "score"]
-                )
-
-    return places.mapInArrow(run, _MEMBERS)
+            if not batch.num_rows:
+                continue
+            rows = batch if held is None else pa.concat_batches([held, batch])
+            at = np.asarray(rows.column("at"))
+            starts = np.concatenate([[0], np.flatnonzero(at[1:] != at[:-1]) + 1])
+            for start, end in zip(starts[:-1], starts[1:]):
+                yield place(rows.slice(start, end - start))
+            held = rows.slice(starts[-1])
+        if held is not None:
+            yield place(held)
+
+    return sorted_.mapInArrow(run, _MEMBERS)
 
 
 def undirected(edges: DataFrame, key: str, neighbour: str = "neighbour", weight: Column | None = None) -> DataFrame:

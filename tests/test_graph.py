@@ -28,6 +28,32 @@ def test_graph_scores_are_those_of_the_exact_search(spark):
         assert got == exact
 
 
+def test_graph_of_floats_in_small_batches_is_the_exact_one(spark):
+    points = np.random.default_rng(6).normal(size=(50, 3)).astype("f4")
+    df = frame(spark, np.arange(50), points.astype("f8")).select("id", F.col("v").cast("array<float>").alias("v"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        for metric in ("euclidean", "cosine"):
+            got = {(r["id"], r["neighbour"], r["place"]) for r in graph.knn_graph(df, "id", "v", 4, metric).collect()}
+            assert got == set(brute(np.arange(50), points.astype("f8"), 4, metric))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_graph_moves_only_lists_that_hold_something_new(spark, monkeypatch):
+    moved, meet = [], graph._meet
+
+    def counted(members, *rest):
+        moved.append(members.count())
+        return meet(members, *rest)
+
+    monkeypatch.setattr(graph, "_meet", counted)
+    df = frame(spark, np.arange(600), np.random.default_rng(7).normal(size=(600, 8)))
+    graph.knn_graph(df, "id", "v", 4).count()
+    rounds = moved[graph.DIRECTIONS :]
+    assert len(rounds) > 1 and rounds[-1] < rounds[0] / 2
+
+
 def test_graph_of_few_or_no_rows(spark):
     df = frame(spark, np.arange(2), np.eye(2))
     assert sorted((r["id"], r["neighbour"]) for r in graph.knn_graph(df, "id", "v", 5).collect()) == [(0, 1), (1, 0)]
