@@ -87,9 +87,12 @@ def home_metrics(views: DataFrame, lookup: DataFrame, roster: DataFrame, months:
 
 
 def item_language_views(site_views: DataFrame, lookup: DataFrame) -> DataFrame:
-    """(item, lang, month, views) from the views per (site, title, month)."""
+    """(item, lang, month, views) from views by (site, title, month), summed or not.
+
+    The lookup is unique and far smaller than the views, so each task hashes its share instead of sorting both.
+    """
     return (
-        site_views.join(lookup, ["site", "title"])
+        site_views.join(lookup.hint("shuffle_hash"), ["site", "title"])
         .groupBy("item", "lang", "month")
         .agg(F.sum("views").alias("views"))
     )
@@ -98,10 +101,11 @@ def item_language_views(site_views: DataFrame, lookup: DataFrame) -> DataFrame:
 def global_metrics(item_views: DataFrame, months: list[str], home: str = "en") -> DataFrame:
     """Metrics over all languages plus the leading language and the home share.
 
-    Sums per (item, lang) come first; the second aggregate works on those. Equal
-    language totals go to the smaller code.
+    ``item_views`` has one row per (item, lang, month), so an item is a few thousand rows at most and
+    one shuffle on the item serves the sums per (item, lang) and those per item. Equal language totals
+    go to the smaller code.
     """
-    per_lang = monthly_matrix(item_views, months, ("item", "lang"))
+    per_lang = monthly_matrix(item_views.repartition("item"), months, ("item", "lang"))
     columns = [month_column(m) for m in months]
     total = reduce(Column.__add__, [F.col(c) for c in columns])
     per_item = (

@@ -59,12 +59,13 @@ def item_views(
 ) -> DataFrame:
     """(item, lang, month, views) of the roster from raw lines of all editions.
 
-    A Bloom filter of the lookup drops most other titles in the scan, so only those of the roster are summed.
+    A Bloom filter of the lookup drops most other titles in the scan. What is left meets the lookup in the one shuffle
+    of titles and is summed by item behind it; adaptive execution cuts a title of very many lines into pieces there.
     """
     links = dumps.roster_sitelinks(sitelinks, crawled)
     lookup = stage(redirects.site_lookup(links, redirect_map), "site-lookup")
     wanted = bloom.key_filter(lookup, "site", "title")
-    return ranking.item_language_views(dumps.all_site_views(lines, wanted=wanted), lookup)
+    return ranking.item_language_views(dumps.all_site_views(lines, wanted=wanted, summed=False), lookup)
 
 
 def rank_global(

@@ -85,23 +85,27 @@ def home_views(lines: DataFrame, keys: tuple[str, ...] = ("month",), wiki: str =
 
 
 def all_site_views(
-    lines: DataFrame, keys: tuple[str, ...] = ("month",), wanted: Callable[[Column, Column], Column] | None = None
+    lines: DataFrame,
+    keys: tuple[str, ...] = ("month",),
+    wanted: Callable[[Column, Column], Column] | None = None,
+    summed: bool = True,
 ) -> DataFrame:
-    """Views per (site, title) of every language edition, summed before any join.
+    """Views per (site, title) of every language edition, one row per title unless ``summed`` is false.
 
-    ``wanted`` may rule out titles by (site, title) before they are summed and shuffled.
+    ``wanted`` may rule out titles by (site, title) before they are summed and shuffled. Without the sums a
+    title keeps a row per line, for a join whose result is summed: its titles are shuffled once, not twice.
     """
     kept = _fields(lines.where(F.col("value").rlike(ANY_WIKI)))
     if wanted is not None:
         # out of a generator again, or the test would work out site and title once per use it makes of them
         named = F.struct("lang", "title", "views", site_of_wiki(F.col("lang")).alias("site"))
         kept = kept.select(*keys, F.explode(F.array(named)).alias("_named"))
-        kept = kept.where(wanted(F.col("_named.site"), F.col("_named.title"))).select(*keys, "_named.lang", "_named.title", "_named.views")
-    return (
-        kept.groupBy(*keys, "lang", "title")
-        .agg(F.sum("views").alias("views"))
-        .withColumn("site", site_of_wiki(F.col("lang")))
-    )
+        kept = kept.where(wanted(F.col("_named.site"), F.col("_named.title"))).select(*keys, "_named.*")
+    if summed:
+        kept = kept.groupBy(*keys, "lang", "title").agg(F.sum("views").alias("views"))
+    elif wanted is not None:
+        return kept
+    return kept.withColumn("site", site_of_wiki(F.col("lang")))
 
 
 def _tuples(lines: DataFrame, pattern: str) -> DataFrame:

@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from renown.operators import bloom, facets, neighbours, regions
+from renown.operators import bloom, facets, neighbours, ranking, regions
+from renown.plans import attention
 from renown.sources import dumps
 from workload import roles
 
@@ -22,6 +23,29 @@ def test_the_key_test_works_on_finished_titles(spark):
     assert tests and not any("replace(" in line or "substring" in line for line in tests)
 
 
+def physical(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_titles_of_all_editions_are_shuffled_once(spark):
+    text = ["en.wikipedia a 1 desktop 5 A1", "en.wikipedia a 1 mobile-web 2 A1", "en.wikipedia b 1 desktop 3 A1"]
+    text += ["gsw.wikipedia a 1 desktop 4 A1", "als.wikipedia a 1 desktop 1 A1", "en.wikipedia other 1 desktop 9 A1"]
+    lines = spark.createDataFrame([(t, m) for t in text for m in ("01", None)], "value string, month string")
+    crawled = spark.createDataFrame([("Q1",), (None,)], "qid string")
+    links = spark.createDataFrame([(1, 1, "enwiki", "a"), (2, 1, "alswiki", "a"), (3, 2, "enwiki", "other")], "row_id long, item long, site string, title string")
+    hops = spark.createDataFrame([("b", "a")], "source_title string, target_title string")
+    views = attention.item_views(lines, crawled, links, hops)
+    expected = {(1, lang, m, n) for lang, n in (("en", 10), ("gsw", 4), ("als", 1)) for m in ("01", None)}
+    shuffles = [line for line in physical(views).splitlines() if "Exchange hashpartitioning" in line and "title" in line]
+    assert len(shuffles) == 2 and all("hashpartitioning(site" in line for line in shuffles)
+    assert {tuple(r) for r in views.collect()} == expected
+
+
+def test_sums_per_language_and_item_share_a_shuffle(spark):
+    views = spark.createDataFrame([(1, "en", "01", 2), (1, "de", "01", 3)], "item long, lang string, month string, views long")
+    assert physical(ranking.global_metrics(views, ["01", "02"])).count("Exchange hashpartitioning") == 1
+
+
 def test_parts_are_dealt_over_tasks_before_they_become_sitelinks(spark, tmp_path):
     rows = [(i, f"part {i}", "SMALL") for i in range(200)] + [(None, "none", "SMALL"), (3, None, "SMALL")]
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")

@@ -93,7 +93,7 @@ ROSTER = """roster AS (
 
 
 def ship_month() -> Column:
-    return F.date_format("l_shipdate", "MM")
+    return F.lpad(F.month("l_shipdate").cast("string"), 2, "0")
 
 
 def title_views(spark: SparkSession, sf_dir: str) -> DataFrame:
