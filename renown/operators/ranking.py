@@ -86,26 +86,25 @@ def home_metrics(views: DataFrame, lookup: DataFrame, roster: DataFrame, months:
     return fame_metrics(filled, months)
 
 
-def item_language_views(site_views: DataFrame, lookup: DataFrame) -> DataFrame:
+def item_language_views(site_views: DataFrame, lookup: DataFrame, summed: bool = True) -> DataFrame:
     """(item, lang, month, views) from views by (site, title, month), summed or not.
 
     The lookup is unique and far smaller than the views, so each task hashes its share instead of sorting both.
+    Unless ``summed``, there is a row per row of ``site_views``, for ``global_metrics`` to add up.
     """
-    return (
-        site_views.join(lookup.hint("shuffle_hash"), ["site", "title"])
-        .groupBy("item", "lang", "month")
-        .agg(F.sum("views").alias("views"))
-    )
+    credited = site_views.join(lookup.hint("shuffle_hash"), ["site", "title"]).select("item", "lang", "month", "views")
+    return credited.groupBy("item", "lang", "month").agg(F.sum("views").alias("views")) if summed else credited
 
 
-def global_metrics(item_views: DataFrame, months: list[str], home: str = "en") -> DataFrame:
+def global_metrics(item_views: DataFrame, months: list[str], home: str = "en", summed: bool = True) -> DataFrame:
     """Metrics over all languages plus the leading language and the home share.
 
     ``item_views`` has one row per (item, lang, month), so an item is a few thousand rows at most and
-    one shuffle on the item serves the sums per (item, lang) and those per item. Equal language totals
-    go to the smaller code.
+    one shuffle on the item serves the sums per (item, lang) and those per item. Unless ``summed``, it has any
+    number of them: they become one row of months per (item, lang) in every task before they are shuffled.
+    Equal language totals go to the smaller code.
     """
-    per_lang = monthly_matrix(item_views.repartition("item"), months, ("item", "lang"))
+    per_lang = monthly_matrix(item_views.repartition("item") if summed else item_views, months, ("item", "lang"))
     columns = [month_column(m) for m in months]
     total = reduce(Column.__add__, [F.col(c) for c in columns])
     per_item = (

@@ -55,9 +55,9 @@ def rank_stored(
 
 
 def item_views(
-    lines: DataFrame, crawled: DataFrame, sitelinks: DataFrame, redirect_map: DataFrame
+    lines: DataFrame, crawled: DataFrame, sitelinks: DataFrame, redirect_map: DataFrame, summed: bool = True
 ) -> DataFrame:
-    """(item, lang, month, views) of the roster from raw lines of all editions.
+    """(item, lang, month, views) of the roster from raw lines of all editions, a row per line unless ``summed``.
 
     A Bloom filter of the lookup drops most other titles in the scan. What is left meets the lookup in the one shuffle
     of titles and is summed by item behind it; adaptive execution cuts a title of very many lines into pieces there.
@@ -65,12 +65,12 @@ def item_views(
     links = dumps.roster_sitelinks(sitelinks, crawled)
     lookup = stage(redirects.site_lookup(links, redirect_map), "site-lookup")
     wanted = bloom.key_filter(lookup, "site", "title")
-    return ranking.item_language_views(dumps.all_site_views(lines, wanted=wanted, summed=False), lookup)
+    return ranking.item_language_views(dumps.all_site_views(lines, wanted=wanted, summed=False), lookup, summed)
 
 
 def rank_global(
-    item_language_views: DataFrame, home_ranked: DataFrame, months: list[str], k: int | None = None
+    item_language_views: DataFrame, home_ranked: DataFrame, months: list[str], k: int | None = None, summed: bool = True
 ) -> DataFrame:
-    """Rank by the views of all editions together; with ``k`` the first k only."""
-    metrics = ranking.global_metrics(item_language_views, months)
+    """Rank by the views of all editions together; with ``k`` the first k only. ``summed`` is that of ``item_views``."""
+    metrics = ranking.global_metrics(item_language_views, months, summed=summed)
     return ranking.global_ranking(metrics, home_ranked, k)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from renown.operators import bloom, facets, neighbours, ranking, regions
 from renown.plans import attention
 from renown.sources import dumps
-from workload import roles
+from workload import attention as workload_attention
+from workload import cutoffs, roles
 
 
 def plan(df):
@@ -46,6 +47,27 @@ def test_sums_per_language_and_item_share_a_shuffle(spark):
     assert physical(ranking.global_metrics(views, ["01", "02"])).count("Exchange hashpartitioning") == 1
 
 
+def test_views_by_language_are_summed_by_month_before_they_are_shuffled(spark):
+    text = ["en.wikipedia a 1 desktop 5 A1", "en.wikipedia a 1 mobile-web 2 A1", "en.wikipedia b 1 desktop 3 A1", "gsw.wikipedia a 1 desktop 4 A1"]
+    lines = spark.createDataFrame([(t, m) for t in text for m in ("01", "02", "03", None)], "value string, month string")
+    crawled = spark.createDataFrame([("Q1",), (None,)], "qid string")
+    links = spark.createDataFrame([(1, 1, "enwiki", "a"), (2, 1, "alswiki", "a")], "row_id long, item long, site string, title string")
+    hops = spark.createDataFrame([("b", "a")], "source_title string, target_title string")
+    parts = [attention.item_views(lines, crawled, links, hops, summed) for summed in (True, False)]
+    summed, raw = (ranking.global_metrics(views, ["01", "02"], summed=summed) for summed, views in zip((True, False), parts))
+    moved = [line.split("ENSURE")[0] for line in physical(raw).splitlines() if "Exchange hashpartitioning(" in line]
+    assert sum("lang#" in line for line in moved) == 1 and not any("month#" in line for line in moved)
+    assert [tuple(r) for r in raw.collect()] == [tuple(r) for r in summed.collect()]
+    assert (raw.first()["total_views"], raw.first()["top_lang"], parts[1].count()) == (28, "en", 16)
+
+
+def test_the_registered_rankings_shuffle_no_sums_by_month(spark, tables, monkeypatch):
+    seen, real = [], ranking.global_metrics
+    monkeypatch.setattr(ranking, "global_metrics", lambda views, *a, **k: seen.append(views) or real(views, *a, **k))
+    cutoffs.top_world(spark, tables), cutoffs.both_rankings(spark, tables), workload_attention.global_ranked(spark, tables)
+    assert len(seen) == 3 and not any("Aggregate" in plan(views).split("Join")[0] for views in seen)
+
+
 def test_parts_are_dealt_over_tasks_before_they_become_sitelinks(spark, tmp_path):
     rows = [(i, f"part {i}", "SMALL") for i in range(200)] + [(None, "none", "SMALL"), (3, None, "SMALL")]
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_type string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")

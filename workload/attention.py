@@ -31,12 +31,13 @@ def dump_invalid_bytes(spark: SparkSession, sf: str) -> DataFrame:
     return dumps.home_views(read)
 
 
-def item_views(spark: SparkSession, sf: str) -> DataFrame:
+def item_views(spark: SparkSession, sf: str, summed: bool = True) -> DataFrame:
     return attention.item_views(
         roles.dump_lines(spark, sf),
         roles.crawled(spark, sf),
         roles.sitelinks(spark, sf),
         roles.redirects(spark, sf),
+        summed,
     )
 
 
@@ -124,7 +125,7 @@ def rank_available_months(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def global_ranked(spark: SparkSession, sf: str) -> DataFrame:
-    return attention.rank_global(item_views(spark, sf), home_ranked(spark, sf), MONTHS)
+    return attention.rank_global(item_views(spark, sf, summed=False), home_ranked(spark, sf), MONTHS, summed=False)
 
 
 GLOBAL_COLUMNS = [

@@ -66,7 +66,7 @@ def zero_median(spark: SparkSession, sf: str) -> DataFrame:
 
 def both_rankings(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     home = attention.home_ranked(spark, sf)
-    world = attention.attention.rank_global(attention.item_views(spark, sf), home, MONTHS)
+    world = attention.attention.rank_global(attention.item_views(spark, sf, summed=False), home, MONTHS, summed=False)
     return home, world
 
 
@@ -93,7 +93,7 @@ def describe_share(spark: SparkSession, sf: str) -> DataFrame:
 
 def top_world(spark: SparkSession, sf: str) -> DataFrame:
     home = attention.home_ranked(spark, sf)
-    return attention.attention.rank_global(attention.item_views(spark, sf), home, MONTHS, TOP_N)
+    return attention.attention.rank_global(attention.item_views(spark, sf, summed=False), home, MONTHS, TOP_N, summed=False)
 
 
 def top_language_counts(spark: SparkSession, sf: str) -> DataFrame:
