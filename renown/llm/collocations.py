@@ -15,7 +15,7 @@ pairs are rare, so fingerprints of the pairs are added up first and only what th
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -44,20 +44,39 @@ _GAPS[[32, 9]] = True
 _CHUNK = "chunk long, lang string, n long, size long, places binary, grams binary"
 
 
+def _planes(name: str, rows: np.ndarray) -> dict[str, np.ndarray]:
+    """Rows of bytes as a column per byte: what compresses well is not mixed with what does not."""
+    return {f"{name}{k}": np.ascontiguousarray(rows[:, k]) for k in range(rows.shape[1])}
+
+
+def _rows(table: pa.Table, name: str, width: int) -> np.ndarray:
+    """Rows of bytes from ``_planes``."""
+    return np.stack([table.column(f"{name}{k}").to_numpy() for k in range(width)], 1).astype(np.uint8, copy=False)
+
+
 def _places(places: np.ndarray) -> bytes:
-    return to_blob(pa.table([pa.array(places.astype(np.int32))], ["place"]))
+    rows = (places + 1).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return to_blob(pa.table(_planes("place", rows)))
+
+
+def _placed(blob: bytes) -> np.ndarray:
+    return _rows(from_blob(blob), "place", 4).view("<u4").ravel().astype(np.int32) - 1
 
 
 def _numbered(chunk: int, lang: str, texts: list[bytes]) -> pa.RecordBatch:
-    """A chunk as numbers of its distinct words, with -1 where a piece ends."""
+    """A chunk as numbers of its distinct words, frequent ones first, with -1 where a piece ends."""
     buffer = Buffer(texts, lower=True)
     start, end, _ = buffer.words(_GAPS)
     coded = gather(buffer.raw, start, end).dictionary_encode()
     word = coded.indices.to_numpy()
     pieces = np.cumsum(_BREAKS[buffer.raw])
     apart = np.flatnonzero(np.diff(pieces[start])) + 1
-    grams = pa.table([coded.dictionary, pa.array(np.bincount(word, minlength=len(coded.dictionary)))], ["key", "n"])
-    return _row(chunk, lang, len(word), np.insert(word, apart, -1), grams)
+    count = np.bincount(word, minlength=len(coded.dictionary))
+    order = np.argsort(-count, kind="stable")
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order))
+    grams = pa.table([coded.dictionary.take(pa.array(order)), pa.array(count[order])], ["key", "n"])
+    return _row(chunk, lang, len(word), np.insert(number[word], apart, -1), grams)
 
 
 def _row(chunk: int, lang: str, n: int, places: np.ndarray, grams: pa.Table) -> pa.RecordBatch:
@@ -87,6 +106,21 @@ def _cut(chunk_bytes: int):
     return tidy(run)
 
 
+def _phrases(left: np.ndarray, right: np.ndarray, n: np.ndarray, forward: np.ndarray, backward: np.ndarray) -> pa.Table:
+    """The phrases of a chunk as they are kept, the bytes of long numbers apart."""
+    parts = [_planes(c, np.ascontiguousarray(x, kind).view(np.uint8).reshape(len(x), int(kind[2]))) for c, x, kind in (("left", left, "<i8"), ("right", right, "<i8"), ("sb", backward, "<i4"))]
+    return pa.table(parts[0] | parts[1] | parts[2] | {"n": n.astype(np.int32), "pb": forward.astype(np.int32)})
+
+
+def _grams(blob: bytes) -> pa.Table:
+    """The words of a chunk, or its phrases: left, right, n, pb, sb."""
+    table = from_blob(blob)
+    if "key" in table.column_names:
+        return table
+    parts = [_rows(table, c, 8).view("<i8").ravel() for c in ("left", "right")]
+    return pa.table({"left": parts[0], "right": parts[1], "n": table.column("n"), "pb": table.column("pb"), "sb": _rows(table, "sb", 4).view("<i4").ravel()})
+
+
 def _keys(table: pa.Table) -> pa.Array:
     """Keys of the phrases of a chunk: words as they are, longer ones by the numbers of their two parts."""
     if "key" in table.column_names:
@@ -95,17 +129,35 @@ def _keys(table: pa.Table) -> pa.Array:
     return _bytes(parts.astype(">i8").view(np.uint8).reshape(len(parts), 16))
 
 
-def _asked(buckets: int, slices: int):
+def _laid_out(asked: pa.Table, width: int) -> pa.Table:
+    """What is asked of a bucket as it travels: steps instead of places, and keys of ``width`` bytes by byte (0: as they are)."""
+    columns = {"n": asked.column("n"), "step": np.diff(asked.column("local").to_numpy(), prepend=0)}
+    if not width:
+        return pa.table({"key": asked.column("key"), **columns})
+    key = asked.column("key").combine_chunks()
+    raw = np.frombuffer(key.buffers()[2], np.uint8)[key.offset * width : (key.offset + len(key)) * width]
+    return pa.table(_planes("key", raw.reshape(-1, width)) | columns)
+
+
+def _asked_of(blob: bytes) -> pa.Table:
+    """(key, n, local) from ``_laid_out``."""
+    table = from_blob(blob)
+    width = sum(c.startswith("key") for c in table.column_names)
+    key = table.column("key") if "key" in table.column_names else _bytes(_rows(table, "key", width))
+    return pa.table([key, table.column("n"), np.cumsum(table.column("step").to_numpy())], ["key", "n", "local"])
+
+
+def _asked(buckets: int, slices: int, phrases: bool):
     """Rows (lang, chunk, grams, masks, new, old) to one row for each bucket.
 
     Where there are masks, only what the count of fingerprints lets through is asked for; where there are
-    bounds, only what belongs to the batch between the lines ``new`` and ``old``.
+    bounds, only what belongs to the batch between the lines ``new`` and ``old``. ``phrases`` have keys of one width.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, chunk, grams, masks, new, old in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2), *(batch.column(k).to_pylist() for k in (3, 4, 5))):
-                table = from_blob(grams.as_py())
+                table = _grams(grams.as_py())
                 local = np.arange(table.num_rows)
                 if masks is not None:
                     slice_, _, order = _dealt(table, slices)
@@ -116,12 +168,13 @@ def _asked(buckets: int, slices: int):
                     continue
                 table = table.take(pa.array(local))
                 key = _keys(table)
+                width = len(key[0].as_py()) if phrases else 0
                 offsets = np.frombuffer(key.buffers()[1], np.int32)[key.offset : key.offset + len(key) + 1].astype(np.int64)
                 bucket = (byte_hashes(np.frombuffer(key.buffers()[2], np.uint8), offsets[:-1], offsets[1:]) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 sent = pa.table([key, table.column("n"), pa.array(local.astype(np.int32))], ["key", "n", "local"]).take(pa.array(order))
                 goes, starts = np.unique(bucket[order], return_index=True)
-                blobs = [to_blob(sent.slice(a, b - a)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
+                blobs = [to_blob(_laid_out(sent.slice(a, b - a), width)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
                 columns = [pa.array([lang] * len(goes), pa.string()), pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(blobs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "bucket", "chunk", "blob"])
 
@@ -134,27 +187,28 @@ def _let_through(slices: np.ndarray, order: np.ndarray, mask: dict) -> np.ndarra
 
 
 def _dealt(table: pa.Table, slices: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slice and fingerprint of each phrase, and the order in which they travel."""
+    """Slice and cell of each phrase, and the order in which they travel."""
     left, right = (table.column(c).to_numpy().astype(np.uint64) for c in ("left", "right"))
     name = mix(mix(left + np.uint64(1)) ^ right)
-    slice_, print_ = (name % np.uint64(slices)).astype(np.int64), name >> np.uint64(32)
-    return slice_, print_, np.lexsort((print_, slice_))
+    slice_, cell = (name % np.uint64(slices)).astype(np.int64), ((name >> np.uint64(32)) % np.uint64(CELLS)).astype(np.int64)
+    return slice_, cell, np.lexsort((cell, slice_))
 
 
 def _prints(slices: int):
-    """Rows (lang, chunk, grams) to the fingerprints of their phrases and how often each occurs, by slice."""
+    """Rows (lang, chunk, grams) to the cells of their phrases and how often each occurs, by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lang, chunk, grams in zip(*(batch.column(k).to_pylist() for k in (0, 1)), batch.column(2)):
-                table = from_blob(grams.as_py())
+                table = _grams(grams.as_py())
                 if not table.num_rows:
                     continue
-                slice_, print_, order = _dealt(table, slices)
+                slice_, cell, order = _dealt(table, slices)
                 goes, starts = np.unique(slice_[order], return_index=True)
-                step = np.diff(print_[order].astype(np.int64), prepend=0)
-                step[starts] = print_[order[starts]]
-                sent = pa.table([pa.array(step), table.column("n").take(pa.array(order))], ["step", "n"])
+                step = np.diff(cell[order], prepend=0)
+                step[starts] = cell[order[starts]]
+                numbers = np.stack([step, table.column("n").to_numpy()[order]], 1).astype("<u4")
+                sent = pa.table(_planes("byte", numbers.view(np.uint8)))
                 blobs = [to_blob(sent.slice(a, b - a)) for a, b in zip(starts, np.append(starts[1:], len(order)))]
                 columns = [pa.array([lang] * len(goes), pa.string()), pa.array(goes), pa.array(np.full(len(goes), chunk)), pa.array(blobs, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "slice", "chunk", "blob"])
@@ -163,23 +217,32 @@ def _prints(slices: int):
 
 
 def _reached(least: int):
-    """Rows (lang, slice, phase, chunk, blob) in order: phase 0 adds up in cells, phase 1 is told which cells reach ``least``."""
+    """Rows (lang, slice, chunk, blob) in order to what each chunk is told: which of its cells reach ``least``.
+
+    The blobs of a slice are held until they are added up; a slice is made for ``SLICE_WORDS`` words, so they are few.
+    """
+
+    def opened(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+        numbers = _rows(from_blob(blob), "byte", 8).view("<u4").astype(np.int64)
+        return np.cumsum(numbers[:, 0]), numbers[:, 1]
+
+    def told(slice_: int, cells: np.ndarray, held: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+        for chunk, blob in held:
+            mask = cells[opened(blob)[0]] >= least
+            if mask.any():
+                columns = [pa.array([chunk], pa.int64()), pa.array([slice_], pa.int64()), pa.array([np.packbits(mask).tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "slice", "mask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, cells = None, np.empty(0)
+        current, cells, held = (None, 0), np.empty(0), []
         for batch in batches:
-            for lang, slice_, phase, chunk, blob in zip(*(c.to_pylist() for c in batch.columns)):
+            for lang, slice_, chunk, blob in zip(*(c.to_pylist() for c in batch.columns)):
                 if (lang, slice_) != current:
-                    current, cells = (lang, slice_), np.zeros(CELLS, np.int64)
-                table = from_blob(blob)
-                cell = np.cumsum(table.column("step").to_numpy()) % CELLS
-                if phase == 0:
-                    np.add.at(cells, cell, table.column("n").to_numpy())
-                    continue
-                mask = cells[cell] >= least
-                if mask.any():
-                    columns = [pa.array([chunk], pa.int64()), pa.array([slice_], pa.int64()), pa.array([np.packbits(mask).tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["chunk", "slice", "mask"])
+                    yield from told(current[1], cells, held)
+                    current, cells, held = (lang, slice_), np.zeros(CELLS, np.int64), []
+                np.add.at(cells, *opened(blob))
+                held.append((chunk, blob))
+        yield from told(current[1], cells, held)
 
     return tidy(run)
 
@@ -190,19 +253,19 @@ def _fresh(forward: np.ndarray, backward: np.ndarray, new: int, old: int) -> np.
     return (best >= new) & (best < old)
 
 
-def _added(table: pa.Table) -> pa.Table:
-    summed = pa.concat_tables([from_blob(b).select(["key", "n"]) for b in table.column("blob").to_pylist()]).group_by("key").aggregate([("n", "sum")])
+def _added(table: pa.Table, read: Callable[[bytes], pa.Table]) -> pa.Table:
+    summed = pa.concat_tables([read(b).select(["key", "n"]) for b in table.column("blob").to_pylist()]).group_by("key").aggregate([("n", "sum")])
     return summed.rename_columns({"n_sum": "n"})
 
 
 def _merged(table: pa.Table) -> pa.Table:
     head = table.slice(0, 1).select(["lang", "bucket"])
-    return head.append_column("blob", pa.array([to_blob(_added(table).select(["key", "n"]))], pa.binary()))
+    return head.append_column("blob", pa.array([to_blob(_added(table, _asked_of).select(["key", "n"]))], pa.binary()))
 
 
 def _frequent(least: int):
     def run(table: pa.Table) -> pa.Table:
-        summed = _added(table)
+        summed = _added(table, from_blob)
         summed = summed.filter(pc.greater_equal(summed.column("n"), least)).sort_by("key")
         bucket, count = table.column("bucket")[0].as_py(), summed.num_rows
         ids = (np.uint64(bucket << 32) + np.arange(count, dtype=np.uint64)).astype(">u8")
@@ -221,12 +284,14 @@ def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (chunk, blob asked, frequent phrases of the bucket) to what the chunk is told."""
     for batch in batches:
         for chunk, blob, known in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-            asked, known = from_blob(blob.as_py()), known.values
+            asked, known = _asked_of(blob.as_py()), known.values
             at = pc.index_in(asked.column("key").combine_chunks().cast(pa.binary()), value_set=known.field("key"))
             found = pc.is_valid(at)
             rows = known.take(at.filter(found))
-            reply = pa.table([asked.column("local").filter(found), rows.field("id"), rows.field("pb"), rows.field("sb")], ["local", "id", "pb", "sb"])
-            if reply.num_rows:
+            if len(rows):
+                ids = np.frombuffer(b"".join(rows.field("id").to_pylist()), np.uint8).reshape(-1, 8)
+                step = np.diff(asked.column("local").filter(found).to_numpy(), prepend=0)
+                reply = pa.table({"step": step, **_planes("id", ids), "pb": rows.field("pb"), "sb": rows.field("sb")})
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([to_blob(reply)], pa.binary())], ["chunk", "reply"])
 
 
@@ -235,8 +300,8 @@ def _heard(replies: list[bytes] | None, count: int) -> tuple[np.ndarray, np.ndar
     ids, forward, backward = np.zeros(count, np.int64), np.full(count, -1, np.int64), np.full(count, -1, np.int64)
     for blob in replies or []:
         table = from_blob(blob)
-        local = table.column("local").to_numpy()
-        ids[local] = np.frombuffer(b"".join(table.column("id").to_pylist()), ">i8")
+        local = np.cumsum(table.column("step").to_numpy())
+        ids[local] = _rows(table, "id", 8).view(">i8").ravel()
         forward[local], backward[local] = table.column("pb").to_numpy(), table.column("sb").to_numpy()
     return ids, forward, backward
 
@@ -264,22 +329,20 @@ def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (chunk, lang, n, size, places, replies) to the chunks of phrases one word longer."""
     for batch in batches:
         for chunk, lang, n, count, places, replies in zip(*(batch.column(k).to_pylist() for k in range(4)), batch.column(4), batch.column(5).to_pylist()):
-            places = from_blob(places.as_py()).column("place").to_numpy()
+            places = _placed(places.as_py())
             ids, forward, backward = _heard(replies, count)
             left, right = places[:-1], places[1:]
             alive = np.append(forward >= 0, False)  # the last is for -1
             longer, left, right, times = grown(places, alive[left] & alive[right], count)
-            numbers = [ids[left], ids[right], times.astype(np.int32), forward[left].astype(np.int32), backward[right].astype(np.int32)]
-            table = pa.table([pa.array(x) for x in numbers], ["left", "right", "n", "pb", "sb"])
-            yield _row(chunk, lang, n, longer, table)
+            yield _row(chunk, lang, n, longer, _phrases(ids[left], ids[right], times, forward[left], backward[right]))
 
 
 def _longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (chunk, lang, places, grams, replies, new, old) of three words to the four-word phrases of the batch."""
     for batch in batches:
         for chunk, lang, places, grams, replies, new, old in zip(*(batch.column(k).to_pylist() for k in (0, 1)), *(batch.column(k) for k in (2, 3)), *(batch.column(k).to_pylist() for k in (4, 5, 6))):
-            places = from_blob(places.as_py()).column("place").to_numpy()
-            known = from_blob(grams.as_py())
+            places = _placed(places.as_py())
+            known = _grams(grams.as_py())
             first, second = (known.column(c).to_numpy() for c in ("left", "right"))
             _, forward, backward = _heard(replies, known.num_rows)
             left, right = places[:-1], places[1:]
@@ -325,20 +388,19 @@ class _Counter:
     slices: int
     parts: int
 
-    def ask(self, rows: DataFrame, new: Column | None = None, old: Column | None = None, masks: Column | None = None) -> DataFrame:
+    def ask(self, rows: DataFrame, new: Column | None = None, old: Column | None = None, masks: Column | None = None, phrases: bool = True) -> DataFrame:
         none = F.lit(None).cast("array<struct<slice:bigint,mask:binary>>")
         columns = [none if masks is None else masks, F.lit(0).cast("bigint") if new is None else new, F.lit(_TOP).cast("bigint") if old is None else old]
         asked = rows.select("lang", "chunk", "grams", *[c.alias(n) for c, n in zip(columns, ("masks", "new", "old"))])
-        return stage(asked.mapInArrow(_asked(self.buckets, self.slices), "lang string, bucket long, chunk long, blob binary"), "phrase-asked")
+        return stage(asked.mapInArrow(_asked(self.buckets, self.slices, phrases), "lang string, bucket long, chunk long, blob binary"), "phrase-asked")
 
     def masks(self, rows: DataFrame) -> DataFrame:
         """Which phrases of each chunk may occur ``least`` times: (chunk, masks).
 
-        Fingerprints are added up in cells, which never count too little; two thirds less travel than with the phrases.
+        Phrases are added up in cells, which never count too little; their cells travel once, and far less than with the phrases.
         """
-        prints = stage(rows.select("lang", "chunk", "grams").mapInArrow(_prints(self.slices), "lang string, slice long, chunk long, blob binary"), "phrase-prints")
-        both = [prints.select("lang", "slice", F.lit(p).alias("phase"), "chunk", "blob") for p in (0, 1)]
-        dealt = both[0].union(both[1]).repartition(min(self.parts, 4 * self.slices), "lang", "slice").sortWithinPartitions("lang", "slice", "phase")
+        cells = rows.select("lang", "chunk", "grams").mapInArrow(_prints(self.slices), "lang string, slice long, chunk long, blob binary")
+        dealt = cells.repartition(min(self.parts, 4 * self.slices), "lang", "slice").sortWithinPartitions("lang", "slice")
         told = dealt.mapInArrow(_reached(self.least), "chunk long, slice long, mask binary")
         return told.groupBy("chunk").agg(F.collect_list(F.struct("slice", "mask")).alias("masks"))
 
@@ -388,7 +450,7 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", top: i
     words_in_all, parts = total["n"] or 0, max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counter = _Counter(math.ceil(words_in_all / BUCKET_WORDS) or 1, max(1, math.isqrt(total["chunks"])), least, math.ceil(words_in_all / SLICE_WORDS) or 1, parts)
 
-    asked = counter.ask(chunks)
+    asked = counter.ask(chunks, phrases=False)
     words = stage(counter.frequent(asked).withColumns({"pb": F.lit(0), "sb": F.lit(0)}), "phrase-word-counts")
     heard = _gathered(counter.tell(asked, words))
     names = ["chunk", "lang", "n", "size", "places"]

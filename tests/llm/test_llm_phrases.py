@@ -3,8 +3,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from renown.llm import collocations, queries
+from renown.llm.superkmers import to_blob
 from workload.check import compare
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -94,5 +96,28 @@ def test_grown_joins_neighbours():
     assert list(zip(left.tolist(), right.tolist(), n.tolist())) == [(0, 1, 2), (1, 0, 2)]
 
 
+def test_what_travels_is_small_and_whole():
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.zipf(1.3, 20_000) % 30_000).encode() for _ in range(4)]
+    row = collocations._numbered(0, "en", texts).to_pylist()[0]
+    places, words = collocations._placed(row["places"]), collocations._grams(row["grams"])
+    assert [words.column("key")[int(p)].as_py() for p in places if p >= 0] == b" ".join(texts).split()
+    assert len(row["places"]) < 1.7 * len(places)
+    left = np.sort(rng.integers(0, 1 << 40, 50_000))
+    table = collocations._phrases(left, left[::-1], np.ones(50_000, np.int64), left % 7, left % 2_000_000)
+    back = collocations._grams(to_blob(table))
+    assert all((back.column(c).to_numpy() == x).all() for c, x in (("left", left), ("right", left[::-1]), ("n", 1), ("pb", left % 7), ("sb", left % 2_000_000)))
+    batch = pa.table({"lang": ["en"], "chunk": [0], "grams": [to_blob(table)]}).to_batches()[0]
+    sent = list(collocations._prints(2)(iter([batch])))
+    assert sum(len(b) for x in sent for b in x.column("blob").to_pylist()) < 2.2 * 50_000
+
+
+def test_an_empty_chunk_travels():
+    row = collocations._numbered(0, "en", [b""]).to_pylist()[0]
+    assert len(collocations._placed(row["places"])) == 0 and collocations._grams(row["grams"]).num_rows == 0
+    none = np.empty(0, np.int64)
+    assert collocations._grams(to_blob(collocations._phrases(none, none, none, none, none))).num_rows == 0
+
+
 def test_query_matches_sql(spark, tables):
     assert compare(queries.QUERIES["op12_collocations"](spark, tables), tables, queries.ORACLES["op12_collocations"]) == ""
