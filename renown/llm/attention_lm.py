@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ STRIDE = WIDTH - CONTEXT
 DIMS, CLASSES, INPUTS = 16, 128, 512  # INPUTS: input rows at least; a larger vocabulary has one for each unit
 ROUNDS, BATCH = 2, 64  # rounds of training, windows of a step
 _SHARED = 64  # classes shared by the less frequent ids
+_LANE = 8  # positions of one class that the second level works on together
 
 
 @functools.lru_cache(2)
@@ -127,18 +129,23 @@ def _cut_up(path: str, size: int, held_rows: int = 400_000):
 
 
 def _joined(fold: int, held: int):
-    """Put the vocabulary of a chunk beside its texts."""
+    """The texts of a chunk as numbers of its words, looked up here once for all passes, and beside them its vocabulary."""
 
     def run(texts: pa.Table, packed: pa.Table) -> pa.Table:
         chunk, blob = texts.column("chunk")[0].as_py(), texts.column("blob")[0].as_py()
         words = pa.concat_tables([_NO_WORDS, *(from_blob(b) for b in packed.column("words").to_pylist())]).combine_chunks()
         count, mine = words.column("count"), words.column("mine")
-        vocabulary = pa.table([words.column("word"), count, mine, words.column("units")], ["word", "count", "mine", "units"])
+        vocabulary = pa.table([count, mine, words.column("units")], ["count", "mine", "units"])
         new = int((mine.to_numpy(zero_copy_only=False) & (count.to_numpy() > 0)).sum())
-        _, keys, _ = opened(blob)
+        _, keys, found = opened(blob)
         ends = sum(is_training(k, fold, held) for k in keys.to_pylist())
         tokens = int(words.column("n").to_numpy().sum()) + ends
-        row = [[chunk], [blob], [to_blob(vocabulary)], [new], [tokens], [ends]]
+        number = {w: i for i, w in enumerate(words.column("word").to_pylist())}
+        numbers = [np.fromiter(map(number.__getitem__, text.lower().split()), np.int32) for text in found]
+        start = np.concatenate([[0], np.cumsum([len(x) for x in numbers])]).astype(np.int64)
+        numbered = pa.LargeListArray.from_arrays(pa.array(start), pa.array(np.concatenate(numbers)))
+        coded = pa.table([keys, pa.array([len(text) for text in found], pa.int64()), numbered], ["key", "bytes", "words"])
+        row = [[chunk], [to_blob(coded)], [to_blob(vocabulary)], [new], [tokens], [ends]]
         return pa.table(row, _JOINED)
 
     return run
@@ -154,7 +161,6 @@ _JOINED = pa.schema([("chunk", pa.int64()), ("blob", pa.binary()), ("vocabulary"
 class Vocabulary:
     """Words of one chunk with their units laid end to end."""
 
-    words: list[bytes]
     count: np.ndarray
     mine: np.ndarray
     flat: np.ndarray
@@ -163,12 +169,12 @@ class Vocabulary:
     @classmethod
     def read(cls, blob: bytes) -> Vocabulary:
         table = from_blob(blob)
-        parts = table.column("units").to_pylist()
-        start = np.concatenate([[0], np.cumsum([len(p) // 4 for p in parts])]).astype(np.int64)
-        return cls(
-            table.column("word").to_pylist(), table.column("count").to_numpy(), table.column("mine").to_numpy(zero_copy_only=False),
-            np.frombuffer(b"".join(parts), np.int32), start,
-        )
+        parts = table.column("units").cast(pa.large_binary()).combine_chunks()
+        start = np.concatenate([[0], np.cumsum(pc.binary_length(parts).to_numpy() // 4)]).astype(np.int64)
+        _, offsets, data = parts.buffers()
+        low = np.frombuffer(offsets, np.int64)[parts.offset] // 4 if start[-1] else 0
+        flat = np.frombuffer(data, np.int32)[low : low + start[-1]] if start[-1] else np.empty(0, np.int32)
+        return cls(table.column("count").to_numpy(), table.column("mine").to_numpy(zero_copy_only=False), flat, start)
 
 
 def _unit_counts(size: int):
@@ -324,21 +330,24 @@ def initial(counts: Counts, seed: int = 5) -> dict[str, np.ndarray]:
     return {name: value.astype(np.float32) for name, value in w.items()}
 
 
-def forward(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray) -> dict[str, np.ndarray]:
-    """Masked attention over a batch of windows (rows) of input ids."""
+def forward(w: dict[str, np.ndarray], first: np.ndarray, last: np.ndarray, at: np.ndarray | slice = slice(None)) -> dict[str, np.ndarray]:
+    """Masked attention over a batch of windows (rows) of input ids; "hidden" and "logits" are those of the positions ``at``."""
     n = len(first)
     x = w["first"][first] + w["last"][last]
     three = (x.reshape(-1, DIMS) @ w["mix"]).reshape(n, WIDTH, 3, DIMS)
     q, k, v = (np.ascontiguousarray(three[:, :, i]) for i in range(3))
     seen = np.matmul(q, k.transpose(0, 2, 1))
     seen *= DIMS**-0.5
-    seen += np.where(_CAUSAL, w["near"][np.maximum(_BACK, 0)], np.float32(-80.0))
+    seen += w["near"][np.maximum(_BACK, 0)]
     np.minimum(seen, 40.0, out=seen)
     np.exp(seen, out=seen)
+    seen *= _CAUSAL  # nothing, not next to nothing: products of next to nothing are denormal and many times as slow
     seen /= seen.sum(2, keepdims=True)
     hidden = np.matmul(seen, v)
     hidden += x
-    logits = hidden.reshape(-1, DIMS) @ w["out"] + w["bias"]
+    hidden = hidden.reshape(-1, DIMS)[at]
+    logits = hidden @ w["out"]
+    logits += w["bias"]
     return {"x": x, "q": q, "k": k, "v": v, "seen": seen, "hidden": hidden, "logits": logits}
 
 
@@ -350,19 +359,59 @@ def log_shares(logits: np.ndarray, target: np.ndarray) -> np.ndarray:
     return found - np.log(logits.sum(1))
 
 
-def _by_class(target: np.ndarray, slot: np.ndarray, counted: np.ndarray) -> Iterator[np.ndarray]:
-    """Counted positions with a second level, those of one class at a time."""
-    at = np.flatnonzero(counted & (slot >= 0))
-    at = at[np.argsort(target[at], kind="stable")]
-    return iter(np.split(at, np.flatnonzero(np.diff(target[at])) + 1) if len(at) else [])
+@dataclass
+class Lanes:
+    """Positions with a second level, by class in lanes of ``_LANE``; a lane holds all output rows of its class."""
+
+    at: np.ndarray  # positions in the order of their classes
+    cell: np.ndarray  # their places in the lanes, laid end to end
+    rows: np.ndarray  # output rows of each lane, padded to the longest class
+    real: np.ndarray  # which of them are no padding
+    place: np.ndarray  # which of its lane's rows a position aims at
+    heads: np.ndarray  # first lane of each class
+
+    @classmethod
+    def of(cls, target: np.ndarray, slot: np.ndarray, block: np.ndarray) -> Lanes:
+        at = np.flatnonzero(slot >= 0)
+        at = at[np.argsort(target[at], kind="stable")]
+        many = np.bincount(target[at], minlength=len(block) - 1)
+        lanes = -(-many // _LANE)
+        before = np.cumsum(lanes) - lanes
+        klass = np.repeat(np.arange(len(many)), lanes)
+        turn = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
+        rows = block[klass][:, None] + np.arange(np.diff(block).max(initial=0))
+        real = rows < block[klass + 1][:, None]
+        low = block[target[at]]
+        return cls(at, np.repeat(before, many) * _LANE + turn, np.where(real, rows, 0), real, slot[at] - low, before[many > 0])
+
+    def laid(self, values: np.ndarray) -> np.ndarray:
+        """Rows of the positions in their lanes, 0 in cells without one."""
+        found = np.zeros((len(self.rows) * _LANE, values.shape[1]), values.dtype)
+        found[self.cell] = values[self.at]
+        return found.reshape(len(self.rows), _LANE, -1)
+
+    def by_class(self, values: np.ndarray) -> np.ndarray:
+        """Sums over the lanes of each class."""
+        sums = values[self.heads]
+        many = np.diff(self.heads, append=len(values))
+        for turn in range(1, many.max()):
+            more = np.flatnonzero(many > turn)
+            sums[more] += values[self.heads[more] + turn]
+        return sums
 
 
 def fine_shares(w: dict[str, np.ndarray], block: np.ndarray, hidden: np.ndarray, target: np.ndarray, slot: np.ndarray, counted: np.ndarray) -> np.ndarray:
     """Natural log probability of the first unit in its class; 0 where the class is one unit."""
     found = np.zeros(len(target))
-    for at in _by_class(target, slot, counted):
-        low, high = block[target[at[0]]], block[target[at[0]] + 1]
-        found[at] = log_shares(hidden[at] @ w["fine"][low:high].T + w["level"][low:high], slot[at] - low)
+    lanes = Lanes.of(target, np.where(counted, slot, -1), block)
+    if len(lanes.at):
+        logits = np.matmul(lanes.laid(hidden), w["fine"][lanes.rows].transpose(0, 2, 1))
+        logits += w["level"][lanes.rows][:, None]
+        np.clip(logits, -60.0, 60.0, out=logits)
+        aim = logits.reshape(-1, logits.shape[2])[lanes.cell, lanes.place]
+        np.exp(logits, out=logits)
+        logits *= lanes.real[:, None]
+        found[lanes.at] = aim - np.log(logits.sum(2).ravel()[lanes.cell])
     return found
 
 
@@ -371,31 +420,37 @@ def gradients(
     slot: np.ndarray | None = None, block: np.ndarray | None = None,
 ) -> dict:
     """Gradient of the mean loss over the counted positions; that of a table is (rows, gradient of these rows)."""
-    f = forward(w, first, last)
-    n = len(first)
-    total = max(1, counted.sum())
-    p = f["logits"] - f["logits"].max(1, keepdims=True)
+    n, at = len(first), np.flatnonzero(counted)
+    f = forward(w, first, last, at)
+    hidden, p = f["hidden"], f["logits"]
+    target = target.ravel()[at]
+    one = p.dtype.type(1 / max(1, len(at)))
+    if p.size and max(p.max(), -p.min()) > 60:
+        p -= p.max(1, keepdims=True)
     np.exp(p, out=p)
-    p /= p.sum(1, keepdims=True)
-    p[np.arange(p.shape[0]), target.ravel()] -= 1
-    p *= counted.reshape(-1, 1) / total
-    hidden = f["hidden"].reshape(-1, DIMS)
-    dh = p @ w["out"].T
+    p *= one / p.sum(1, keepdims=True)
+    p[np.arange(len(at)), target] -= one
+    some = p @ w["out"].T
     grads = {"out": hidden.T @ p, "bias": p.sum(0)}
     if slot is not None:
         grads |= {"fine": np.zeros_like(w["fine"]), "level": np.zeros_like(w["level"])}
-        for at in _by_class(target.ravel(), slot.ravel(), counted.ravel()):
-            low, high = block[target.ravel()[at[0]]], block[target.ravel()[at[0]] + 1]
-            h = hidden[at]
-            inner = h @ w["fine"][low:high].T + w["level"][low:high]
-            inner -= inner.max(1, keepdims=True)
+        lanes = Lanes.of(target, slot.ravel()[at], block)
+        if len(lanes.at):
+            h, fine = lanes.laid(hidden), w["fine"][lanes.rows]
+            inner = np.matmul(h, fine.transpose(0, 2, 1))
+            inner += np.where(lanes.real, w["level"][lanes.rows], -np.inf)[:, None]
+            inner -= inner.max(2, keepdims=True)
             np.exp(inner, out=inner)
-            inner /= inner.sum(1, keepdims=True)
-            inner[np.arange(len(at)), slot.ravel()[at] - low] -= 1
-            inner /= total
-            grads["fine"][low:high] = inner.T @ h
-            grads["level"][low:high] = inner.sum(0)
-            dh[at] += inner @ w["fine"][low:high]
+            scale = np.zeros((len(lanes.rows) * _LANE, 1), p.dtype)
+            scale[lanes.cell] = one
+            inner *= scale.reshape(-1, _LANE, 1) / inner.sum(2, keepdims=True)
+            inner.reshape(len(scale), -1)[lanes.cell, lanes.place] -= one
+            rows, real = lanes.rows[lanes.heads], lanes.real[lanes.heads]
+            grads["fine"][rows[real]] = lanes.by_class(np.matmul(inner.transpose(0, 2, 1), h))[real]
+            grads["level"][rows[real]] = lanes.by_class(inner.sum(1))[real]
+            some[lanes.at] += np.matmul(inner, fine).reshape(-1, DIMS)[lanes.cell]
+    dh = np.zeros((n * WIDTH, DIMS), some.dtype)
+    dh[at] = some
     dh = dh.reshape(n, WIDTH, DIMS)
     dseen = np.matmul(dh, f["v"].transpose(0, 2, 1))
     dv = np.matmul(f["seen"].transpose(0, 2, 1), dh)
@@ -406,9 +461,10 @@ def gradients(
     dx = dh.reshape(-1, DIMS) + three @ w["mix"].T
     grads["mix"] = f["x"].reshape(-1, DIMS).T @ three
     for name, ids in zip(_TABLES, (first, last)):
-        order = np.argsort(ids, axis=None, kind="stable")
-        rows, starts = np.unique(ids.ravel()[order], return_index=True)
-        grads[name] = rows, np.add.reduceat(dx[order], starts)
+        # sorting numbers of (id, place) is several times as fast as a stable argsort
+        rows, order = np.divmod(np.sort(ids.ravel() * ids.size + np.arange(ids.size)), ids.size)
+        starts = np.flatnonzero(np.diff(rows, prepend=-1))
+        grads[name] = rows[starts], np.add.reduceat(dx[order], starts)
     return grads
 
 
@@ -479,14 +535,14 @@ class Positions:
     slot: np.ndarray | None = None  # output row of the token on the second level, -1 for none
 
 
-def positions(texts: list[bytes], number: dict[bytes, int], v: Vocabulary, klass: np.ndarray, slots: np.ndarray) -> Positions:
-    split = [t.lower().split() for t in texts]
-    lengths = np.fromiter(map(len, split), np.int64, len(split)) + 1
+def positions(texts: list[np.ndarray], v: Vocabulary, klass: np.ndarray, slots: np.ndarray) -> Positions:
+    """Texts are given as vocabulary numbers of their words."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     start = np.concatenate([[0], np.cumsum(lengths)])
     word = np.full(start[-1], -1, np.int64)
     inside = np.ones(start[-1], bool)
     inside[start[1:] - 1] = False
-    word[inside] = np.fromiter((number[w] for words in split for w in words), np.int64, int(inside.sum()))
+    word[inside] = np.concatenate(texts)
     target = np.where(inside, klass[word] if len(klass) else 0, CLASSES - 1)
     slot = np.where(inside, slots[word] if len(slots) else -1, -1)
     # what a position reads is the token before; the first one reads "start", which is id 0
@@ -521,22 +577,23 @@ def _opened(batches: Iterator[pa.RecordBatch], counts: Counts, keep: Callable[[i
     for batch in batches:
         for blob, vocabulary in zip(batch.column(0), batch.column(1)):
             v = Vocabulary.read(vocabulary.as_py())
-            number = {w: i for i, w in enumerate(v.words)}
             klass, slots = counts.classes(v), counts.slots(v)
             inside = counts.inside(v) if spell else None
-            _, keys, texts = opened(blob.as_py())
-            names = keys.to_pylist()
-            at = [i for i, name in enumerate(names) if keep(name)]
+            table = from_blob(blob.as_py())
+            keys, numbered = table.column("key").combine_chunks(), table.column("words").combine_chunks()
+            start, numbers = numbered.offsets.to_numpy(), numbered.values.to_numpy()
+            sizes = table.column("bytes").to_pylist()
+            at = [i for i, name in enumerate(keys.to_pylist()) if keep(name)]
             # a few hundred kilobytes of text at a time
             group, size = [], 0
             for i in at:
                 group.append(i)
-                size += len(texts[i])
+                size += sizes[i]
                 if size > 1 << 19:
-                    yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass, slots)
+                    yield v, inside, keys.take(pa.array(group)), positions([numbers[start[j] : start[j + 1]] for j in group], v, klass, slots)
                     group, size = [], 0
             if group:
-                yield v, inside, keys.take(pa.array(group)), positions([texts[j] for j in group], number, v, klass, slots)
+                yield v, inside, keys.take(pa.array(group)), positions([numbers[start[j] : start[j + 1]] for j in group], v, klass, slots)
 
 
 def _train(counts: Counts, weights: dict[str, np.ndarray], turn: int, fold: int, held: int):
@@ -570,11 +627,10 @@ def _score(counts: Counts, w: dict[str, np.ndarray]):
         for v, inside, keys, p in _opened(batches, counts, lambda key: True, True):
             logs = np.zeros(len(p.target))
             for place, scored in batches_of(p):
-                f = forward(w, p.first[place], p.last[place])
-                target = p.target[place].ravel()
-                found = log_shares(f["logits"], target)
-                found += fine_shares(w, counts.block, f["hidden"].reshape(-1, DIMS), target, p.slot[place].ravel(), scored.ravel())
-                logs[place[scored]] = found[scored.ravel()]
+                f = forward(w, p.first[place], p.last[place], np.flatnonzero(scored))
+                at = place[scored]
+                found = log_shares(f["logits"], p.target[at])
+                logs[at] = found + fine_shares(w, counts.block, f["hidden"], p.target[at], p.slot[at], np.ones(len(at), bool))
             logs /= np.log(10)
             word = p.word >= 0
             logs[word] += inside[p.word[word]]

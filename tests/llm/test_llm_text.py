@@ -294,6 +294,38 @@ def test_gradient_of_the_second_level():
             assert (found[0] - found[1]) / 2e-5 == pytest.approx(grad.ravel()[at], rel=2e-3, abs=1e-6)
 
 
+def test_second_level_equals_class_by_class_however_uneven():
+    """A class with most of the positions, classes with none and classes of different lengths."""
+    rng = np.random.default_rng(8)
+    block = np.concatenate([[0, 0], np.cumsum([3, 1, 7, 4])])
+    w = {"fine": rng.standard_normal((15, attention_lm.DIMS)), "level": rng.standard_normal(15)}
+    target = np.array([1] * 40 + [4] * 3 + [0] * 5 + [3] * 9)
+    slot = np.where(target > 0, block[target] + rng.integers(0, 99, len(target)) % np.maximum(1, np.diff(block)[target]), -1)
+    hidden, counted = rng.standard_normal((len(target), attention_lm.DIMS)), rng.random(len(target)) < 0.8
+    for one_counted in (counted, np.zeros(len(target), bool)):
+        expected = np.zeros(len(target))
+        for i in np.flatnonzero(one_counted & (slot >= 0)):
+            low, high = block[target[i]], block[target[i] + 1]
+            logits = w["fine"][low:high] @ hidden[i] + w["level"][low:high]
+            expected[i] = logits[slot[i] - low] - np.log(np.exp(logits).sum())
+        assert np.allclose(attention_lm.fine_shares(w, block, hidden, target, slot, one_counted), expected)
+    lanes = attention_lm.Lanes.of(target, slot, block)
+    assert lanes.laid(hidden).reshape(-1, attention_lm.DIMS)[lanes.cell].tolist() == hidden[lanes.at].tolist()
+    sums = [hidden[target == c].sum(0) for c in (1, 3, 4)]
+    assert np.allclose(lanes.by_class(lanes.laid(hidden).sum(1)), sums)
+
+
+def test_masked_attention_is_nothing_and_only_asked_positions_get_logits():
+    """Weights next to nothing give denormal products, on which a step took twice as long."""
+    rng = np.random.default_rng(9)
+    w = attention_lm.unflat(rng.standard_normal(sum(int(np.prod(s)) for s in attention_lm._SHAPES.values())) * 0.3)
+    first, last = (rng.integers(0, attention_lm.INPUTS, (3, attention_lm.WIDTH)) for _ in range(2))
+    whole, at = attention_lm.forward(w, first, last), np.array([0, 5, 40, 95])
+    assert not whole["seen"][:, ~attention_lm._CAUSAL].any()
+    some = attention_lm.forward(w, first, last, at)
+    assert np.allclose(some["logits"], whole["logits"][at]) and len(some["logits"]) == 4
+
+
 def test_every_token_is_trained_on(monkeypatch):
     seen = []
     monkeypatch.setattr(attention_lm.Adam, "step", lambda self, grads: None)
