@@ -1,13 +1,16 @@
 import hashlib
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from renown.llm import queries, setsketch, substring_dedup, suffix_dedup
 from renown.llm.components import components
+from renown.llm.superkmers import byte_runs, to_blob
 
 
 def sequence(rng, n, alphabet):
@@ -199,3 +202,66 @@ def test_structured_words_are_not_taken_for_each_other(spark):
     close = [(1, f"{one} x y z"), (2, f"{two} x y z")]
     found = setsketch.near_duplicates(spark.createDataFrame(close, "doc_id long, text string"), n=3, percent=40).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == {1: 1, 2: 2}
+
+
+def test_equal_windows_keep_their_lead_where_places_turn():
+    """A passage with equal short stretches lies once early and once across place 2**20 of a piece."""
+    rng = np.random.default_rng(5)
+    raw = rng.integers(97, 123, (1 << 20) + 4000, dtype=np.uint8)
+    passage = np.tile(rng.integers(97, 123, 80, dtype=np.uint8), 5)
+    copies = [1000, *((1 << 20) - far for far in (90, 150, 210, 270, 330))]
+    for at in copies[1:]:
+        raw[1000:1400] = raw[at : at + 400] = passage
+        runs = byte_runs([raw.tobytes()], 200, 32)
+        window = np.concatenate([runs.first[i] + np.arange(runs.windows[i]) for i in range(len(runs.first)) if runs.first[i] < 2000 or runs.first[i] > (1 << 20) - 1000])
+        run = np.searchsorted(runs.first, window, "right") - 1
+        known = dict(zip(window.tolist(), zip((runs.lead[run] - (window - runs.first[run])).tolist(), runs.minimiser[run].tolist())))
+        assert [known[1000 + i] for i in range(201)] == [known[at + i] for i in range(201)]
+
+
+def test_a_crowd_under_one_minimiser_is_matched_in_little_memory():
+    """Strings that differ on both sides of one minimiser; many share a window, few share all."""
+    rng = np.random.default_rng(6)
+    centre, n, k = rng.integers(0, 256, 150, dtype=np.uint8).tobytes(), 5000, 200
+    sides = [(rng.integers(97, 99, 90, dtype=np.uint8).tobytes(), rng.integers(97, 99, 90, dtype=np.uint8).tobytes()) for _ in range(n)]
+    sides += [(sides[i][0], sides[n - 1 - i][1]) for i in range(300)] + sides[:200]
+    texts = [a[-(40 + i % 50) :] + centre + b[: 30 + i % 30] for i, (a, b) in enumerate(sides)]
+    lead = np.array([min(len(a), 40 + i % 50) for i, (a, _) in enumerate(sides)]) + 10
+    names = {t: i for i, t in enumerate(dict.fromkeys(texts))}
+    name, rows = np.array([names[t] for t in texts]), np.arange(len(texts))
+    columns = {"bucket": rows * 0, "chunk": rows % 7, "name": name, "value": rows * 0 + 5, "lead": lead, "key": rows, "place": rows * 0, "copies": rows * 0 + 1, "text": texts}
+    table = pa.table([pa.array(c) for c in columns.values()], schema=suffix_dedup._STRETCHES)
+    windows = sum(len(t) - k + 1 for t in texts)
+    assert windows > suffix_dedup._SORTED_WINDOWS
+    tracemalloc.start()
+    found = suffix_dedup._matched(k, False)(table).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    count = Counter(t[i : i + k] for t in texts for i in range(len(t) - k + 1))
+    expected = {(c, names[t], i) for t, c in zip(texts, (rows % 7).tolist()) for i in range(len(t) - k + 1) if count[t[i : i + k]] > 1}
+    assert {(r["chunk"], r["name"], i) for r in found for i in range(r["from"], r["to"])} == expected and len(expected) < windows
+    assert peak < 200e6 + 100 * windows
+
+
+def test_a_chunk_sends_a_row_for_each_stretch_and_none_for_what_repeats_whole(spark):
+    """Small chunks have many buckets; what moves must follow the stretches, not chunks times buckets."""
+    rng = random.Random(7)
+    shared = ["".join(rng.choice("abcdefgh ") for _ in range(500)) for _ in range(3)]
+    rows = [(i, "".join(rng.choice("abcdefgh ") for _ in range(300)) + shared[i % 3] + "".join(rng.choice("abcdefgh ") for _ in range(300))) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    blob = to_blob(pa.table([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["key", "text"]))
+    chunk = pa.record_batch([pa.array([3]), pa.array([blob], pa.binary())], ["chunk", "blob"])
+    (counted,) = suffix_dedup._minimisers(200, 32)(iter([chunk]))
+    assert 0 < sum(n > 1 for n in counted["strings"].to_pylist()) < sum(n > 1 for n in counted["n"].to_pylist())
+    sent = suffix_dedup._packed(pa.Table.from_batches([chunk]), counted["value"].to_numpy(), np.empty(0, np.int64), 200, 32, 1000)
+    assert sent.num_rows == len(set(sent["name"].to_pylist())) and sum(sent["copies"].to_pylist()) == sum(counted["n"].to_pylist())
+    assert bytes_result(docs, chunk_bytes=1000) == bytes_result(docs) == brute_bytes(rows)
+
+
+def test_windows_of_crowded_minimisers_travel_one_by_one(spark, odd_docs, monkeypatch):
+    docs, rows = copied_docs(spark)
+    whole = bytes_result(docs, keep_first=True)
+    monkeypatch.setattr(suffix_dedup, "_CROWD", 1)
+    assert bytes_result(docs, chunk_bytes=4000) == bytes_result(docs) == brute_bytes(rows)
+    assert bytes_result(docs, chunk_bytes=4000, keep_first=True) == bytes_result(docs, keep_first=True) == whole
+    assert bytes_result(odd_docs, chunk_bytes=1000) == brute_bytes(pairs(odd_docs))
