@@ -265,3 +265,9 @@ def test_windows_of_crowded_minimisers_travel_one_by_one(spark, odd_docs, monkey
     assert bytes_result(docs, chunk_bytes=4000) == bytes_result(docs) == brute_bytes(rows)
     assert bytes_result(docs, chunk_bytes=4000, keep_first=True) == bytes_result(docs, keep_first=True) == whole
     assert bytes_result(odd_docs, chunk_bytes=1000) == brute_bytes(pairs(odd_docs))
+
+
+def test_the_same_strings_in_many_chunks_are_no_crowd(spark):
+    kind = [(1, c, -2, 40_000, c) for c in range(4)] + [(2, c, -2, 40_000, 7) for c in range(4)] + [(3, 0, 0, None, None), (4, 0, -1, None, None)]
+    often = spark.createDataFrame(kind, "value long, chunk long, kind long, strings long, name long")
+    assert {(r["value"], r["kind"]) for r in suffix_dedup._crowded(often).collect()} == {(1, -2), (2, 0), (3, 0), (4, -1)}
